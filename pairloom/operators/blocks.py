@@ -44,5 +44,7 @@ def compare_blocks(
 
     on = [*key, "_lb", "_rb"]
     lhs = spread(left, "_lb", "_ln", "_rb", "_rn").groupBy(*on)
-    rhs = spread(right, "_rb", "_rn", "_lb", "_ln").groupBy(*on)
+    placed = spread(right, "_rb", "_rn", "_lb", "_ln")
+    # both sides may come from one table; fresh names keep their columns apart
+    rhs = placed.toDF(*placed.columns).groupBy(*on)
     return lhs.cogroup(rhs).applyInPandas(compare, schema)
