@@ -227,9 +227,11 @@ POINTS = """points as (
 
 def point_centres(spark: SparkSession, sf: str) -> DataFrame:
     """The first part of every brand as a centre."""
-    row = F.struct("p_partkey", *POINT_FIELDS)
-    first = points(spark, sf).groupBy(F.col("p_brand").alias("_b")).agg(F.min_by(row, "p_partkey").alias("c"))
-    return first.select(F.col("c.p_partkey").alias("centre_id"), *[F.col(f"c.{f}").alias(f) for f in POINT_FIELDS])
+    rows = points(spark, sf)
+    first = rows.groupBy("p_brand").agg(F.min("p_partkey").alias("centre_id"))
+    return rows.join(first.select("centre_id"), F.col("p_partkey") == F.col("centre_id")).select(
+        "centre_id", *POINT_FIELDS
+    )
 
 
 POINT_CENTRES = """point_centres as (
@@ -259,7 +261,9 @@ def vectors(spark: SparkSession, sf: str) -> DataFrame:
 
 def vector_centres(spark: SparkSession, sf: str) -> DataFrame:
     """The first vector of every label as a centre."""
-    return vectors(spark, sf).groupBy("centre_id").agg(F.min_by("features", "vec_id").alias("features"))
+    rows = vectors(spark, sf)
+    first = rows.groupBy("centre_id").agg(F.min("vec_id").alias("vec_id"))
+    return rows.join(first.select("vec_id"), "vec_id").select("centre_id", "features")
 
 
 VECTORS = "vectors as (select vec_id, embedding::double[] as features, label as centre_id from embeddings)"

@@ -13,7 +13,7 @@ from pairloom.functions.scalars import age_years, log_likelihood, per, response_
 from pairloom.operators import clean, cluster, distribution, evaluate, features, ordering, pairs, splits
 from pairloom.operators import matching, models
 from pairloom.plans import match, payment, roi, segments
-from pairloom.session import ensure_checkpoint_dir, materialize
+from pairloom.session import materialize, scratch_path, store
 from pairloom.sources import tables
 from pairloom.spec import DatasetSpec
 
@@ -57,7 +57,7 @@ def text_table(spark, sf):
     """Profiles written as tab text with ``null`` tokens and read back by their declared schema."""
     columns = ("userid", "workcity", "sex", "marriage", "height", "age", "salary", "body", "balance", "praise")
     spec = DatasetSpec(fields=columns, types={c: "long" for c in columns})
-    path = f"{ensure_checkpoint_dir(spark)}/text_table"
+    path = scratch_path(spark, "text_table")
     tables.write_text(I.profiles(spark, sf).select(*columns), path)
     return tables.read_table(spark, path, spec)
 
@@ -65,7 +65,7 @@ def text_table(spark, sf):
 @query(with_(I.PROFILES, I.VALID) + "select case sex when 0 then 'male' else 'female' end as side, count(*) as cnt from valid group by 1")
 def split_files(spark, sf):
     """Valid profiles written as one directory per gender, read back and counted."""
-    path = f"{ensure_checkpoint_dir(spark)}/split_files"
+    path = scratch_path(spark, "split_files")
     rows = clean.valid_profile(I.profiles(spark, sf)).withColumnRenamed("sex", "side")
     tables.write_split(rows, "side", path, {0: "male", 1: "female"})
     return spark.read.parquet(path).groupBy("side").agg(F.count("*").alias("cnt"))
@@ -73,22 +73,17 @@ def split_files(spark, sf):
 
 @query(
     with_(I.PROFILES)
-    + "select 'user_' || (userid % 3) || '.txt' as source_file, count(*) as cnt, sum(praise)::bigint as praise from profiles group by 1"
+    + "select 'user_' || userid % 3 as source_file, count(*) as cnt, sum(praise)::bigint as praise from profiles group by 1"
 )
 def many_files(spark, sf):
-    """Rows per input file of a directory of ``user_*`` files."""
-    path = f"{ensure_checkpoint_dir(spark)}/many_files"
+    """Rows per entry of a directory of ``user_*`` entries, all in one read."""
+    path = scratch_path(spark, "many_files")
     spec = DatasetSpec(fields=("userid", "praise"), types={"userid": "long", "praise": "long"})
-    rows = I.profiles(spark, sf).select("userid", "praise", (F.col("userid") % 3).alias("part"))
-    rows.write.mode("overwrite").partitionBy("part").option("sep", "\t").csv(path)
-    read = tables.read_many(spark, f"{path}/part=*", spec, prefix="part-")
-    folder = F.regexp_extract("path", r"part=(\d+)", 1)
-    # Spark names its own files, so the folder stands for the file here
-    return (
-        read.drop("source_file").select("*", F.input_file_name().alias("path"))
-        .groupBy(F.concat(F.lit("user_"), folder, F.lit(".txt")).alias("source_file"))
-        .agg(F.count("*").alias("cnt"), F.sum("praise").alias("praise"))
-    )
+    rows = I.profiles(spark, sf).select("userid", "praise")
+    for part in range(3):
+        tables.write_text(rows.where(F.col("userid") % 3 == part), f"{path}/user_{part}")
+    read = tables.read_many(spark, path, spec)
+    return read.groupBy("source_file").agg(F.count("*").alias("cnt"), F.sum("praise").alias("praise"))
 
 
 _LINE_LABELS = """labelled as (
@@ -773,7 +768,7 @@ merged as (
 def _split_inputs(spark, sf):
     rows = I.points(spark, sf)
     metric = segments.profile_metric(rows, _SPLIT_FIELDS, _SPLIT_CATEGORICAL)
-    return materialize(features.distinct_profiles(rows, _SPLIT_FIELDS)), metric
+    return store(features.distinct_profiles(rows, _SPLIT_FIELDS)), metric
 
 
 @query(
@@ -899,20 +894,20 @@ def _payment_logistic(spark, sf):
 
 @query()
 def payment_logistic_report(spark, sf):
-    _, _, (_, _, report) = _payment_logistic(spark, sf)
-    return report.auc.withColumn("auc", r6("auc"))
+    spec, _, (_, scored) = _payment_logistic(spark, sf)
+    return payment.evaluate_scores(scored, spec.label).auc.withColumn("auc", r6("auc"))
 
 
 @query()
 def logistic_propensity(spark, sf):
     """Everyone who has not paid, scored by the payment model."""
-    spec, _, (model, _, _) = _payment_logistic(spark, sf)
+    spec, _, (model, _) = _payment_logistic(spark, sf)
     return payment.payment_predict(model, I.payments(spark, sf), spec, I.ASOF)
 
 
 @query()
 def coefficient_table(spark, sf):
-    spec, split, (model, _, _) = _payment_logistic(spark, sf)
+    spec, split, (model, _) = _payment_logistic(spark, sf)
     return models.coefficient_table(model, split.where("split = 'train'"), spec)
 
 

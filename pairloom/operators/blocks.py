@@ -24,14 +24,18 @@ def compare_blocks(
     compare: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
     schema: str,
     block: int = 1024,
+    left_block: int | None = None,
     symmetric: bool = False,
 ) -> DataFrame:
     """Run ``compare`` on every pair of blocks that share ``key``.
 
     ``row_id`` is the column rows are spread by. ``compare`` sees the block numbers as ``_lb``/``_rb``.
-    With ``symmetric`` only block pairs with ``_lb <= _rb`` are formed.
+    Blocks hold about ``block`` rows, those of the left side ``left_block`` when it is given. With
+    ``symmetric`` only block pairs with ``_lb <= _rb`` are formed.
     """
-    sizes = _block_counts(left, key, block, "_ln").join(_block_counts(right, key, block, "_rn"), list(key))
+    sizes = _block_counts(left, key, left_block or block, "_ln").join(
+        _block_counts(right, key, block, "_rn"), list(key)
+    )
 
     def spread(df: DataFrame, own: str, count: str, other: str, other_count: str) -> DataFrame:
         placed = df.join(sizes, list(key)).withColumn(

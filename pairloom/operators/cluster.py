@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pairloom.functions.distance import Metric, sq_euclidean
 from pairloom.operators.blocks import compare_blocks
 from pairloom.operators.ordering import running_totals, sample_k
-from pairloom.session import broadcast_if_small, materialize
+from pairloom.session import broadcast_if_small, materialize, store
 
 CENTRES_PER_TASK = 4096
+POINTS_PER_TASK = 50_000
 # Fixed value: a band holds what lies within this of its smallest distance.
 BAND_DELTA = 0.01
 
@@ -25,7 +26,7 @@ BAND_DELTA = 0.01
 
 
 def _closest(entries: Column, id_type: T.DataType) -> Column:
-    """Fold of ``(d, id)`` entries into the smallest distance and every id that reaches it."""
+    """Fold of ``(d, ids)`` entries into the smallest distance and every id that reaches it."""
     start = F.struct(
         F.lit(float("inf")).alias("d"), F.array().cast(T.ArrayType(id_type)).alias("ids")
     )
@@ -38,6 +39,18 @@ def _closest(entries: Column, id_type: T.DataType) -> Column:
     )
 
 
+def nearest_in(metric: Metric, points: pd.DataFrame, centres: pd.DataFrame) -> pd.DataFrame:
+    """``(d, ids)`` per point of a batch: the smallest distance and the ids of all centres at it."""
+    best = np.full(len(points), np.inf)
+    for d in metric.to_centres(points, centres):
+        np.minimum(best, d, out=best)
+    ids: list[list] = [[] for _ in range(len(points))]
+    for id, d in zip(centres["_id"].tolist(), metric.to_centres(points, centres)):
+        for i in np.flatnonzero(d == best):
+            ids[i].append(id)
+    return pd.DataFrame({"d": best, "ids": ids})
+
+
 def assign_nearest(
     points: DataFrame,
     centres: DataFrame,
@@ -50,47 +63,46 @@ def assign_nearest(
     """Points with the ``centre_id`` of their nearest centre and the ``distance`` to it.
 
     ``ties="all"`` gives one row per tied centre, ``"first"`` only the lowest id. Up to ``per_task``
-    centres travel to the tasks as one array and the whole step is map-only. More of them are cut into
-    blocks of that size; each point keeps its best per block and then its best overall, for which ``key``
-    must name the columns that identify a point.
+    centres are sent along with the tasks and the whole step is map-only. More of them are cut into blocks
+    of that size that meet blocks of points; each point keeps its best per block and then its best overall,
+    for which ``key`` must name the columns that identify a point.
     """
+    metric.check()
     n = centres.count()
     if n == 0:
         raise ValueError("no centres")
     id_type = centres.schema[centre_id].dataType
-    entry = F.struct(F.col(centre_id).alias("_id"), *[F.col(f) for f in metric.fields])
+    pair = f"d double, ids array<{id_type.simpleString()}>"
+    columns, fields = points.columns, list(metric.fields)
+    table = centres.select(F.col(centre_id).alias("_id"), *fields)
+    if n <= per_task:
+        near = table.toPandas()
 
-    def best(table: str) -> Column:
-        scored = F.transform(
-            F.col(table),
-            lambda c: F.struct(metric(F.col, lambda f: c[f]).alias("d"), F.array(c["_id"]).alias("ids")),
-        )
-        return _closest(scored, id_type)
+        @F.pandas_udf(f"struct<{pair}>")
+        def best(batch: pd.DataFrame) -> pd.DataFrame:
+            return nearest_in(metric, batch, near)
 
-    columns = points.columns
-    if n <= per_task:
-        table = centres.agg(F.collect_list(entry)).scalar()
-        found = points.withColumn("_centres", table).select(*columns, best("_centres").alias("_best"))
+        found = points.select(*columns, best(F.struct(*fields)).alias("_best"))
     else:
         if not key:
             raise ValueError("more centres than fit one task: name the key columns of a point")
-        n_blocks = math.ceil(n / per_task)
-        blocks = (
-            centres.groupBy(F.pmod(F.xxhash64(centre_id), F.lit(n_blocks)).alias("_block"))
-            .agg(F.collect_list(entry).alias("_centres"))
-        )
-        per_block = (
-            points.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-            .withColumn("_block", F.col("_block").cast("bigint"))
-            .join(broadcast_if_small(blocks, 64), "_block")
-            .select(*columns, best("_centres").alias("_near"))
+
+        def best_of_block(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+            if a.empty or b.empty:
+                return pd.DataFrame({c: [] for c in [*key, "d", "ids"]})
+            return pd.concat([a[list(key)].reset_index(drop=True), nearest_in(metric, a, b)], axis=1)
+
+        everything = F.lit(0).alias("_all")
+        lhs = points.select(everything, *dict.fromkeys([*key, *fields]), F.xxhash64(*key).alias("_row"))
+        rhs = table.select(everything, "*", F.xxhash64("_id").alias("_row"))
+        kept = ", ".join(f"`{c}` {points.schema[c].dataType.simpleString()}" for c in key)
+        per_block = compare_blocks(
+            lhs, rhs, ["_all"], "_row", best_of_block, f"{kept}, {pair}", per_task, left_block=POINTS_PER_TASK
         )
-        rest = [c for c in columns if c not in key]
-        found = (
-            per_block.groupBy(*key)
-            .agg(*[F.any_value(c).alias(c) for c in rest], F.collect_list("_near").alias("_nears"))
-            .select(*columns, _closest(F.col("_nears"), id_type).alias("_best"))
+        winners = per_block.groupBy(*key).agg(
+            _closest(F.collect_list(F.struct("d", "ids")), id_type).alias("_best")
         )
+        found = points.join(winners, list(key)).select(*columns, "_best")
     ids = F.col("_best.ids")
     chosen = F.explode(ids) if ties == "all" else F.array_min(ids)
     return found.select(*columns, chosen.alias(centre_id), F.col("_best.d").alias("distance"))
@@ -263,9 +275,8 @@ def distance_profile(
 ) -> DataFrame:
     """The curve of a cluster's sorted distances around its middle row: ``x`` is the position minus the
     middle position, ``y`` the scaled distance minus the middle row's. Ties are ordered by id."""
-    ranked = materialize(
-        running_totals(assigned.select(cluster, id, distance), [cluster], [distance, id])
-    )
+    # placing rows by range samples them first, so the distances are written down before that
+    ranked = store(running_totals(store(assigned.select(cluster, id, distance)), [cluster], [distance, id]))
     sizes = ranked.groupBy(cluster).agg(F.count("*").alias("members"))
     middles = (
         ranked.join(sizes, cluster)
@@ -296,7 +307,7 @@ def band_starts(
     larger ones take one small aggregation per band.
     """
     group = list(group)
-    values = materialize(assigned.select(*group, F.round(distance, 9).alias("_d")).distinct())
+    values = store(assigned.select(*group, F.round(distance, 9).alias("_d")).distinct())
     widest = values.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
     if widest <= max_array:
         start = F.struct(F.lit(float("-inf")).alias("last"), F.array().cast("array<double>").alias("starts"))
@@ -416,7 +427,7 @@ def split_step(
     categorical = [f for f in fields if f in metric.categorical]
     numeric = [f for f in fields if f not in metric.categorical]
     keyed = centres.select(*fields).distinct().withColumn("centre_id", _centre_key(fields))
-    assigned = materialize(assign_nearest(profiles, keyed, metric, "all", key=fields))
+    assigned = store(assign_nearest(profiles, keyed, metric, "all", key=fields))
     closest = assigned.groupBy("centre_id").agg(F.min("distance").alias("_min"))
     limit = F.round(F.col("_min") + F.lit(delta), 9)
     far = assigned.join(closest, "centre_id").where(F.col("distance") > limit).drop("_min")

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pairloom.session import materialize
+from pairloom.session import store
 
 
 def running_totals(
@@ -22,7 +22,7 @@ def running_totals(
     sums = dict(sums or {})
     spread = df.repartitionByRange(*[F.col(c) for c in [*group, *order]])
     # the partition number must be the same in both uses below, hence written down once
-    placed = materialize(spread.withColumn("_part", F.spark_partition_id()))
+    placed = store(spread.withColumn("_part", F.spark_partition_id()))
 
     before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     totals = placed.groupBy("_part", *group).agg(

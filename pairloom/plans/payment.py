@@ -19,7 +19,7 @@ from pairloom.operators.models import (
     train_logistic,
 )
 from pairloom.operators.splits import modulo_split
-from pairloom.session import materialize
+from pairloom.session import materialize, store
 from pairloom.sources.tables import write_split
 from pairloom.spec import DatasetSpec
 
@@ -43,21 +43,20 @@ def payment_split(payments: DataFrame, asof: str, key: str = "memberid", target:
     return modulo_split(valid_payment(payments, asof), key, target)
 
 
-def payment_logistic(
-    split: DataFrame, spec: LogisticSpec, threshold: float = 0.5
-) -> tuple[PipelineModel, DataFrame, Evaluation]:
-    """Model, scored test rows and reports."""
-    rows = materialize(split)
+def payment_logistic(split: DataFrame, spec: LogisticSpec) -> tuple[PipelineModel, DataFrame]:
+    """Model and scored test rows."""
+    rows = store(split)
     model = train_logistic(rows.where("split = 'train'"), spec)
-    scored = materialize(score_logistic(model, rows.where("split = 'test'"), spec))
-    return (
-        model,
-        scored,
-        Evaluation(
-            auc(scored, spec.label, "score"),
-            confusion_matrix(scored, spec.label, "score", threshold),
-            entropy_matrix(scored, spec.label, "score", threshold),
-        ),
+    return model, score_logistic(model, rows.where("split = 'test'"), spec)
+
+
+def evaluate_scores(scored: DataFrame, label: str, threshold: float = 0.5) -> Evaluation:
+    """AUC, confusion and entropy of scored rows."""
+    rows = store(scored.select(label, "score"))
+    return Evaluation(
+        auc(rows, label, "score"),
+        confusion_matrix(rows, label, "score", threshold),
+        entropy_matrix(rows, label, "score", threshold),
     )
 
 
@@ -67,7 +66,7 @@ def payment_forest(
     """Model, confusion and accuracy on the test rows. NULL features count as 0."""
     features = [c for c in spec.model_columns() if c != spec.target]
     categorical, _ = spec.split_roles(features)
-    rows = materialize(split.na.fill(0, features))
+    rows = store(split.na.fill(0, features))
     model = train_forest(rows.where("split = 'train'"), spec.target, features, categorical, trees, seed=seed)
     confusion = materialize(confusion_of(score_forest(model, rows.where("split = 'test'")), spec.target, "prediction"))
     return model, confusion, accuracy(confusion, spec.target)

@@ -13,7 +13,7 @@ from pairloom.operators.evaluate import auc, confusion_matrix, regression_report
 from pairloom.operators.features import feature_hasher
 from pairloom.operators.models import LAMBDA, PASSES, LogisticSpec, score_logistic, train_logistic
 from pairloom.operators.splits import grouped_sum, holdout_split
-from pairloom.session import materialize
+from pairloom.session import store
 
 
 @dataclass(frozen=True)
@@ -41,13 +41,13 @@ def roi_model(
 ) -> RoiReport:
     """With ``cut``: a logistic model of ``target > cut`` and its AUC and confusion. Without: an
     L1-regularised linear model of the target and its error report."""
-    rows = materialize(groups)
+    rows = store(groups)
     train, test = rows.where("split = 'train'"), rows.where("split = 'test'")
     if cut is not None:
         spec = LogisticSpec("label", tuple(group), tuple(predictors), features)
         labelled = F.when(F.col(target) > cut, 1).otherwise(0).alias("label")
         model = train_logistic(train.select("*", labelled), spec, passes)
-        scored = materialize(score_logistic(model, test.select("*", labelled), spec))
+        scored = store(score_logistic(model, test.select("*", labelled), spec))
         return RoiReport(
             model,
             scored,
@@ -60,5 +60,5 @@ def roi_model(
             LinearRegression(labelCol=target, elasticNetParam=1.0, regParam=LAMBDA, maxIter=passes),
         ]
     ).fit(train.withColumns(texts))
-    scored = materialize(model.transform(test.withColumns(texts)).drop("features").withColumnRenamed("prediction", "score"))
+    scored = store(model.transform(test.withColumns(texts)).drop("features").withColumnRenamed("prediction", "score"))
     return RoiReport(model, scored, {"regression": regression_report(scored, target, "score")})

@@ -18,7 +18,7 @@ from pairloom.operators.cluster import (
 )
 from pairloom.operators.distribution import attribute_distribution, cluster_distribution, range_map
 from pairloom.operators.features import distinct_profiles, feature_matrix
-from pairloom.session import materialize
+from pairloom.session import materialize, store
 from pairloom.spec import Range
 
 GENDERS = {"male": 0, "female": 1}
@@ -50,10 +50,10 @@ def cluster_items(
     The attributes are joined back before they are counted.
     """
     dist = materialize(attribute_distribution(df, fields)) if dist is None else dist
-    vectors = materialize(feature_matrix(df, id, fields, categorical, dist))
+    vectors = store(feature_matrix(df, id, fields, categorical, dist))
     model, assigned = kmeans(vectors, k, max_iter, tol, distance, seed)
     centres = cluster_centres(df.sparkSession, model)
-    assigned = materialize(assigned)
+    assigned = store(assigned)
     items = item_distance(assigned, centres, id)
     profile = cluster_distribution(assigned.select(id, "centre_id").join(df.select(id, *fields), id), "centre_id", fields)
     return Segments(centres, items, profile)
@@ -105,7 +105,7 @@ def split_cluster_users(
     metric = profile_metric(valid, fields, categorical)
     out = {}
     for side, code in GENDERS.items():
-        distinct = materialize(distinct_profiles(valid.where(F.col(gender) == code), fields))
+        distinct = store(distinct_profiles(valid.where(F.col(gender) == code), fields))
         centres, _ = split_clustering(distinct, metric, k, delta, max_iter, seed)
         keyed = centres.withColumn("centre_id", F.to_json(F.struct(*fields)))
         out[side] = (centres, assign_nearest(distinct, keyed, metric, "all", key=fields))

@@ -29,8 +29,9 @@ def gower(p, c):
 
 def nearest(points, centres, ties):
     out = []
+    all_centres = [tuple(c) for c in centres.collect()]
     for p in map(tuple, points.collect()):
-        ds = [(gower(p, c), c[0]) for c in map(tuple, centres.collect())]
+        ds = [(gower(p, c), c[0]) for c in all_centres]
         best = min(ds)[0]
         ids = sorted(i for d, i in ds if d == best)
         out += [(*p, i, best) for i in (ids if ties == "all" else ids[:1])]
