@@ -118,6 +118,17 @@ def range_filter(spark, sf):
     )
 
 
+@query(
+    with_(I.PROFILES)
+    + """select userid, cnt from profiles join (select salary, count(*) as cnt from profiles group by 1) using (salary)"""
+)
+def attribute_lookup(spark, sf):
+    """Every profile with the count of its salary band, looked up in the distribution."""
+    rows = I.profiles(spark, sf).select("userid", F.col("salary").alias("value"))
+    dist = materialize(distribution.attribute_distribution(I.profiles(spark, sf), ["salary"]))
+    return features.lookup(rows, dist, ["value"]).select("userid", "cnt")
+
+
 @query(with_(I.PROFILES, I.VALID) + "select userid, sex, age, height, marriage from valid")
 def valid_profiles(spark, sf):
     return clean.valid_profile(I.profiles(spark, sf)).select("userid", "sex", "age", "height", "marriage")
@@ -688,6 +699,24 @@ def item_distance(spark, sf):
     )
 
 
+@query(
+    with_(I.VECTORS, I.VECTOR_CENTRES)
+    + """select vec_id, round(list_cosine_distance(v.features, c.features), 6) as cosine,
+           len(list_filter(list_zip(v.features, c.features), lambda p: p[1] <> p[2]))::double as hamming
+         from vectors v join vector_centres c on c.centre_id = v.centre_id"""
+)
+def named_distances(spark, sf):
+    """Distances chosen by name, between every vector and the first one of its label."""
+    centres = I.vector_centres(spark, sf).select("centre_id", F.col("features").alias("centre"))
+    rows = I.vectors(spark, sf).join(centres, "centre_id")
+    sides = (lambda f: F.col(f), lambda f: F.col("centre"))
+    return rows.select(
+        "vec_id",
+        r6(Metric("cosine", ("features",))(*sides)).alias("cosine"),
+        Metric("hamming", ("features",))(*sides).alias("hamming"),
+    )
+
+
 _STEP = """moves as (
   select vec_id, arg_min(cid, (d, cid)) as centre_id from (
     select v.vec_id, c.centre_id as cid,
@@ -734,6 +763,16 @@ def cluster_cohesion(spark, sf):
     return found.select("p_type", "members", *[F.col(c).cast("double").alias(c) for c in counts], r6("close_pct").alias("close_pct"))
 
 
+@query(
+    with_(I.POINTS, _PART_PAIRS)
+    + """select round(avg(pct), 6) as mean_close_pct, count(*) as clusters from (
+           select 100.0::double * count(*) filter (distance <= 1) / count(*) as pct from part_pairs group by p_type)"""
+)
+def mean_cohesion(spark, sf):
+    found = cluster.mean_cohesion(cluster.cluster_cohesion(I.points(spark, sf), "p_type", _COHESION_FIELDS))
+    return found.withColumn("mean_close_pct", r6("mean_close_pct"))
+
+
 @query(with_(I.POINTS, _PART_PAIRS) + "select p_type, distance, count(*)::double as pairs from part_pairs group by 1, 2")
 def distance_histogram(spark, sf):
     found = cluster.distance_histogram(I.points(spark, sf), "p_type", _COHESION_FIELDS)
@@ -924,6 +963,24 @@ def kmeans_assignments(spark, sf):
     return assigned.select("vec_id", "centre_id")
 
 
+@query()
+def kmeans_centres(spark, sf):
+    """The centres of the fitted model, one row per component."""
+    model, _ = cluster.kmeans(I.vectors(spark, sf).drop("centre_id"), 10)
+    centres = cluster.cluster_centres(spark, model)
+    return centres.select("centre_id", F.posexplode("features").alias("pos", "value"))
+
+
+@query()
+def split_cluster_users(spark, sf):
+    """Split clustering per gender: how many users each centre holds."""
+    found = segments.split_cluster_users(
+        I.profiles(spark, sf), ("praise", "salary", "body"), I.PROFILE_CATEGORICAL, I.PROFILE_RANGES, k=5, max_iter=3
+    )
+    sides = [near.select(F.lit(side).alias("side"), "*") for side, (_, near) in found.items()]
+    return sides[0].unionByName(sides[1]).groupBy("side", "centre_id").agg(F.sum("n").alias("members"))
+
+
 @query()
 def cluster_users(spark, sf):
     """K-means per gender over encoded profiles: item distances to their centres."""
@@ -954,3 +1011,11 @@ def roi_model(spark, sf):
     groups = roi.roi_groups(I.roi_rows(spark, sf), "o_orderkey", ["channel", "year", "month"], [*I.INCOMES, "total"])
     report = roi.roi_model(groups, ["channel", "year", "month"], I.INCOMES)
     return report.reports["regression"]
+
+
+@query()
+def roi_logistic(spark, sf):
+    """Which groups bring in more than a fixed amount: AUC of the logistic model."""
+    groups = roi.roi_groups(I.roi_rows(spark, sf), "o_orderkey", ["channel", "year", "month"], [*I.INCOMES, "total"])
+    cut = groups.where("split = 'train'").agg(F.avg("total")).first()[0]
+    return roi.roi_model(groups, ["channel", "year", "month"], I.INCOMES, cut=cut).reports["auc"]

@@ -11,6 +11,8 @@ from collections.abc import Callable, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from pairloom.session import broadcast_if_small
+
 
 def _block_counts(df: DataFrame, key: Sequence[str], block: int, name: str) -> DataFrame:
     return df.groupBy(*key).agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias(name))
@@ -33,9 +35,11 @@ def compare_blocks(
     Blocks hold about ``block`` rows, those of the left side ``left_block`` when it is given. With
     ``symmetric`` only block pairs with ``_lb <= _rb`` are formed.
     """
-    sizes = _block_counts(left, key, left_block or block, "_ln").join(
+    counts = _block_counts(left, key, left_block or block, "_ln").join(
         _block_counts(right, key, block, "_rn"), list(key)
     )
+    # one row per key: sent along when there are few keys, so that one hot key is not shuffled to one place
+    sizes = broadcast_if_small(counts)
 
     def spread(df: DataFrame, own: str, count: str, other: str, other_count: str) -> DataFrame:
         placed = df.join(sizes, list(key)).withColumn(

@@ -59,16 +59,17 @@ def assign_nearest(
     key: Sequence[str] = (),
     centre_id: str = "centre_id",
     per_task: int = CENTRES_PER_TASK,
+    n_centres: int | None = None,
 ) -> DataFrame:
     """Points with the ``centre_id`` of their nearest centre and the ``distance`` to it.
 
     ``ties="all"`` gives one row per tied centre, ``"first"`` only the lowest id. Up to ``per_task``
     centres are sent along with the tasks and the whole step is map-only. More of them are cut into blocks
     of that size that meet blocks of points; each point keeps its best per block and then its best overall,
-    for which ``key`` must name the columns that identify a point.
+    for which ``key`` must name the columns that identify a point. ``n_centres`` spares counting them.
     """
     metric.check()
-    n = centres.count()
+    n = centres.count() if n_centres is None else n_centres
     if n == 0:
         raise ValueError("no centres")
     id_type = centres.schema[centre_id].dataType
@@ -308,7 +309,10 @@ def band_starts(
     """
     group = list(group)
     values = store(assigned.select(*group, F.round(distance, 9).alias("_d")).distinct())
-    widest = values.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
+    # no group is wider than the whole table, so a short table needs no second look
+    widest = values.count()
+    if widest > max_array:
+        widest = values.groupBy(*group).count().agg(F.max("count")).first()[0]
     if widest <= max_array:
         start = F.struct(F.lit(float("-inf")).alias("last"), F.array().cast("array<double>").alias("starts"))
         folded = F.aggregate(
@@ -416,8 +420,10 @@ def split_step(
     metric: Metric,
     weight: str = "n",
     delta: float = BAND_DELTA,
+    n_centres: int | None = None,
 ) -> DataFrame:
-    """One round over weighted distinct profiles: the next centres as ``(fields..., converged)``.
+    """One round over weighted distinct profiles: the next centres as ``(fields..., converged)``. The
+    given centres are distinct.
 
     Every centre that holds points is kept. It has converged when all its points lie within ``delta`` of
     its closest one; otherwise each distance band of the points beyond adds a centre made of their most
@@ -426,8 +432,8 @@ def split_step(
     fields = list(metric.fields)
     categorical = [f for f in fields if f in metric.categorical]
     numeric = [f for f in fields if f not in metric.categorical]
-    keyed = centres.select(*fields).distinct().withColumn("centre_id", _centre_key(fields))
-    assigned = store(assign_nearest(profiles, keyed, metric, "all", key=fields))
+    keyed = centres.select(*fields, _centre_key(fields).alias("centre_id"))
+    assigned = store(assign_nearest(profiles, keyed, metric, "all", key=fields, n_centres=n_centres))
     closest = assigned.groupBy("centre_id").agg(F.min("distance").alias("_min"))
     limit = F.round(F.col("_min") + F.lit(delta), 9)
     far = assigned.join(closest, "centre_id").where(F.col("distance") > limit).drop("_min")
@@ -468,11 +474,12 @@ def split_clustering(
     fields = list(metric.fields)
     numeric = [f for f in fields if f not in metric.categorical]
     centres = materialize(seed_centres(profiles, fields, numeric, k, seed))
+    n = centres.count()
     for done in range(1, max_iter + 1):
-        after = materialize(split_step(profiles, centres, metric, weight, delta))
-        open_left = after.where(~F.col("converged")).count()
-        same = after.count() == centres.count() and after.join(centres, fields, "left_anti").isEmpty()
-        centres = after
+        after = materialize(split_step(profiles, centres, metric, weight, delta, n))
+        n_after, open_left = after.agg(F.count("*"), F.count_if(~F.col("converged"))).first()
+        same = open_left > 0 and n_after == n and after.join(centres, fields, "left_anti").isEmpty()
+        centres, n = after, n_after
         if open_left == 0 or same:
             break
     return centres, done

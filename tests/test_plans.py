@@ -8,6 +8,7 @@ from pairloom.operators import models
 from pairloom.operators.evaluate import auc
 from pairloom.plans import match, payment, roi, segments
 from pairloom.plans.match import MatchRoles
+from pairloom.sources.tables import write_text
 from pairloom.spec import DatasetSpec, Range, ResponseCodes
 
 SPEC = DatasetSpec(
@@ -92,7 +93,7 @@ def test_forest_regression(spark):
     assert err < 3
 
 
-def test_match_pipeline(spark):
+def test_match_pipeline(spark, tmp_path):
     rng = random.Random(11)
     people = [(i, i % 2, 170, 30, 1 + i % 3, rng.randint(0, 3)) for i in range(300)]
     profiles = spark.createDataFrame(people, "userid int, sex int, height int, age int, marriage int, k int")
@@ -113,6 +114,12 @@ def test_match_pipeline(spark):
     assert sum(kind[r.user_id] == kind[r.other_id] for r in checked) > 0.8 * len(checked) > 0
     assert best.groupBy("user_id").count().agg(F.max("count")).first()[0] == 3
 
+    spec = DatasetSpec(fields=tuple(profiles.columns))
+    for part in (0, 1):
+        write_text(profiles.where(F.col("userid") % 4 >= 2 * part).where(F.col("userid") % 4 < 2 * part + 2), str(tmp_path / f"user_{part}"))
+    own = match.predict_matches_of_files(spark, str(tmp_path), spec, model, roles, top_n=3).collect()
+    assert own and all(r.user_id % 4 // 2 == r.other_id % 4 // 2 for r in own)
+
 
 def test_roi(spark):
     rng = random.Random(3)
