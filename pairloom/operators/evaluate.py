@@ -60,12 +60,14 @@ def entropy_matrix(scored: DataFrame, label: str, score: str, threshold: float =
 
 
 def regression_report(scored: DataFrame, label: str, prediction: str) -> DataFrame:
-    """Rows, mean absolute and squared error, bias and correlation of a numeric prediction."""
+    """Rows, mean absolute and squared error, bias and correlation of a numeric prediction (NULL when
+    either column is constant)."""
     err = F.col(prediction) - F.col(label)
+    spread = F.stddev_pop(prediction) * F.stddev_pop(label)
     return scored.agg(
         F.count("*").alias("n"),
         F.avg(F.abs(err)).alias("mae"),
         F.sqrt(F.avg(err * err)).alias("rmse"),
         F.avg(err).alias("bias"),
-        F.corr(prediction, label).alias("corr"),
+        F.try_divide(F.covar_pop(prediction, label), spread).alias("corr"),
     )
