@@ -566,6 +566,58 @@ def top_matches(spark, sf):
     return ordering.top_matches(rows, "user_id", "other_id", "score", 30).withColumn("score", F.round("score", 2))
 
 
+# Two fixed trees over the male (age, salary, praise) and then the female (age, salary, height) fields.
+_RULE_FIELDS = (("age", "salary", "praise"), ("age", "salary", "height"))
+_RULE_TREES = (
+    matching.Split(
+        0, 45.0, (),
+        matching.Split(4, None, (1.0, 2.0), 0.35, 0.1),
+        matching.Split(3, 60.0, (), 0.25, 0.05),
+    ),
+    matching.Split(
+        5, 160.0, (),
+        matching.Split(1, None, (3.0, 4.0, 5.0), 0.45, 0.2),
+        matching.Split(2, 8.0, (), 0.3, 0.15),
+    ),
+)
+_RULE_PAIRS = """rule_pairs as (
+  select m.userid as male_id, f.userid as female_id,
+         case when m.age <= 45 then case when f.salary in (1, 2) then 0.35 else 0.1 end
+              else case when f.age <= 60 then 0.25 else 0.05 end end
+         + case when f.height <= 160 then case when m.salary in (3, 4, 5) then 0.45 else 0.2 end
+                else case when m.praise <= 8 then 0.3 else 0.15 end end as score
+  from valid m join valid f on m.sex = 0 and f.sex = 1)"""
+
+
+def _rule_index(spark, sf):
+    valid = clean.valid_profile(I.profiles(spark, sf))
+    return matching.index_users(valid, _RULE_TREES, *_RULE_FIELDS)
+
+
+@query(
+    with_(I.PROFILES, I.VALID, _RULE_PAIRS)
+    + """select user_id, sex, other_id, round(score, 6)::double as score, rank from (
+           select *, row_number() over (partition by user_id order by score desc, other_id) as rank from (
+             select male_id as user_id, 0 as sex, female_id as other_id, score from rule_pairs where score >= 0.5
+             union all select female_id, 1, male_id, score from rule_pairs where score >= 0.5))
+         where rank <= 30"""
+)
+def rule_top_matches(spark, sf):
+    """The 30 best counterparts of every user among all of the other gender, by two fixed trees."""
+    return matching.best_matches(_rule_index(spark, sf), 30, 0.5).withColumn("score", r6("score"))
+
+
+@query(
+    with_(I.PROFILES, I.VALID, _RULE_PAIRS)
+    + """select count(*)::double as pairs, (count(*) filter (score >= 0.5))::double as matching,
+                (count(*) filter (score < 0.5))::double as other from rule_pairs"""
+)
+def rule_match_totals(spark, sf):
+    """How many opposite-gender pairs there are and how many match, by two fixed trees."""
+    index = _rule_index(spark, sf)
+    return matching.match_totals(index, matching.class_scores(index, 0.5))
+
+
 # -- splits -----------------------------------------------------------------------------------------
 
 

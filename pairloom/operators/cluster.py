@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pairloom.functions.distance import Metric, sq_euclidean
 from pairloom.operators.blocks import compare_blocks
 from pairloom.operators.ordering import running_totals, sample_k
-from pairloom.session import broadcast_if_small, materialize, store
+from pairloom.session import broadcast_if_small, materialize, scratch_path, store
 
 CENTRES_PER_TASK = 4096
 POINTS_PER_TASK = 50_000
@@ -294,7 +294,8 @@ def distance_profile(
 
 # -- bands ------------------------------------------------------------------------------------------
 
-MAX_BAND_ARRAY = 50_000
+# Distinct distances of one group that are folded as one array: 8 MB.
+MAX_BAND_ARRAY = 1_000_000
 
 
 def band_starts(
@@ -305,7 +306,7 @@ def band_starts(
 
     A band starts at the smallest distance not yet covered and covers everything up to start + delta.
     Only distinct distances matter. Groups whose distinct distances fit an array are folded in one pass;
-    larger ones take one small aggregation per band.
+    larger ones take one small aggregation per stretch of that width.
     """
     group = list(group)
     values = store(assigned.select(*group, F.round(distance, 9).alias("_d")).distinct())
@@ -316,7 +317,7 @@ def band_starts(
     if widest <= max_array:
         start = F.struct(F.lit(float("-inf")).alias("last"), F.array().cast("array<double>").alias("starts"))
         folded = F.aggregate(
-            F.array_sort(F.collect_list("_d")),
+            F.sort_array(F.collect_list("_d")),
             start,
             lambda acc, d: F.when(
                 d > F.round(acc["last"] + F.lit(delta), 9),
@@ -325,32 +326,56 @@ def band_starts(
         )
         return values.groupBy(*group).agg(folded["starts"].alias("starts"))
 
-    frontier = values.groupBy(*group).agg(F.min("_d").alias("_start"))
-    rounds = [frontier]
-    while True:
-        ahead = values.join(frontier, group).where(F.col("_d") > F.round(F.col("_start") + F.lit(delta), 9))
-        frontier = materialize(ahead.groupBy(*group).agg(F.min("_d").alias("_start")))
-        if frontier.isEmpty():
-            break
-        rounds.append(frontier)
-    every = rounds[0]
-    for r in rounds[1:]:
-        every = every.unionByName(r)
-    return every.groupBy(*group).agg(F.array_sort(F.collect_list("_start")).alias("starts"))
+    return _starts_by_cell(values, group, delta)
+
+
+def _starts_by_cell(values: DataFrame, group: list[str], delta: float) -> DataFrame:
+    """Band starts of groups too wide for an array. Two starts are more than delta apart, so a cell of that
+    width holds at most one per group. Cells are visited in order and each is read once; what is carried
+    along is the table of starts so far, from which the latest of every group is taken."""
+    spark = values.sparkSession
+    path = scratch_path(spark, "cells")
+    values.withColumn("_cell", F.floor(F.col("_d") / F.lit(delta))).write.partitionBy("_cell").parquet(path)
+    placed = spark.read.parquet(path)
+    cells = sorted(r[0] for r in placed.select("_cell").distinct().collect())
+
+    schema = T.StructType([values.schema[c] for c in group] + [T.StructField("_start", T.DoubleType())])
+    found_path = scratch_path(spark, "starts")
+    spark.createDataFrame([], schema).write.parquet(found_path)
+    reached = F.col("_last").isNull() | (F.col("_d") > F.round(F.col("_last") + F.lit(delta), 9))
+    for cell in cells:
+        last = spark.read.schema(schema).parquet(found_path).groupBy(*group).agg(F.max("_start").alias("_last"))
+        here = placed.where(F.col("_cell") == cell).join(last, group, "left").where(reached)
+        here.groupBy(*group).agg(F.min("_d").alias("_start")).write.mode("append").parquet(found_path)
+    found = spark.read.schema(schema).parquet(found_path)
+    return found.groupBy(*group).agg(F.array_sort(F.collect_list("_start")).alias("starts"))
 
 
 def distance_bands(
     assigned: DataFrame, group: Sequence[str], distance: str = "distance", delta: float = BAND_DELTA,
     max_array: int = MAX_BAND_ARRAY,
 ) -> DataFrame:
-    """Rows with their ``band`` (0-based) and ``band_start`` inside the group."""
-    starts = band_starts(assigned, group, distance, delta, max_array)
-    covered = F.filter("starts", lambda s: s <= F.round(F.col(distance), 9))
+    """Rows with their ``band`` (0-based) and ``band_start`` inside the group.
+
+    A band spans at most three cells of width delta, so rows find theirs by an equi-join on (group, cell),
+    which also spreads a large group.
+    """
+
+    def cell(c: str) -> Column:
+        return F.floor(F.round(c, 9) / F.lit(delta))
+
+    bands = (
+        materialize(band_starts(assigned, group, distance, delta, max_array))
+        .select(*group, F.posexplode("starts").alias("band", "band_start"))
+        .withColumn("_cell", F.explode(F.sequence(cell("band_start"), cell("band_start") + 2)))
+    )
+    d = F.round(distance, 9)
+    inside = (d >= F.col("band_start")) & (d <= F.round(F.col("band_start") + F.lit(delta), 9))
     return (
-        assigned.join(starts, list(group))
-        .withColumn("band", F.size(covered) - 1)
-        .withColumn("band_start", F.array_max(covered))
-        .drop("starts")
+        assigned.withColumn("_cell", cell(distance))
+        .join(broadcast_if_small(bands), [*group, "_cell"])
+        .where(inside)
+        .drop("_cell")
     )
 
 

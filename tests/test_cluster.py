@@ -143,6 +143,14 @@ def test_bands(spark, max_array):
                    ("a", 0.53, 2, 0.53), ("b", 0.7, 0, 0.7)]
 
 
+def test_bands_of_many_values_agree(spark):
+    rng = random.Random(12)
+    data = [(g, round(0.5 + rng.random() ** 2 / 2, 6)) for g in "abc" for _ in range(400 if g != "c" else 1)]
+    df = spark.createDataFrame(data, "g string, distance double")
+    folded, by_cell = (rows(C.band_starts(df, ["g"], delta=0.06, max_array=n)) for n in (10_000, 0))
+    assert folded == by_cell and len(folded) == 3
+
+
 def test_distance_profile(spark):
     data = [(0, i, d) for i, d in enumerate([0.5, 0.7, 0.6, 0.6])] + [(1, 9, 0.55)]
     df = spark.createDataFrame(data, "c int, id int, distance double")
