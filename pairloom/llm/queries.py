@@ -9,7 +9,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import lines, mixing, sharding
+from pairloom.llm import lines, mixing, quality, sharding, winnow
+from pairloom.llm.samples import held_out
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str] = {}
@@ -75,6 +76,14 @@ def op2_hilbert_shards(spark, sf_dir):
     )
 
 
+# -- 4: fingerprints ---------------------------------------------------------------------------------
+
+
+@query()
+def op4_winnowing(spark, sf_dir):
+    return winnow.compare_with_next(documents(spark, sf_dir))
+
+
 # -- 5: lines ----------------------------------------------------------------------------------------
 
 LINE_SQL = r"""
@@ -113,6 +122,17 @@ def op5_line_dedup(spark, sf_dir):
     )
 
 
+# -- 6: quality --------------------------------------------------------------------------------------
+
+
+@query()
+def op6_quality_mil(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    model = quality.fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    out = quality.score_quality(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 # -- 7: mixing ---------------------------------------------------------------------------------------
 
 #: domains by the number of the source

@@ -89,16 +89,17 @@ LOWER = _byte_table(True)
 IS_SPACE = np.isin(np.arange(256), _SPACE)
 
 
-def words_of(data: np.ndarray, offs: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words_of(data: np.ndarray, offs: np.ndarray, powers: Powers, gap: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of lower-cased texts: (start, end, document number, hash).
 
-    ``data`` and ``offs`` are a slice's bytes and row offsets; words never cross rows.
+    ``data`` and ``offs`` are a slice's bytes and row offsets; words never cross rows. ``gap`` marks the
+    bytes between words.
     """
     n = len(data)
     if not n:
         e = np.zeros(0, np.int64)
         return e, e, e, np.zeros(0, U64)
-    solid = ~IS_SPACE[data]
+    solid = ~gap[data]
     begins = solid.copy()
     begins[1:] &= ~solid[:-1]
     inner = offs[1:-1][offs[1:-1] < n]
