@@ -9,7 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import lines, mixing, quality, sharding, winnow
+from pairloom.llm import lines, mixing, quality, sharding, toxicity, winnow
 from pairloom.llm.samples import held_out
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +181,14 @@ def op7_mix_sources(spark, sf_dir):
     """Four fifths of the table's tokens, sources up to three times."""
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang", "source")
     return mixing.mix_to_weights(docs, "doc_id", "text", F.expr(DOMAIN), WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED).drop("text")
+
+
+# -- 9: toxicity -------------------------------------------------------------------------------------
+
+
+@query()
+def op9_toxicity_bigru(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    out = toxicity.score_toxicity(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", held_out().alias("held_out"), "score", "predicted")

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 BITS = 4
 RUNS = 256
@@ -32,32 +32,39 @@ def magnitude(c: Column | str) -> Column:
     return F.coalesce(F.least(F.lit(15), F.greatest(F.lit(0), F.length(F.bin(c.cast("bigint"))) - 4)), F.lit(0))
 
 
-def hilbert_index(axes: Column, n: int, bits: int) -> Column:
-    """Place on the curve of an array of ``n`` coordinates below ``2**bits`` (Skilling's transform):
-    undo the rotations from the highest bit down, Gray-code, interleave."""
-    steps = F.array(*[F.struct(F.lit(1 << b).alias("q"), F.lit(i).alias("i")) for b in range(bits - 1, 0, -1) for i in range(n)])
-
-    def turn(a: Column, s: Column) -> Column:
-        first, here, low = F.get(a, F.lit(0)), F.get(a, s["i"]), s["q"] - 1
-        hit = here.bitwiseAND(s["q"]) != 0
-        swap = first.bitwiseXOR(here).bitwiseAND(low)
-        return F.transform(
-            a,
-            lambda v, j: F.when(hit, F.when(j == 0, v.bitwiseXOR(low)).otherwise(v)).otherwise(
-                F.when((j == 0) | (j == s["i"]), F.when(s["i"] == 0, v).otherwise(v.bitwiseXOR(swap))).otherwise(v)
-            ),
-        )
-
-    turned = F.aggregate(steps, axes, turn)
-    gray = F.transform(turned, lambda v, j: F.aggregate(F.slice(turned, 1, j + 1), F.lit(0), lambda x, y: x.bitwiseXOR(y)))
-    flips = F.aggregate(
-        F.array(*[F.lit(1 << b) for b in range(bits - 1, 0, -1)]),
-        F.lit(0),
-        lambda t, q: F.when(F.get(gray, F.lit(n - 1)).bitwiseAND(q) != 0, t.bitwiseXOR(q - 1)).otherwise(t),
-    )
-    final = F.transform(gray, lambda v: v.bitwiseXOR(flips))
-    places = F.array(*[F.struct(F.lit(b).alias("b"), F.lit(i).alias("i")) for b in range(bits - 1, -1, -1) for i in range(n)])
-    return F.aggregate(places, F.lit(0), lambda t, p: t * 2 + (F.call_function("shiftright", F.get(final, p["i"]), p["b"]).bitwiseAND(F.lit(1))))
+def hilbert_place(axes: Sequence[int], bits: int) -> int:
+    """Place on the curve of one cell (Skilling's transform): undo the rotations from the highest bit
+    down, Gray-code, interleave."""
+    x, n = list(axes), len(axes)
+    for b in range(bits - 1, 0, -1):
+        low = (1 << b) - 1
+        for i in range(n):
+            if x[i] >> b & 1:
+                x[0] ^= low
+            else:
+                swap = (x[0] ^ x[i]) & low
+                x[0] ^= swap
+                x[i] ^= swap
+    for i in range(1, n):
+        x[i] ^= x[i - 1]
+    flips = 0
+    for b in range(bits - 1, 0, -1):
+        if x[-1] >> b & 1:
+            flips ^= (1 << b) - 1
+    place = 0
+    for b in range(bits - 1, -1, -1):
+        for v in x:
+            place = place << 1 | ((v ^ flips) >> b & 1)
+    return place
+
+
+def curve_table(spark: SparkSession, n: int, bits: int) -> DataFrame:
+    """``_c`` (a cell's coordinates, packed) and ``_curve`` for all ``2**(bits * n)`` cells, 65,536 at most."""
+    if bits * n > 16:
+        raise ValueError("bits times dimensions must not exceed 16")
+    low = (1 << bits) - 1
+    cells = [(c, hilbert_place([c >> bits * (n - 1 - i) & low for i in range(n)], bits)) for c in range(1 << bits * n)]
+    return spark.createDataFrame(cells, "_c int, _curve int")
 
 
 def hilbert_shards(
@@ -74,26 +81,27 @@ def hilbert_shards(
     added = ("curve", "shard", "slot")
     inside = df.select(
         F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"),
-        F.array(*dims).alias("_axes"),
+        sum(d * (1 << bits * (len(dims) - 1 - i)) for i, d in enumerate(dims)).cast("int").alias("_cell"),
         F.pmod(F.coalesce(F.col(id).cast("bigint"), F.lit(0)), F.lit(runs)).cast("int").alias("_run"),
         F.struct(F.col(id).cast("bigint").alias("id"), *[c.alias(f"t{i}") for i, c in enumerate(tie)]).alias("_order"),
     )
-    counts = inside.groupBy("_axes", "_run").agg(F.count("*").alias("_n")).withColumn("_curve", hilbert_index(F.col("_axes"), len(dims), bits))
-    cells = counts.groupBy("_curve").agg(F.sum("_n").alias("_cell"))
-    along = Window.orderBy("_curve").rowsBetween(Window.unboundedPreceding, -1)  # at most 2**(bits*dims) rows
-    cells = cells.select(
-        F.col("_curve").alias("_c"), F.coalesce(F.sum("_cell").over(along), F.lit(0)).alias("_cell_start"), F.sum("_cell").over(Window.partitionBy()).alias("_total")
+    counts = inside.groupBy("_cell", "_run").agg(F.count("*").alias("_n"))
+    along = Window.orderBy("_curve").rowsBetween(Window.unboundedPreceding, -1)  # a row per cell in use
+    cells = (
+        counts.groupBy("_cell").agg(F.sum("_n").alias("_in_cell"))
+        .join(F.broadcast(curve_table(df.sparkSession, len(dims), bits)), F.col("_cell") == F.col("_c"))
+        .select("_c", "_curve", F.coalesce(F.sum("_in_cell").over(along), F.lit(0)).alias("_cell_start"), F.sum("_in_cell").over(Window.partitionBy()).alias("_total"))
     )
-    in_cell = Window.partitionBy("_curve").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    in_cell = Window.partitionBy("_cell").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         counts.withColumn("_before", F.coalesce(F.sum("_n").over(in_cell), F.lit(0)))
-        .join(cells, F.col("_curve") == F.col("_c"))
-        .select(F.col("_axes").alias("_a"), F.col("_run").alias("_r"), "_curve", (F.col("_cell_start") + F.col("_before")).alias("_start"), "_total")
+        .join(cells, F.col("_cell") == F.col("_c"))
+        .select("_c", F.col("_run").alias("_r"), "_curve", (F.col("_cell_start") + F.col("_before")).alias("_start"), "_total")
     )
-    here = Window.partitionBy("_axes", "_run").orderBy("_order")
+    here = Window.partitionBy("_cell", "_run").orderBy("_order")
     placed = (
         inside.withColumn("_at", F.row_number().over(here) - 1)
-        .join(starts, (F.col("_axes") == F.col("_a")) & (F.col("_run") == F.col("_r")))
+        .join(starts, (F.col("_cell") == F.col("_c")) & (F.col("_run") == F.col("_r")))
         .withColumn("_rank", F.col("_start") + F.col("_at"))
     )
     shard = F.expr(f"(_rank * {n_shards}) div _total")
