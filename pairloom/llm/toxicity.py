@@ -2,7 +2,7 @@
 
 Words are runs of letters, digits and non-ASCII bytes, A-Z lower-cased. A word's input is a hashed word
 vector plus the mean of the hashed vectors of its first 3 to 6 and last 4 characters (bytes, word marks
-included), so unseen words are read by their parts. Both kinds of vectors start from how much more often they occur in documents of
+included), so unseen words are read by their parts. Only words and grams of ``MIN_DOCS`` sampled documents or more have a vector. Both kinds of vectors start from how much more often they occur in documents of
 label 1, and are trained on. Windows of 64 words, each sharing 16 with the next, cover the whole text;
 two gated recurrent passes read a window, attention pools their states, and the document gets the score of
 its worst window. Per slice every distinct word is projected once, so the recurrence costs what its states
@@ -21,7 +21,7 @@ from pairloom.llm.samples import labelled_sample, rows_of
 from pairloom.llm.text import LOWER, U64, Powers, mix, slices, words_of
 
 WINDOW, STRIDE = 64, 48
-WORD_BITS, GRAM_BITS = 15, 15
+MIN_DOCS = 4
 HEADS, TAIL = (3, 4, 5, 6), 4
 DIM, HIDDEN, ATTENTION = 8, 8, 8
 SAMPLE = {0: 2000, 1: 1000}
@@ -29,20 +29,19 @@ SAMPLE = {0: 2000, 1: 1000}
 GAP = np.array([not (chr(b).isalnum() or b >= 128) for b in range(256)])
 
 
-def distinct_words(data: np.ndarray, offs: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(document, number of the distinct word) of every word, the distinct words' hashes, and the gram hashes
-    of all distinct words with where each word's begin."""
+def distinct_words(data: np.ndarray, offs: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, number of the distinct word) of every word, the distinct words' hashes, and their gram
+    hashes, as many for each word."""
     start, end, doc, h = words_of(data, offs, powers, GAP)
     kinds, at, which = np.unique(h, return_index=True, return_inverse=True)
-    return doc, which, kinds, *word_grams(data, start[at], end[at])
+    return doc, which, kinds, word_grams(data, start[at], end[at])
 
 
-def word_grams(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the characters that begin and end each word, word after word, and where each word's begin.
-    A word shorter than a gram, its mark included, is that gram."""
+def word_grams(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the characters that begin and end each word, word after word. A word shorter than a gram, its mark included, is that gram."""
     n = len(start)
     if not n:
-        return np.zeros(0, U64), np.zeros(0, np.int64)
+        return np.zeros(0, U64)
     last = len(data) - 1
     head, tail, found = np.full(n, 1, U64), np.full(n, 2, U64), []
     for i in range(max(HEADS) - 1):
@@ -54,15 +53,20 @@ def word_grams(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np
         c = LOWER[data[np.maximum(end - 1 - i, 0)]].astype(U64) + U64(2)
         tail = tail * U64(0x100000001B3) + np.where(end - 1 - i >= start, c, U64(0))
     found.append(mix(tail))
-    return np.stack(found, axis=1).ravel(), np.arange(n) * len(found)
+    return np.stack(found, axis=1).ravel()
 
 
-def word_inputs(p: dict, kinds: np.ndarray, grams: np.ndarray, first: np.ndarray) -> np.ndarray:
-    if not len(kinds):
-        return np.zeros((0, DIM), np.float32)
-    rows = p["grams"][(grams >> U64(64 - GRAM_BITS)).astype(np.int64)]
-    n = np.diff(np.append(first, len(grams)))[:, None]
-    return p["words"][(kinds >> U64(64 - WORD_BITS)).astype(np.int64)] + np.add.reduceat(rows, first, axis=0) / n
+def place_in(vocabulary: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Row of each hash in a sorted vocabulary; the row after the last for unknown ones."""
+    if not len(vocabulary):
+        return np.zeros(len(hashes), np.int64)
+    at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
+    return np.where(vocabulary[at] == hashes, at, len(vocabulary))
+
+
+def word_inputs(p: dict, word_row: np.ndarray, gram_row: np.ndarray) -> np.ndarray:
+    """Inputs of distinct words; ``gram_row`` has a row of gram numbers for each. The last row of either table is zeros."""
+    return p["words"][word_row] + p["grams"][gram_row].mean(1)
 
 
 def windows(doc: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -144,17 +148,20 @@ def _layout(which: np.ndarray, at: np.ndarray, size: np.ndarray, pad: int) -> tu
     return ids, (real | ((t == 0) & (size == 0)[None, :])).astype(np.float32)
 
 
-def _log_odds(bucket: np.ndarray, doc: np.ndarray, y: np.ndarray, bits: int) -> np.ndarray:
-    """Per bucket the log of its odds among documents of label 1 against label 0, over its standard error."""
-    pairs = np.unique(doc.astype(np.int64) << bits | bucket)
-    label = y[pairs >> bits] > 0.5
-    b = pairs & ((1 << bits) - 1)
-    pos, neg = np.bincount(b[label], minlength=1 << bits), np.bincount(b[~label], minlength=1 << bits)
-    n1, n0 = max(1, int((y > 0.5).sum())), max(1, int((y <= 0.5).sum()))
-    prior = 2.0 * n1 / (n1 + n0), 2.0 * n0 / (n1 + n0)
-    a, b = pos + prior[0], neg + prior[1]
-    z = np.log(a / (n1 + prior[0]) / (b / (n0 + prior[1]))) / np.sqrt(1 / a + 1 / b)
-    return np.where(pos + neg > 0, np.clip(z, -6, 6) / 3, 0).astype(np.float32)
+def _vocabulary(hashes: np.ndarray, doc: np.ndarray, y: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of ``MIN_DOCS`` documents or more, sorted, and of each the log of its odds among documents of
+    label 1 against label 0, over its standard error."""
+    order = np.lexsort((doc, hashes))
+    h, d = hashes[order], doc[order]
+    first = np.concatenate(([True], (h[1:] != h[:-1]) | (d[1:] != d[:-1]))) if len(h) else np.zeros(0, bool)
+    h, d = h[first], d[first]
+    kinds, at, n = np.unique(h, return_index=True, return_counts=True)
+    pos = np.add.reduceat(y[d], at) if len(at) else np.zeros(0)
+    n1, n0 = max(1.0, float(y.sum())), max(1.0, n_docs - float(y.sum()))
+    a, b = pos + 2 * n1 / (n1 + n0), n - pos + 2 * n0 / (n1 + n0)
+    z = np.log(a / n1 / (b / n0)) / np.sqrt(1 / a + 1 / b)
+    keep = n >= MIN_DOCS
+    return kinds[keep], (np.clip(z[keep], -9, 9) / 3).astype(np.float32)
 
 
 def train(texts: list[str], y: np.ndarray, shift: float, seed: int = 5, epochs: int = 10, rate: float = 0.01, batch: int = 128) -> dict:
@@ -163,14 +170,15 @@ def train(texts: list[str], y: np.ndarray, shift: float, seed: int = 5, epochs:
     rng = np.random.default_rng(seed)
     raw = [t.encode() for t in texts]
     data, offs = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
-    doc, which, kinds, grams, first = distinct_words(data, offs, Powers())
+    doc, which, kinds, grams = distinct_words(data, offs, Powers())
     at, size, of = windows(doc, len(texts))
-    word_bucket, gram_bucket = (kinds >> U64(64 - WORD_BITS)).astype(np.int64), (grams >> U64(64 - GRAM_BITS)).astype(np.int64)
-    n_grams = np.diff(np.append(first, len(grams)))
-    p = {"words": rng.normal(0, 0.05, (1 << WORD_BITS, DIM)), "grams": rng.normal(0, 0.05, (1 << GRAM_BITS, DIM))}
-    if len(kinds):
-        p["words"][:, 0] = _log_odds(word_bucket[which], doc, y, WORD_BITS)
-        p["grams"][:, 1] = _log_odds(gram_bucket[_spread(first, n_grams, which)], np.repeat(doc, n_grams[which]), y, GRAM_BITS)
+    word_vocabulary, word_odds = _vocabulary(kinds[which], doc, y, len(texts))
+    per = len(grams) // max(1, len(kinds))
+    gram_vocabulary, gram_odds = _vocabulary(grams.reshape(-1, per or 1)[which].ravel(), np.repeat(doc, per), y, len(texts))
+    word_row, gram_row = place_in(word_vocabulary, kinds), place_in(gram_vocabulary, grams).reshape(-1, per or 1)
+    p = {"words": rng.normal(0, 0.05, (len(word_odds) + 1, DIM)), "grams": rng.normal(0, 0.05, (len(gram_odds) + 1, DIM))}
+    p["words"][:-1, 0], p["grams"][:-1, 1] = word_odds, gram_odds
+    p["words"][-1] = p["grams"][-1] = 0
     for d in "fb":
         p |= {f"x{d}": rng.normal(0, 0.5, (DIM, 3 * HIDDEN)), f"b{d}": np.zeros(3 * HIDDEN), f"h{d}": rng.normal(0, 0.3, (HIDDEN, 3 * HIDDEN))}
         p[f"b{d}"][:HIDDEN] = -1.0
@@ -179,7 +187,7 @@ def train(texts: list[str], y: np.ndarray, shift: float, seed: int = 5, epochs:
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
     step = 0
     for epoch in range(epochs):
-        x = np.vstack((word_inputs(p, kinds, grams, first), np.zeros((1, DIM), np.float32)))
+        x = np.vstack((word_inputs(p, word_row, gram_row), np.zeros((1, DIM), np.float32)))
         logit = np.concatenate([_logits(p, x, which, at[i : i + 4096], size[i : i + 4096]) for i in range(0, len(at), 4096)])
         worst = np.lexsort((logit, of))[np.cumsum(np.bincount(of, minlength=len(texts))) - 1]  # the last window of each document is its worst
         order = rng.permutation(len(texts))
@@ -188,9 +196,7 @@ def train(texts: list[str], y: np.ndarray, shift: float, seed: int = 5, epochs:
             used, ids_here = np.unique(np.concatenate([which[at[w] : at[w] + size[w]] for w in worst[d]] or [which[:0]]), return_inverse=True)
             lens = size[worst[d]]
             local_at = np.cumsum(lens) - lens
-            own = np.concatenate([np.arange(first[u], first[u] + n_grams[u]) for u in used] or [np.zeros(0, np.int64)]).astype(np.int64)
-            own_first = np.cumsum(n_grams[used]) - n_grams[used]
-            xin = np.vstack((word_inputs(p, kinds[used], grams[own], own_first), np.zeros((1, DIM), np.float32)))
+            xin = np.vstack((word_inputs(p, word_row[used], gram_row[used]), np.zeros((1, DIM), np.float32)))
             ids, mask = _layout(ids_here, local_at, lens, len(used))
             out, (s, k, a, m, sf, sb) = forward(p, xin, ids, mask, keep=True)
             g = ((_sigmoid(out) - y[d]) / len(d)).astype(np.float32)
@@ -210,8 +216,9 @@ def train(texts: list[str], y: np.ndarray, shift: float, seed: int = 5, epochs:
                 gx = gx + gpx @ p[f"x{d_}"].T
             gx = gx[:-1]
             grad["words"], grad["grams"] = np.zeros_like(p["words"]), np.zeros_like(p["grams"])
-            np.add.at(grad["words"], word_bucket[used], gx)
-            np.add.at(grad["grams"], gram_bucket[own], np.repeat(gx / np.maximum(n_grams[used], 1)[:, None], n_grams[used], axis=0))
+            np.add.at(grad["words"], word_row[used], gx)
+            np.add.at(grad["grams"], gram_row[used], gx[:, None, :] / per)
+            grad["words"][-1] = grad["grams"][-1] = 0
             step += 1
             for name, v in p.items():
                 m1, m2 = moments[name]
@@ -220,14 +227,7 @@ def train(texts: list[str], y: np.ndarray, shift: float, seed: int = 5, epochs:
                 m2 += 0.01 * (grad[name] ** 2 - m2)
                 v -= (slow * rate * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
     p["d"] = p["d"] + np.float32(shift)
-    return p
-
-
-def _spread(first: np.ndarray, n: np.ndarray, which: np.ndarray) -> np.ndarray:
-    """Indices of the grams of every word occurrence."""
-    take = n[which]
-    start = np.repeat(first[which], take)
-    return start + np.arange(int(take.sum())) - np.repeat(np.cumsum(take) - take, take)
+    return p | {"word_vocabulary": word_vocabulary, "gram_vocabulary": gram_vocabulary}
 
 
 def _logits(p: dict, x: np.ndarray, which: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -237,8 +237,9 @@ def _logits(p: dict, x: np.ndarray, which: np.ndarray, at: np.ndarray, size: np.
 def text_scores(p: dict, data: np.ndarray, offs: np.ndarray, powers: Powers) -> np.ndarray:
     """The score of the worst of all windows of each row of a slice."""
     n = len(offs) - 1
-    doc, which, kinds, grams, first = distinct_words(data, offs, powers)
-    x = np.vstack((word_inputs(p, kinds, grams, first), np.zeros((1, DIM), np.float32)))
+    doc, which, kinds, grams = distinct_words(data, offs, powers)
+    rows = place_in(p["word_vocabulary"], kinds), place_in(p["gram_vocabulary"], grams).reshape(len(kinds), -1)
+    x = np.vstack((word_inputs(p, *rows), np.zeros((1, DIM), np.float32))) if len(kinds) else np.zeros((1, DIM), np.float32)
     at, size, of = windows(doc, n)
     by_size = np.argsort(size, kind="stable")  # windows of a chunk have about the same length
     logit = np.empty(len(at), np.float32)
