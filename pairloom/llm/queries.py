@@ -9,7 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import lines, mixing, quality, sharding, toxicity, winnow
+from pairloom.llm import decontaminate, lines, mixing, quality, sharding, toxicity, winnow
 from pairloom.llm.samples import held_out
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -183,6 +183,14 @@ def op7_mix_sources(spark, sf_dir):
     return mixing.mix_to_weights(docs, "doc_id", "text", F.expr(DOMAIN), WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED).drop("text")
 
 
+# -- 8: decontamination ------------------------------------------------------------------------------
+
+
+@query()
+def op8_benchmark_leaks(spark, sf_dir):
+    return decontaminate.find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 # -- 9: toxicity -------------------------------------------------------------------------------------
 
 

@@ -58,6 +58,13 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", most: int =
             at = to
 
 
+def fold_latin(data: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes with the accented capitals of Latin-1 lower-cased as well."""
+    capital = np.zeros(len(data), bool)
+    capital[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+    return data + capital.astype(np.uint8) * np.uint8(0x20) if capital.any() else data
+
+
 class Powers:
     """Powers of an odd base and of its inverse modulo 2^64, extended on demand."""
 

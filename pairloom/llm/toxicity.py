@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from pairloom.llm.samples import labelled_sample, rows_of
-from pairloom.llm.text import LOWER, U64, Powers, mix, slices, words_of
+from pairloom.llm.text import LOWER, U64, Powers, fold_latin, mix, slices, words_of
 
 WINDOW, STRIDE = 64, 48
 MIN_DOCS = 4
@@ -32,6 +32,7 @@ GAP = np.array([not (chr(b).isalnum() or b >= 128) for b in range(256)])
 def distinct_words(data: np.ndarray, offs: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(document, number of the distinct word) of every word, the distinct words' hashes, and their gram
     hashes, as many for each word."""
+    data = fold_latin(data)
     start, end, doc, h = words_of(data, offs, powers, GAP)
     kinds, at, which = np.unique(h, return_index=True, return_inverse=True)
     return doc, which, kinds, word_grams(data, start[at], end[at])
