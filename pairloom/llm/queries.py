@@ -9,7 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import decontaminate, lines, mixing, quality, sharding, toxicity, winnow
+from pairloom.llm import decontaminate, lines, mixing, pii, quality, sharding, toxicity, winnow
 from pairloom.llm.samples import held_out
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -200,3 +200,20 @@ def op9_toxicity_bigru(spark, sf_dir):
     model = toxicity.fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     out = toxicity.score_toxicity(docs.select("doc_id", "text"), model)
     return out.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+# -- 10: personal data -------------------------------------------------------------------------------
+
+
+@query()
+def op10_pii_boosting(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    found = pii.find_spans(docs, pii.fit_spans(docs))
+    n_of = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    joined = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return found.select(
+        "doc_id",
+        *[n_of(k) for k in pii.KINDS],
+        F.sha2(joined("base"), 256).alias("base_sha256"),
+        joined("spans").alias("spans"),
+    )
