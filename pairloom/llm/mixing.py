@@ -14,6 +14,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from pairloom.session import store
+
 LEVELS = ("domain", "lang", "source")
 BIG = "decimal(38,0)"
 
@@ -92,7 +94,8 @@ def mix_to_weights(
         F.expr("case when tokens = 0 then 0 else quota div tokens end").alias("_full_epochs"),
         F.expr("case when tokens = 0 then 0 else quota % tokens end").alias("_rest"),
     )
-    keyed = rows.join(quotas, leaf).withColumn(
+    # a row per leaf, written down: its size is known, and as long as it is small no text is shuffled by leaf
+    keyed = rows.join(store(quotas), leaf).withColumn(
         "_key", F.md5(F.concat_ws(":", F.lit(str(seed)), (F.col("_full_epochs") + 1).cast("string"), F.col("_id")))
     ).withColumn("_bucket", F.substring("_key", 1, buckets))
     sums = keyed.groupBy(*leaf, "_bucket").agg(F.sum("n_tokens").alias("_in"), F.first("_rest").alias("_r"))
@@ -103,7 +106,7 @@ def mix_to_weights(
         .groupBy(*leaf).agg(F.min(F.struct("_bucket", "_before")).alias("_edge"))
         .select(*leaf, F.col("_edge._bucket").alias("_edge_bucket"), F.col("_edge._before").alias("_edge_before"))
     )
-    placed = keyed.join(edge, leaf, "left")  # no edge: the rest is zero words of an empty leaf
+    placed = keyed.join(store(edge), leaf, "left")  # no edge: the rest is zero words of an empty leaf
     upto = Window.partitionBy(*leaf).orderBy("_key", "_id", "_tie").rowsBetween(Window.unboundedPreceding, 0)
     inside = placed.where(F.col("_bucket") == F.col("_edge_bucket")).withColumn("_in", F.col("_edge_before") + F.sum("n_tokens").over(upto) <= F.col("_rest"))
     outside = placed.where(F.col("_edge_bucket").isNull() | (F.col("_bucket") != F.col("_edge_bucket"))).withColumn("_in", F.coalesce(F.col("_bucket") < F.col("_edge_bucket"), F.lit(True)))

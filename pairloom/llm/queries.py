@@ -9,7 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import decontaminate, lines, mixing, pii, quality, sharding, toxicity, winnow
+from pairloom.llm import decontaminate, jaccard, lines, mixing, pii, quality, sharding, toxicity, winnow
 from pairloom.llm.samples import held_out
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,33 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+# -- 1: near copies ----------------------------------------------------------------------------------
+
+JACCARD_SQL = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents
+),
+s as (
+  select doc_id, list_distinct(case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')]
+    else list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) end) as sh from w
+),
+n as (select doc_id, len(sh) as n from s),
+t as (select doc_id, unnest(sh) as g from s),
+common as (select a.doc_id as a, b.doc_id as b, count(*) as k from t a join t b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+links as (
+  select a, b from common join n x on x.doc_id = a join n y on y.doc_id = b where 100 * k >= 80 * (x.n + y.n - k)
+),
+both_ways as (select a, b from links union select b, a from links),
+reach as (select a, b from both_ways union select r.a, e.b from reach r join both_ways e on r.b = e.a)
+select n.doc_id, n.n::bigint as n_shingles, least(n.doc_id, coalesce(min(r.b), n.doc_id)) as component_id
+from n left join reach r on r.a = n.doc_id group by n.doc_id, n.n"""
+
+
+@query(JACCARD_SQL.strip())
+def op1_ngram_jaccard(spark, sf_dir):
+    return jaccard.similar_components(documents(spark, sf_dir)).drop("text_hash")
+
+
 # -- 2: shards ---------------------------------------------------------------------------------------
 
 def shard_dims() -> list:
