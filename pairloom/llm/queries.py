@@ -9,7 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import decontaminate, jaccard, lines, mixing, pii, quality, sharding, toxicity, winnow
+from pairloom.llm import decontaminate, jaccard, lines, mixing, pii, quality, sharding, suffixes, toxicity, winnow
 from pairloom.llm.samples import held_out
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,6 +103,14 @@ def op2_hilbert_shards(spark, sf_dir):
     )
 
 
+# -- 3: repeated passages -----------------------------------------------------------------------------
+
+
+@query()
+def op3_suffix_dedup(spark, sf_dir):
+    return suffixes.remove_repeats(documents(spark, sf_dir)).drop("spans")
+
+
 # -- 4: fingerprints ---------------------------------------------------------------------------------
 
 
