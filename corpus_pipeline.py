@@ -28,10 +28,10 @@ def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Of each component of near copies the document of smallest id; a document without id only if its component has none."""
     found = jaccard.similar_components(docs)
     no_id = F.lit(-(1 << 63))
-    drop = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", no_id).alias("_k"), F.col("text_hash").alias("_th"))
-    keyed = docs.withColumn("_k", F.coalesce("doc_id", no_id)).withColumn("_th", F.xxhash64(F.coalesce("text", F.lit(""))))
-    one = keyed.join(drop, ["_k", "_th"], "left_anti")
-    return one.dropDuplicates(["_k", "_th"]).select(*docs.columns)  # repeated rows are copies, too
+    drop = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", no_id).alias("_pl_k"), F.col("text_hash").alias("_pl_th"))
+    keyed = docs.withColumn("_pl_k", F.coalesce("doc_id", no_id)).withColumn("_pl_th", F.xxhash64(F.coalesce("text", F.lit(""))))
+    one = keyed.join(drop, ["_pl_k", "_pl_th"], "left_anti")
+    return one.dropDuplicates(["_pl_k", "_pl_th"]).select(*docs.columns)  # repeated rows are copies, too
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -159,12 +159,12 @@ def score_quality(docs: DataFrame, model: dict | None, text: str = "text", thres
     """``docs`` with ``score`` double (likelihood of label 1) and ``predicted`` int; columns of these names are
     replaced. Null and empty texts are scored as one passage without words. Without a model the score is 0.5."""
     keep = [c for c in docs.columns if c not in ("score", "predicted")]
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias("_scored_text"))
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias("_pl_text"))
     schema = rows.select(*[F.col(f"`{c}`") for c in keep], F.lit(0.0).alias("score")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
-        for batch, data, offs in slices(batches, "_scored_text"):
+        for batch, data, offs in slices(batches, "_pl_text"):
             if model is None:
                 score = np.full(len(batch), 0.5)
             else:

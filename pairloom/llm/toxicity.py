@@ -23,6 +23,7 @@ from pairloom.llm.text import LOWER, U64, Powers, fold_latin, mix, slices, words
 WINDOW, STRIDE = 64, 48
 MIN_DOCS = 4
 HEADS, TAIL = (3, 4, 5, 6), 4
+N_GRAMS = len(HEADS) + 1
 DIM, HIDDEN, ATTENTION = 8, 8, 8
 SAMPLE = {0: 2000, 1: 1000}
 #: bytes between words: everything ASCII that is no letter or digit
@@ -174,9 +175,8 @@ def train(texts: list[str], y: np.ndarray, shift: float, seed: int = 5, epochs:
     doc, which, kinds, grams = distinct_words(data, offs, Powers())
     at, size, of = windows(doc, len(texts))
     word_vocabulary, word_odds = _vocabulary(kinds[which], doc, y, len(texts))
-    per = len(grams) // max(1, len(kinds))
-    gram_vocabulary, gram_odds = _vocabulary(grams.reshape(-1, per or 1)[which].ravel(), np.repeat(doc, per), y, len(texts))
-    word_row, gram_row = place_in(word_vocabulary, kinds), place_in(gram_vocabulary, grams).reshape(-1, per or 1)
+    gram_vocabulary, gram_odds = _vocabulary(grams.reshape(-1, N_GRAMS)[which].ravel(), np.repeat(doc, N_GRAMS), y, len(texts))
+    word_row, gram_row = place_in(word_vocabulary, kinds), place_in(gram_vocabulary, grams).reshape(-1, N_GRAMS)
     p = {"words": rng.normal(0, 0.05, (len(word_odds) + 1, DIM)), "grams": rng.normal(0, 0.05, (len(gram_odds) + 1, DIM))}
     p["words"][:-1, 0], p["grams"][:-1, 1] = word_odds, gram_odds
     p["words"][-1] = p["grams"][-1] = 0
@@ -218,7 +218,7 @@ def train(texts: list[str], y: np.ndarray, shift: float, seed: int = 5, epochs:
             gx = gx[:-1]
             grad["words"], grad["grams"] = np.zeros_like(p["words"]), np.zeros_like(p["grams"])
             np.add.at(grad["words"], word_row[used], gx)
-            np.add.at(grad["grams"], gram_row[used], gx[:, None, :] / per)
+            np.add.at(grad["grams"], gram_row[used], gx[:, None, :] / N_GRAMS)
             grad["words"][-1] = grad["grams"][-1] = 0
             step += 1
             for name, v in p.items():
@@ -239,7 +239,7 @@ def text_scores(p: dict, data: np.ndarray, offs: np.ndarray, powers: Powers) ->
     """The score of the worst of all windows of each row of a slice."""
     n = len(offs) - 1
     doc, which, kinds, grams = distinct_words(data, offs, powers)
-    rows = place_in(p["word_vocabulary"], kinds), place_in(p["gram_vocabulary"], grams).reshape(len(kinds), -1)
+    rows = place_in(p["word_vocabulary"], kinds), place_in(p["gram_vocabulary"], grams).reshape(-1, N_GRAMS)
     x = np.vstack((word_inputs(p, *rows), np.zeros((1, DIM), np.float32))) if len(kinds) else np.zeros((1, DIM), np.float32)
     at, size, of = windows(doc, n)
     by_size = np.argsort(size, kind="stable")  # windows of a chunk have about the same length
@@ -271,12 +271,12 @@ def score_toxicity(docs: DataFrame, model: dict | None, text: str = "text", thre
     replaced. A null or empty text, and one without words, is a window of padding. Without a model the score
     is 0."""
     keep = [c for c in docs.columns if c not in ("score", "predicted")]
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias("_scored_text"))
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias("_pl_text"))
     schema = rows.select(*[F.col(f"`{c}`") for c in keep], F.lit(0.0).alias("score")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
-        for batch, data, offs in slices(batches, "_scored_text"):
+        for batch, data, offs in slices(batches, "_pl_text"):
             score = np.zeros(len(batch)) if model is None else text_scores(model, data, offs, powers)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score)], names=[*keep, "score"])
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 from pairloom.llm.text import U64, Powers, kgram_hashes, slices, sliding_min
 
 K, W = 16, 48
-LEAST_BUCKETS, MOST_BUCKETS, BUCKET_ROWS = 64, 10_000, 20_000
+LEAST_BUCKETS, MOST_BUCKETS, BUCKET_ROWS = 64, 50_000, 2_000
 
 
 def fingerprints(data: np.ndarray, offs: np.ndarray, powers: Powers, k: int = K, w: int = W) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -133,7 +133,7 @@ def _walk(k: int, w: int, most_chars: int = 1_000_000):
 def compare_with_next(df: DataFrame, id: str = "doc_id", text: str = "text", k: int = K, w: int = W) -> DataFrame:
     """Every document against an edited copy of itself and against the next document by descending id.
 
-    Rows are put in buckets of neighbouring ids (quantiles, between 64 and 10,000 of them), sorted there and
+    Rows are put in buckets of neighbouring ids (quantiles, between 64 and 50,000 of them), sorted there and
     streamed; each bucket gets a copy of the document that follows its last one, so text is shuffled once.
     Null texts are empty; a null id comes last; rows of one id follow each other by text. One row is its
     own successor. Columns of other names are ignored.
