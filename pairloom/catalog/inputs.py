@@ -63,15 +63,16 @@ LINE_ACTIONS = "line_actions as (select l_partkey as aid, l_suppkey as bid, l_re
 
 
 def order_actions(spark: SparkSession, sf: str) -> DataFrame:
-    """Action log between customers: some targets have no profile, some equal the initiator."""
+    """Action log between customers: a quarter of the targets' ids have no profile, some equal the initiator."""
+    reach = table(spark, sf, "customer").agg(F.expr("count(*) * 4 div 3")).scalar()
     return table(spark, sf, "orders").select(
-        F.col("o_custkey").alias("aid"), ((F.col("o_orderkey") * 31) % 2000).alias("bid"),
+        F.col("o_custkey").alias("aid"), ((F.col("o_orderkey") * 31) % reach).alias("bid"),
         F.col("o_orderstatus").alias("resp"),
     )
 
 
 ORDER_ACTIONS = (
-    "order_actions as (select o_custkey as aid, (o_orderkey * 31) % 2000 as bid, o_orderstatus as resp from orders)"
+    "order_actions as (select o_custkey as aid, (o_orderkey * 31) % (select count(*) * 4 // 3 from customer) as bid, o_orderstatus as resp from orders)"
 )
 
 

@@ -480,14 +480,14 @@ def unmatched_actions(spark, sf):
 
 @query(
     with_(*_MATRIX)
-    + """select pos, attr, 1 as type, is_label, (select string_agg(v, ',' order by v) from (
-             select distinct case attr when 'm_salary' then m_salary when 'm_region' then m_region when 'f_salary' then f_salary
-                                       when 'f_region' then f_region else label end::varchar as v from rules)) as domain
-         from (values (0, 'm_salary', 0), (1, 'm_region', 0), (2, 'f_salary', 0), (3, 'f_region', 0), (4, 'label', 1)) t(pos, attr, is_label)"""
+    + """select distinct pos, attr, 1 as type, is_label,
+             case attr when 'm_salary' then m_salary when 'm_region' then m_region when 'f_salary' then f_salary
+                       when 'f_region' then f_region else label end::varchar as value
+         from rules, (values (0, 'm_salary', 0), (1, 'm_region', 0), (2, 'f_salary', 0), (3, 'f_region', 0), (4, 'label', 1)) t(pos, attr, is_label)"""
 )
 def dataset_descriptor(spark, sf):
     matrix = match.build_match_matrix(_order_pairs(spark, sf), I.profiles(spark, sf), I.ROLES)
-    return match.matrix_descriptor(matrix, I.ROLES).withColumn("domain", F.array_join("domain", ","))
+    return match.matrix_descriptor(matrix, I.ROLES)
 
 
 _USER_PAIRS = """user_pairs as (
@@ -679,7 +679,7 @@ def _point_metric(spark, sf):
 
 def _nearest(spark, sf, ties="all"):
     return cluster.assign_nearest(
-        I.points(spark, sf), I.point_centres(spark, sf), _point_metric(spark, sf), ties, key=["p_partkey"]
+        I.points(spark, sf), I.point_centres(spark, sf), _point_metric(spark, sf), ties
     )
 
 
@@ -784,7 +784,7 @@ _STEP = """moves as (
 def kmeans_step(spark, sf):
     """One Lloyd iteration from the first vector of every label, one row per centre component."""
     moved = cluster.kmeans_step(
-        I.vectors(spark, sf).drop("centre_id"), I.vector_centres(spark, sf), key=["vec_id"]
+        I.vectors(spark, sf).drop("centre_id"), I.vector_centres(spark, sf)
     )
     return moved.select("centre_id", "members", F.posexplode("features").alias("pos", "value")).select(
         "centre_id", F.col("pos").cast("bigint").alias("pos"), r6("value").alias("value"), "members"
@@ -1027,7 +1027,7 @@ def kmeans_centres(spark, sf):
 def split_cluster_users(spark, sf):
     """Split clustering per gender: how many users each centre holds."""
     found = segments.split_cluster_users(
-        I.profiles(spark, sf), ("praise", "salary", "body"), I.PROFILE_CATEGORICAL, I.PROFILE_RANGES, k=5, max_iter=3
+        I.profiles(spark, sf), ("praise", "salary", "body"), I.PROFILE_CATEGORICAL, I.PROFILE_RANGES, k=5
     )
     sides = [near.select(F.lit(side).alias("side"), "*") for side, (_, near) in found.items()]
     return sides[0].unionByName(sides[1]).groupBy("side", "centre_id").agg(F.sum("n").alias("members"))
@@ -1054,7 +1054,7 @@ def cluster_items(spark, sf):
 def split_clustering(spark, sf):
     """Split clustering of the distinct parts."""
     profiles, metric = _split_inputs(spark, sf)
-    centres, _ = cluster.split_clustering(profiles, metric, k=10, max_iter=5)
+    centres, _ = cluster.split_clustering(profiles, metric, k=10)
     return centres
 
 

@@ -9,13 +9,18 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pairloom.session import broadcast_if_small
 
 
+def _one_key(key: Sequence[str]) -> Column:
+    """All key columns as one value that is never NULL, so rows with NULL keys meet, too."""
+    return F.to_json(F.struct(*key), {"ignoreNullFields": "false"})
+
+
 def _block_counts(df: DataFrame, key: Sequence[str], block: int, name: str) -> DataFrame:
-    return df.groupBy(*key).agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias(name))
+    return df.groupBy(_one_key(key).alias("_key")).agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias(name))
 
 
 def compare_blocks(
@@ -32,17 +37,17 @@ def compare_blocks(
     """Run ``compare`` on every pair of blocks that share ``key``.
 
     ``row_id`` is the column rows are spread by. ``compare`` sees the block numbers as ``_lb``/``_rb``.
-    Blocks hold about ``block`` rows, those of the left side ``left_block`` when it is given. With
+    A NULL in a key column is a value like any other. Blocks hold about ``block`` rows, those of the left side ``left_block`` when it is given. With
     ``symmetric`` only block pairs with ``_lb <= _rb`` are formed.
     """
     counts = _block_counts(left, key, left_block or block, "_ln").join(
-        _block_counts(right, key, block, "_rn"), list(key)
+        _block_counts(right, key, block, "_rn"), "_key"
     )
     # one row per key: sent along when there are few keys, so that one hot key is not shuffled to one place
     sizes = broadcast_if_small(counts)
 
     def spread(df: DataFrame, own: str, count: str, other: str, other_count: str) -> DataFrame:
-        placed = df.join(sizes, list(key)).withColumn(
+        placed = df.withColumn("_key", _one_key(key)).join(sizes, "_key").withColumn(
             own, F.pmod(F.xxhash64(row_id), F.col(count)).cast("int")
         )
         copies = placed.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_count) - 1)))
@@ -50,7 +55,7 @@ def compare_blocks(
             copies = copies.where(F.col("_lb") <= F.col("_rb"))
         return copies.drop("_ln", "_rn")
 
-    on = [*key, "_lb", "_rb"]
+    on = ["_key", "_lb", "_rb"]
     lhs = spread(left, "_lb", "_ln", "_rb", "_rn").groupBy(*on)
     placed = spread(right, "_rb", "_rn", "_lb", "_ln")
     # both sides may come from one table; fresh names keep their columns apart

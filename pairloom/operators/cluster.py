@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pairloom.functions.distance import Metric, sq_euclidean
 from pairloom.operators.blocks import compare_blocks
 from pairloom.operators.ordering import running_totals, sample_k
-from pairloom.session import broadcast_if_small, materialize, scratch_path, store
+from pairloom.session import broadcast_if_small, materialize, store
 
 CENTRES_PER_TASK = 4096
 POINTS_PER_TASK = 50_000
@@ -42,13 +42,14 @@ def _closest(entries: Column, id_type: T.DataType) -> Column:
 def nearest_in(metric: Metric, points: pd.DataFrame, centres: pd.DataFrame) -> pd.DataFrame:
     """``(d, ids)`` per point of a batch: the smallest distance and the ids of all centres at it."""
     best = np.full(len(points), np.inf)
-    for d in metric.to_centres(points, centres):
-        np.minimum(best, d, out=best)
     ids: list[list] = [[] for _ in range(len(points))]
     for id, d in zip(centres["_id"].tolist(), metric.to_centres(points, centres)):
+        for i in np.flatnonzero(d < best):
+            ids[i] = [id]
         for i in np.flatnonzero(d == best):
             ids[i].append(id)
-    return pd.DataFrame({"d": best, "ids": ids})
+        np.minimum(best, d, out=best)
+    return pd.DataFrame({"d": best, "ids": pd.Series(ids, dtype=object)})
 
 
 def assign_nearest(
@@ -56,7 +57,6 @@ def assign_nearest(
     centres: DataFrame,
     metric: Metric,
     ties: str = "all",
-    key: Sequence[str] = (),
     centre_id: str = "centre_id",
     per_task: int = CENTRES_PER_TASK,
     n_centres: int | None = None,
@@ -65,8 +65,9 @@ def assign_nearest(
 
     ``ties="all"`` gives one row per tied centre, ``"first"`` only the lowest id. Up to ``per_task``
     centres are sent along with the tasks and the whole step is map-only. More of them are cut into blocks
-    of that size that meet blocks of points; each point keeps its best per block and then its best overall,
-    for which ``key`` must name the columns that identify a point. ``n_centres`` spares counting them.
+    of that size that meet blocks of points; each point keeps its best per block and then its best overall.
+    Points are told apart by a row number given here, so repeated and NULL values are rows like others and
+    both ways give the same rows. ``n_centres`` spares counting them.
     """
     metric.check()
     n = centres.count() if n_centres is None else n_centres
@@ -85,25 +86,21 @@ def assign_nearest(
 
         found = points.select(*columns, best(F.struct(*fields)).alias("_best"))
     else:
-        if not key:
-            raise ValueError("more centres than fit one task: name the key columns of a point")
+        numbered = store(points.withColumn("_row", F.monotonically_increasing_id()))  # written down: the number must not change
 
         def best_of_block(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
             if a.empty or b.empty:
-                return pd.DataFrame({c: [] for c in [*key, "d", "ids"]})
-            return pd.concat([a[list(key)].reset_index(drop=True), nearest_in(metric, a, b)], axis=1)
+                return pd.DataFrame({"_row": pd.Series([], dtype="int64"), "d": pd.Series([], dtype="float64"), "ids": pd.Series([], dtype=object)})
+            return pd.concat([a[["_row"]].reset_index(drop=True), nearest_in(metric, a, b)], axis=1)
 
         everything = F.lit(0).alias("_all")
-        lhs = points.select(everything, *dict.fromkeys([*key, *fields]), F.xxhash64(*key).alias("_row"))
+        lhs = numbered.select(everything, "_row", *fields)
         rhs = table.select(everything, "*", F.xxhash64("_id").alias("_row"))
-        kept = ", ".join(f"`{c}` {points.schema[c].dataType.simpleString()}" for c in key)
         per_block = compare_blocks(
-            lhs, rhs, ["_all"], "_row", best_of_block, f"{kept}, {pair}", per_task, left_block=POINTS_PER_TASK
+            lhs, rhs, ["_all"], "_row", best_of_block, f"_row long, {pair}", per_task, left_block=POINTS_PER_TASK
         )
-        winners = per_block.groupBy(*key).agg(
-            _closest(F.collect_list(F.struct("d", "ids")), id_type).alias("_best")
-        )
-        found = points.join(winners, list(key)).select(*columns, "_best")
+        winners = per_block.groupBy("_row").agg(_closest(F.collect_list(F.struct("d", "ids")), id_type).alias("_best"))
+        found = numbered.join(winners, "_row").select(*columns, "_best")
     ids = F.col("_best.ids")
     chosen = F.explode(ids) if ties == "all" else F.array_min(ids)
     return found.select(*columns, chosen.alias(centre_id), F.col("_best.d").alias("distance"))
@@ -139,18 +136,28 @@ def centre_of(
     )
     if not categorical:
         return means
-    kinds = {df.schema[c].dataType for c in categorical}
-    whole = all(isinstance(k, T.IntegralType) for k in kinds)
-    common = "bigint" if whole else ("double" if all(isinstance(k, T.NumericType) for k in kinds) else "string")
-    cells = df.select(*group, w.alias("_w"), *[F.col(c).cast(common).alias(c) for c in categorical]).unpivot(
-        [*group, "_w"], list(categorical), "_attr", "_value"
-    )
-    counted = cells.groupBy(*group, "_attr", "_value").agg(F.sum("_w").alias("_n"))
-    rank = F.struct((-F.col("_n")).alias("n"), F.col("_value").alias("v"))
-    modes = counted.groupBy(*group).agg(
-        *[F.min(F.when(F.col("_attr") == c, rank))["v"].cast(df.schema[c].dataType).alias(c) for c in categorical]
-    )
-    return modes.join(means, list(group))
+    out = means
+    for common, columns in _by_kind(df, categorical).items():
+        cells = df.select(*group, w.alias("_w"), *[F.col(c).cast(common).alias(c) for c in columns]).unpivot(
+            [*group, "_w"], columns, "_attr", "_value"
+        )
+        counted = cells.groupBy(*group, "_attr", "_value").agg(F.sum("_w").alias("_n"))
+        rank = F.struct((-F.col("_n")).alias("n"), F.col("_value").alias("v"))
+        modes = counted.groupBy(*group).agg(
+            *[F.min(F.when(F.col("_attr") == c, rank))["v"].cast(df.schema[c].dataType).alias(c) for c in columns]
+        )
+        out = modes.join(out, list(group))
+    return out
+
+
+def _by_kind(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """Columns by the type their values are compared in: whole numbers, other numbers, or text."""
+    out: dict[str, list[str]] = {}
+    for c in columns:
+        kind = df.schema[c].dataType
+        common = "bigint" if isinstance(kind, T.IntegralType) else "double" if isinstance(kind, T.NumericType) else "string"
+        out.setdefault(common, []).append(c)
+    return out
 
 
 def _pairs_of(n: Column) -> Column:
@@ -237,11 +244,11 @@ def distance_histogram(df: DataFrame, cluster: str, fields: Sequence[str], block
 
 def _block_histogram(vectors: DataFrame, cluster: str, fields: list[str], block: int) -> DataFrame:
     packed = vectors.select(
-        F.col(cluster).alias("_cluster"), F.array(*[F.col(f).cast("string") for f in fields]).alias("_v"), "_n"
+        F.col(cluster).alias("_cluster"), F.array(*[F.to_json(F.struct(f), {"ignoreNullFields": "false"}) for f in fields]).alias("_v"), "_n"
     ).withColumn("_row", F.xxhash64("_v"))
 
     def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"_cluster": [], "distance": [], "pairs": []})
+        empty = pd.DataFrame({"_cluster": pd.Series([], dtype=object), "distance": pd.Series([], dtype="int32"), "pairs": pd.Series([], dtype="int64")})
         if a.empty or b.empty:
             return empty
         own = bool(a["_lb"].iat[0] == a["_rb"].iat[0])
@@ -251,23 +258,23 @@ def _block_histogram(vectors: DataFrame, cluster: str, fields: list[str], block:
         y = np.array(b["_v"].tolist(), dtype=object)
         codes = np.unique(np.concatenate([x.ravel(), y.ravel()]).astype(str), return_inverse=True)[1]
         x, y = codes[: x.size].reshape(x.shape), codes[x.size :].reshape(y.shape)
-        na, nb = a["_n"].to_numpy(float), b["_n"].to_numpy(float)
-        totals = np.zeros(len(fields) + 1)
+        na, nb = a["_n"].to_numpy(np.int64), b["_n"].to_numpy(np.int64)
+        totals = np.zeros(len(fields) + 1, np.int64)
         for i in range(len(x)):
             rest = slice(i + 1, None) if own else slice(None)
             diff = (y[rest] != x[i]).sum(axis=1)
-            totals += na[i] * np.bincount(diff, weights=nb[rest], minlength=len(totals))
+            np.add.at(totals, diff, na[i] * nb[rest])
         if own:
-            totals[0] += (na * (na - 1) / 2).sum()
+            totals[0] += (na * (na - 1) // 2).sum()
         kept = np.flatnonzero(totals)
-        return pd.DataFrame({"_cluster": a["_cluster"].iat[0], "distance": kept, "pairs": totals[kept]})
+        return pd.DataFrame({"_cluster": pd.Series([a["_cluster"].iat[0]] * len(kept), dtype=a["_cluster"].dtype), "distance": kept, "pairs": totals[kept]})
 
     kind = vectors.schema[cluster].dataType.simpleString()
     parts = compare_blocks(
-        packed, packed, ["_cluster"], "_row", compare, f"_cluster {kind}, distance int, pairs double", block, symmetric=True
+        packed, packed, ["_cluster"], "_row", compare, f"_cluster {kind}, distance int, pairs long", block, symmetric=True
     )
     return parts.groupBy(F.col("_cluster").alias(cluster), "distance").agg(
-        F.sum("pairs").cast("decimal(38,0)").alias("pairs")
+        F.sum(F.col("pairs").cast("decimal(38,0)")).cast("decimal(38,0)").alias("pairs")
     )
 
 
@@ -294,68 +301,39 @@ def distance_profile(
 
 # -- bands ------------------------------------------------------------------------------------------
 
-# Distinct distances of one group that are folded as one array: 8 MB.
-MAX_BAND_ARRAY = 1_000_000
-
-
-def band_starts(
-    assigned: DataFrame, group: Sequence[str], distance: str = "distance", delta: float = BAND_DELTA,
-    max_array: int = MAX_BAND_ARRAY,
-) -> DataFrame:
-    """``(group..., starts)``: the ascending band starts of every group.
+def band_starts(assigned: DataFrame, group: Sequence[str], distance: str = "distance", delta: float = BAND_DELTA) -> DataFrame:
+    """``(group..., band, band_start)``: the ascending band starts of every group.
 
     A band starts at the smallest distance not yet covered and covers everything up to start + delta.
-    Only distinct distances matter. Groups whose distinct distances fit an array are folded in one pass;
-    larger ones take one small aggregation per stretch of that width.
+    Only distinct distances matter; a task streams them in order and keeps nothing but the last start, so
+    groups of any width take the same way.
     """
     group = list(group)
-    values = store(assigned.select(*group, F.round(distance, 9).alias("_d")).distinct())
-    # no group is wider than the whole table, so a short table needs no second look
-    widest = values.count()
-    if widest > max_array:
-        widest = values.groupBy(*group).count().agg(F.max("count")).first()[0]
-    if widest <= max_array:
-        start = F.struct(F.lit(float("-inf")).alias("last"), F.array().cast("array<double>").alias("starts"))
-        folded = F.aggregate(
-            F.sort_array(F.collect_list("_d")),
-            start,
-            lambda acc, d: F.when(
-                d > F.round(acc["last"] + F.lit(delta), 9),
-                F.struct(d.alias("last"), F.concat(acc["starts"], F.array(d)).alias("starts")),
-            ).otherwise(acc),
-        )
-        return values.groupBy(*group).agg(folded["starts"].alias("starts"))
-
-    return _starts_by_cell(values, group, delta)
-
-
-def _starts_by_cell(values: DataFrame, group: list[str], delta: float) -> DataFrame:
-    """Band starts of groups too wide for an array. Two starts are more than delta apart, so a cell of that
-    width holds at most one per group. Cells are visited in order and each is read once; what is carried
-    along is the table of starts so far, from which the latest of every group is taken."""
-    spark = values.sparkSession
-    path = scratch_path(spark, "cells")
-    values.withColumn("_cell", F.floor(F.col("_d") / F.lit(delta))).write.partitionBy("_cell").parquet(path)
-    placed = spark.read.parquet(path)
-    cells = sorted(r[0] for r in placed.select("_cell").distinct().collect())
-
-    schema = T.StructType([values.schema[c] for c in group] + [T.StructField("_start", T.DoubleType())])
-    found_path = scratch_path(spark, "starts")
-    spark.createDataFrame([], schema).write.parquet(found_path)
-    reached = F.col("_last").isNull() | (F.col("_d") > F.round(F.col("_last") + F.lit(delta), 9))
-    for cell in cells:
-        last = spark.read.schema(schema).parquet(found_path).groupBy(*group).agg(F.max("_start").alias("_last"))
-        here = placed.where(F.col("_cell") == cell).join(last, group, "left").where(reached)
-        here.groupBy(*group).agg(F.min("_d").alias("_start")).write.mode("append").parquet(found_path)
-    found = spark.read.schema(schema).parquet(found_path)
-    return found.groupBy(*group).agg(F.array_sort(F.collect_list("_start")).alias("starts"))
-
-
-def distance_bands(
-    assigned: DataFrame, group: Sequence[str], distance: str = "distance", delta: float = BAND_DELTA,
-    max_array: int = MAX_BAND_ARRAY,
-) -> DataFrame:
-    """Rows with their ``band`` (0-based) and ``band_start`` inside the group.
+    values = assigned.select(*group, F.round(distance, 9).alias("_d")).where("_d is not null").distinct()
+    ordered = values.repartition(*[F.col(g) for g in group]).sortWithinPartitions(*group, "_d")
+    names = [*group, "band", "band_start"]
+
+    def stream(frames):
+        key, band, reach = None, -1, -math.inf
+        for frame in frames:
+            keys = list(zip(*[frame[g].astype(object).where(frame[g].notna(), None) for g in group]))
+            d, out, i = frame["_d"].to_numpy(float), [], 0
+            while i < len(d):
+                if keys[i] != key:
+                    key, band, reach = keys[i], -1, -math.inf
+                if d[i] > reach:
+                    band, reach = band + 1, round(d[i] + delta, 9)
+                    out.append((*key, band, d[i]))
+                i += 1
+            if out:
+                yield pd.DataFrame(dict(zip(names, (pd.Series(c, dtype=object) for c in zip(*out)))))
+
+    kinds = T.StructType([*[values.schema[g] for g in group], T.StructField("band", T.IntegerType()), T.StructField("band_start", T.DoubleType())])
+    return ordered.mapInPandas(stream, kinds)
+
+
+def distance_bands(assigned: DataFrame, group: Sequence[str], distance: str = "distance", delta: float = BAND_DELTA) -> DataFrame:
+    """Rows with their ``band`` (0-based) and ``band_start`` inside the group; a NULL group is a group.
 
     A band spans at most three cells of width delta, so rows find theirs by an equi-join on (group, cell),
     which also spreads a large group.
@@ -364,18 +342,20 @@ def distance_bands(
     def cell(c: str) -> Column:
         return F.floor(F.round(c, 9) / F.lit(delta))
 
+    own = F.to_json(F.struct(*group), {"ignoreNullFields": "false"})
     bands = (
-        materialize(band_starts(assigned, group, distance, delta, max_array))
-        .select(*group, F.posexplode("starts").alias("band", "band_start"))
+        band_starts(assigned, group, distance, delta)
+        .select(own.alias("_group"), "band", "band_start")
         .withColumn("_cell", F.explode(F.sequence(cell("band_start"), cell("band_start") + 2)))
     )
     d = F.round(distance, 9)
     inside = (d >= F.col("band_start")) & (d <= F.round(F.col("band_start") + F.lit(delta), 9))
     return (
         assigned.withColumn("_cell", cell(distance))
-        .join(broadcast_if_small(bands), [*group, "_cell"])
+        .withColumn("_group", own)
+        .join(broadcast_if_small(bands), ["_group", "_cell"])
         .where(inside)
-        .drop("_cell")
+        .drop("_cell", "_group")
     )
 
 
@@ -405,10 +385,10 @@ def kmeans(
 
 
 def kmeans_step(
-    points: DataFrame, centres: DataFrame, vector: str = "features", centre_id: str = "centre_id", key: Sequence[str] = ()
+    points: DataFrame, centres: DataFrame, vector: str = "features", centre_id: str = "centre_id"
 ) -> DataFrame:
     """One Lloyd iteration: ``(centre_id, members, features)``. Centres without points keep their place."""
-    assigned = assign_nearest(points, centres, Metric("sq_euclidean", (vector,)), "first", key, centre_id)
+    assigned = assign_nearest(points, centres, Metric("sq_euclidean", (vector,)), "first", centre_id)
     width = centres.select(F.size(vector)).first()[0]
     moved = assigned.groupBy(centre_id).agg(
         F.count("*").alias("members"),
@@ -458,12 +438,10 @@ def split_step(
     categorical = [f for f in fields if f in metric.categorical]
     numeric = [f for f in fields if f not in metric.categorical]
     keyed = centres.select(*fields, _centre_key(fields).alias("centre_id"))
-    assigned = store(assign_nearest(profiles, keyed, metric, "all", key=fields, n_centres=n_centres))
-    closest = assigned.groupBy("centre_id").agg(F.min("distance").alias("_min"))
+    assigned = store(assign_nearest(profiles, keyed, metric, "all", n_centres=n_centres))
     limit = F.round(F.col("_min") + F.lit(delta), 9)
-    far = assigned.join(closest, "centre_id").where(F.col("distance") > limit).drop("_min")
-
-    spread = assigned.groupBy("centre_id").agg(F.min("distance").alias("_min"), F.max("distance").alias("_max"))
+    spread = store(assigned.groupBy("centre_id").agg(F.min("distance").alias("_min"), F.max("distance").alias("_max")))
+    far = assigned.join(spread, "centre_id").where(F.col("distance") > limit).drop("_min", "_max")
     kept = keyed.join(spread, "centre_id").select(*fields, (F.col("_max") <= limit).alias("converged"))
     banded = distance_bands(far, ["centre_id"], delta=delta)
     added = centre_of(banded, ["centre_id", "band"], categorical, numeric, weight)

@@ -4,16 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pairloom.functions.scalars import age_years
 from pairloom.operators.clean import NULL_CODE, in_ranges
-from pairloom.session import materialize
 from pairloom.spec import Range
 
 
-def long_form(df: DataFrame, attrs: Sequence[str], keep: Sequence[str] = (), as_type: str = "bigint") -> DataFrame:
-    """``(keep..., attr, value)``, one row per cell: a single scan however many columns there are."""
+def long_form(df: DataFrame, attrs: Sequence[str], keep: Sequence[str] = (), as_type: str | None = None) -> DataFrame:
+    """``(keep..., attr, value)``, one row per cell: a single scan however many columns there are.
+
+    Without ``as_type`` values keep their kind: bigint if all columns are whole numbers, double if all are
+    numbers, string otherwise.
+    """
+    if as_type is None:
+        kinds = [df.schema[a].dataType for a in attrs]
+        whole = all(isinstance(k, (T.IntegralType, T.NullType)) for k in kinds)
+        as_type = "bigint" if whole else "double" if all(isinstance(k, (T.NumericType, T.NullType)) for k in kinds) else "string"
     cast = df.select(*keep, *[F.col(a).cast(as_type).alias(a) for a in attrs])
     return cast.unpivot(list(keep), list(attrs), "attr", "value")
 
@@ -22,12 +29,12 @@ def attribute_distribution(
     df: DataFrame,
     attrs: Sequence[str],
     ranges: Sequence[Range] = (),
-    as_type: str = "bigint",
+    as_type: str | None = None,
     null_value=NULL_CODE,
 ) -> DataFrame:
     """Rows per (attr, value), NULL as -1; only rows inside ``ranges`` when those are given."""
     cells = long_form(in_ranges(df, ranges), attrs, as_type=as_type)
-    value = F.coalesce("value", F.lit(null_value).cast(as_type)).alias("value")
+    value = F.coalesce("value", F.lit(null_value).cast(cells.schema["value"].dataType)).alias("value")
     return cells.groupBy("attr", value).agg(F.count("*").alias("cnt"))
 
 
@@ -38,7 +45,7 @@ def class_distribution(
     ignored: Sequence[str] = (),
     birthday: str | None = None,
     asof: str | None = None,
-    as_type: str = "bigint",
+    as_type: str | None = None,
 ) -> DataFrame:
     """Rows per (target, attr, value). NULL cells and ignored columns are skipped; a birthday column
     is counted as an age, and rows whose age is 0 are dropped."""
@@ -50,14 +57,18 @@ def class_distribution(
 
 
 def cluster_distribution(assigned: DataFrame, cluster: str, attrs: Sequence[str]) -> DataFrame:
-    """Rows per (cluster, attr, integer part of the value)."""
-    cells = long_form(assigned, attrs, keep=[cluster], as_type="double")
-    value = F.coalesce(F.col("value"), F.lit(float(NULL_CODE))).cast("bigint").alias("value")
+    """Rows per (cluster, attr, integer part of the value); texts that are no numbers count as they are."""
+    cells = long_form(assigned, attrs, keep=[cluster])
+    number = F.col("value").try_cast("double").cast("bigint")
+    kind = cells.schema["value"].dataType
+    value = F.coalesce(number.cast(kind) if kind != T.StringType() else F.coalesce(number.cast("string"), F.col("value")), F.lit(NULL_CODE).cast(kind))
+    value = (value if kind == T.StringType() else value.cast("bigint")).alias("value")
     return cells.groupBy(cluster, "attr", value).agg(F.count("*").alias("cnt"))
 
 
 def _logs() -> Column:
-    return F.when(F.col("value") > 0, F.log10(F.col("value").cast("double")))
+    number = F.col("value").try_cast("double")
+    return F.when(number > 0, F.log10(number))
 
 
 def log_moments(dist: DataFrame, attrs: Sequence[str]) -> DataFrame:
@@ -80,11 +91,12 @@ def log_moments(dist: DataFrame, attrs: Sequence[str]) -> DataFrame:
 
 
 def attribute_range(dist: DataFrame, attrs: Sequence[str]) -> DataFrame:
-    """``(attr, lo, hi, span)`` per numeric attribute."""
+    """``(attr, lo, hi, span)`` per numeric attribute; of text only what is a number counts."""
+    number = F.col("value").try_cast("double") if isinstance(dist.schema["value"].dataType, T.StringType) else F.col("value")
     return (
         dist.where(F.col("attr").isin(list(attrs)))
         .groupBy("attr")
-        .agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+        .agg(F.min(number).alias("lo"), F.max(number).alias("hi"))
         .withColumn("span", F.col("hi") - F.col("lo"))
     )
 
@@ -94,28 +106,14 @@ def range_map(dist: DataFrame, attrs: Sequence[str]) -> dict[str, float]:
     return {r["attr"]: float(r["span"]) for r in attribute_range(dist, attrs).collect()}
 
 
-def dataset_descriptor(
-    matrix: DataFrame,
-    columns: Sequence[str],
-    categorical: Sequence[str],
-    label: str,
-    max_domain: int = 100_000,
-) -> DataFrame:
-    """``(pos, attr, type, is_label, domain)`` per column, ``domain`` the sorted distinct values of
-    categoricals and the label as text, NULL for numerics (type 1 categorical, 0 numeric).
-
-    The distinct values are found first and counted; a domain over ``max_domain`` is an error, since a
-    column that wide is not a categorical one.
-    """
+def dataset_descriptor(matrix: DataFrame, columns: Sequence[str], categorical: Sequence[str], label: str) -> DataFrame:
+    """``(pos, attr, type, is_label, value)``: one row per distinct value (as text) of each categorical column
+    and the label, one row with a NULL value for each numeric column (type 1 categorical, 0 numeric).
+    Domains of any size stay distributed."""
     listed = [c for c in columns if c in categorical] + [label]
-    found = materialize(long_form(matrix, listed, as_type="string").where("value is not null").distinct())
-    widest = found.groupBy("attr").count().agg(F.max_by("attr", "count"), F.max("count")).first()
-    if widest[1] is not None and widest[1] > max_domain:
-        raise ValueError(f"column {widest[0]} has {widest[1]} values, more than {max_domain}")
-    domains = found.groupBy("attr").agg(F.array_sort(F.collect_list("value")).alias("domain"))
-    spark = matrix.sparkSession
-    layout = spark.createDataFrame(
+    found = long_form(matrix, listed, as_type="string").where("value is not null").distinct()
+    layout = matrix.sparkSession.createDataFrame(
         [(i, c, int(c in listed), int(c == label)) for i, c in enumerate([*columns, label])],
         "pos int, attr string, type int, is_label int",
     )
-    return layout.join(domains, "attr", "left").select("pos", "attr", "type", "is_label", "domain")
+    return layout.join(found, "attr", "left").select("pos", "attr", "type", "is_label", "value")

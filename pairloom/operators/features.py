@@ -87,9 +87,9 @@ def log_zscore(df: DataFrame, attr: str, moments: DataFrame, name: str) -> DataF
     return df.withColumn(name, z_of(_code(attr), moments_of(moments, [attr])[attr]))
 
 
-def lookup(df: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left", max_rows: int = 200_000) -> DataFrame:
-    """Join a lookup table on, shipping it to every task only when its counted rows are few."""
-    return df.join(broadcast_if_small(small, max_rows), list(on), how)
+def lookup(df: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left", max_bytes: int = 16 << 20) -> DataFrame:
+    """Join a lookup table on, shipping it to every task only when its bytes are few."""
+    return df.join(broadcast_if_small(small, max_bytes), list(on), how)
 
 
 def freq_encode(df: DataFrame, attr: str, dist: DataFrame, name: str) -> DataFrame:

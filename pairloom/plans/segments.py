@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from pairloom.functions.distance import Metric
-from pairloom.operators.clean import in_ranges
+from pairloom.operators.clean import NULL_CODE, in_ranges
 from pairloom.operators.cluster import (
     assign_nearest,
     cluster_centres,
@@ -16,7 +16,7 @@ from pairloom.operators.cluster import (
     kmeans,
     split_clustering,
 )
-from pairloom.operators.distribution import attribute_distribution, cluster_distribution, range_map
+from pairloom.operators.distribution import attribute_distribution, cluster_distribution
 from pairloom.operators.features import distinct_profiles, feature_matrix
 from pairloom.session import materialize, store
 from pairloom.spec import Range
@@ -47,15 +47,15 @@ def cluster_items(
 ) -> Segments:
     """Distribution, encoding, k-means, distance of each item to its centre, value counts per cluster.
 
-    The attributes are joined back before they are counted.
+    Numbers and texts may be mixed; the attributes travel with the vectors.
     """
     dist = materialize(attribute_distribution(df, fields)) if dist is None else dist
-    vectors = store(feature_matrix(df, id, fields, categorical, dist))
+    vectors = store(feature_matrix(df, id, fields, categorical, dist, keep=list(fields)))
     model, assigned = kmeans(vectors, k, max_iter, tol, distance, seed)
     centres = cluster_centres(df.sparkSession, model)
     assigned = store(assigned)
     items = item_distance(assigned, centres, id)
-    profile = cluster_distribution(assigned.select(id, "centre_id").join(df.select(id, *fields), id), "centre_id", fields)
+    profile = cluster_distribution(assigned.select("centre_id", *fields), "centre_id", fields)
     return Segments(centres, items, profile)
 
 
@@ -85,7 +85,9 @@ def cluster_users(
 def profile_metric(profiles: DataFrame, fields: Sequence[str], categorical: Sequence[str]) -> Metric:
     """Gower distance over ``fields`` with the value ranges found in the data."""
     numeric = [f for f in fields if f not in categorical]
-    ranges = range_map(attribute_distribution(profiles, numeric), numeric) if numeric else {}
+    found = [F.coalesce(F.col(f).cast("double"), F.lit(float(NULL_CODE))) for f in numeric]
+    spans = profiles.agg(*[(F.max(v) - F.min(v)).alias(f) for f, v in zip(numeric, found)]).first() if numeric else {}
+    ranges = {f: float(spans[f] or 0.0) for f in numeric}
     return Metric("gower", tuple(fields), tuple(f for f in fields if f in categorical), ranges)
 
 
@@ -108,5 +110,5 @@ def split_cluster_users(
         distinct = store(distinct_profiles(valid.where(F.col(gender) == code), fields))
         centres, _ = split_clustering(distinct, metric, k, delta, max_iter, seed)
         keyed = centres.withColumn("centre_id", F.to_json(F.struct(*fields)))
-        out[side] = (centres, assign_nearest(distinct, keyed, metric, "all", key=fields))
+        out[side] = (centres, assign_nearest(distinct, keyed, metric, "all"))
     return out

@@ -42,9 +42,9 @@ def store(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Hint a broadcast only when the counted rows stay under ``max_rows``.
-
-    Above it the join is left to the planner (shuffle join, split on skew by AQE).
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df
+def broadcast_if_small(df: DataFrame, max_bytes: int = 16 << 20) -> DataFrame:
+    """The table, written down once, with a broadcast hint only when its files are no larger than
+    ``max_bytes``. Beyond that the join is left to the planner (shuffle join, split on skew by AQE)."""
+    kept = store(df)
+    size = int(kept._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return F.broadcast(kept) if size <= max_bytes else kept

@@ -41,7 +41,7 @@ def nearest(points, centres, ties):
 @pytest.mark.parametrize("ties", ["all", "first"])
 @pytest.mark.parametrize("per_task", [4096, 3])
 def test_nearest(points, centres, ties, per_task):
-    got = C.assign_nearest(points, centres, MIXED, ties, key=["id"], per_task=per_task)
+    got = C.assign_nearest(points, centres, MIXED, ties, per_task=per_task)
     assert rows(got) == nearest(points, centres, ties)
 
 
@@ -50,11 +50,17 @@ def test_nearest_is_map_only(points, centres):
     assert "Join" not in plan
 
 
-def test_nearest_needs_centres_and_a_key(spark, points, centres):
+def test_nearest_needs_centres(spark, points, centres):
     with pytest.raises(ValueError, match="no centres"):
         C.assign_nearest(points, centres.where("false"), MIXED)
-    with pytest.raises(ValueError, match="key columns"):
-        C.assign_nearest(points, centres, MIXED, per_task=2)
+
+
+@pytest.mark.parametrize("per_task", [1, 3])
+def test_nearest_keeps_repeated_and_null_rows(spark, points, centres, per_task):
+    """More centres than fit one task give the same rows, whatever repeats or is NULL."""
+    odd = points.unionByName(points).withColumn("id", F.when(F.col("id") % 2 == 0, F.col("id")))
+    small = C.assign_nearest(odd, centres, MIXED)
+    assert rows(C.assign_nearest(odd, centres, MIXED, per_task=per_task)) == rows(small) != []
 
 
 def test_distances(spark):
@@ -131,24 +137,39 @@ def test_wide_histogram_by_blocks(clustered, monkeypatch):
     monkeypatch.setattr(C, "MAX_CUBE_FIELDS", 2)
     got = {(r.c, r.distance): int(r.pairs) for r in C.distance_histogram(df, "c", ["p", "q", "r", "s"], block=7).collect()}
     assert got == dict(histogram(data, 4))
+    none = df.withColumn("c", F.lit(None).cast("string"))
+    narrow = C.distance_histogram(none, "c", ["p"]).agg(F.sum("pairs")).first()[0]
+    assert C.distance_histogram(none, "c", ["p", "q", "r", "s"], block=7).agg(F.sum("pairs")).first()[0] == narrow > 0
 
 
-@pytest.mark.parametrize("max_array", [1000, 0])
-def test_bands(spark, max_array):
+def test_bands(spark):
     values = [0.500, 0.505, 0.509, 0.511, 0.530]
-    data = [("a", v) for v in values] + [("b", 0.7)]
+    data = [("a", v) for v in values] + [("b", 0.7), (None, 0.2), (None, 0.3)]
     df = spark.createDataFrame(data, "g string, distance double")
-    got = rows(C.distance_bands(df, ["g"], max_array=max_array).select("g", "distance", "band", "band_start"))
+    got = rows(C.distance_bands(df, ["g"]).select("g", "distance", "band", "band_start"))
     assert got == [("a", 0.5, 0, 0.5), ("a", 0.505, 0, 0.5), ("a", 0.509, 0, 0.5), ("a", 0.511, 1, 0.511),
-                   ("a", 0.53, 2, 0.53), ("b", 0.7, 0, 0.7)]
+                   ("a", 0.53, 2, 0.53), ("b", 0.7, 0, 0.7), (None, 0.2, 0, 0.2), (None, 0.3, 1, 0.3)]
 
 
 def test_bands_of_many_values_agree(spark):
     rng = random.Random(12)
     data = [(g, round(0.5 + rng.random() ** 2 / 2, 6)) for g in "abc" for _ in range(400 if g != "c" else 1)]
     df = spark.createDataFrame(data, "g string, distance double")
-    folded, by_cell = (rows(C.band_starts(df, ["g"], delta=0.06, max_array=n)) for n in (10_000, 0))
-    assert folded == by_cell and len(folded) == 3
+    want = []
+    for g in "abc":
+        starts: list[float] = []
+        for v in sorted({v for k, v in data if k == g}):
+            if not starts or v > round(starts[-1] + 0.06, 9):
+                starts.append(v)
+        want += [(g, i, v) for i, v in enumerate(starts)]
+    for n in (1, 5):
+        assert rows(C.band_starts(df.repartition(n), ["g"], delta=0.06)) == sorted(want)
+
+
+def test_mode_of_a_tie_is_typed(spark):
+    """Whole numbers stay numbers beside texts: 9 comes before 10."""
+    df = spark.createDataFrame([(1, 10, "b", 0.5), (1, 9, "a", 1.5)], "g int, k int, c string, x double")
+    assert rows(C.centre_of(df, ["g"], ["k", "c"], ["x"]).select("k", "c", "x", "members")) == [(9, "a", 1.0, 2)]
 
 
 def test_distance_profile(spark):

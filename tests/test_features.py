@@ -67,9 +67,13 @@ def test_range_and_range_map(people):
 def test_descriptor(spark, people):
     df = people.withColumn("label", F.col("id") % 2)
     got = rows(D.dataset_descriptor(df, ["x", "k"], ["k"], "label"))
-    assert got == [(0, "x", 0, 0, None), (1, "k", 1, 0, ["1", "2", "5"]), (2, "label", 1, 1, ["0", "1"])]
-    with pytest.raises(ValueError, match="more than 2"):
-        D.dataset_descriptor(df, ["x", "k"], ["k"], "label", max_domain=2)
+    assert got == [(0, "x", 0, 0, None), *[(1, "k", 1, 0, v) for v in "125"], *[(2, "label", 1, 1, v) for v in "01"]]
+
+
+def test_distribution_keeps_kinds(spark):
+    df = spark.createDataFrame([(0.0, "a"), (0.4, "b"), (0.9, None)], "x double, c string")
+    assert D.range_map(D.attribute_distribution(df, ["x"]), ["x"]) == {"x": 0.9}
+    assert rows(D.attribute_distribution(df, ["c"])) == [("c", "-1", 1), ("c", "a", 1), ("c", "b", 1)]
 
 
 def test_one_hot(people):
@@ -119,6 +123,6 @@ def test_hashed_features(spark):
 
 def test_lookup_keeps_rows(spark, people):
     small = spark.createDataFrame([(1, "one")], "k int, name string")
-    for limit in (10, 0):
-        assert rows(X.lookup(people, small, ["k"], max_rows=limit).select("id", "name")) == [
+    for limit in (1 << 20, 0):
+        assert rows(X.lookup(people, small, ["k"], max_bytes=limit).select("id", "name")) == [
             (1, "one"), (2, None), (3, None), (4, None)]

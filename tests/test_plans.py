@@ -108,7 +108,7 @@ def test_match_pipeline(spark, tmp_path):
     model = match.train_match_model(actions, profiles, codes, roles, trees=5)
     confusion, acc = match.evaluate_match_model(model, actions, profiles, codes.positives, roles)
     assert acc.first().accuracy > 0.8
-    assert rows(match.unmatched_totals(match.build_action_table(actions, codes), profiles, roles))[-1][0] == "target_without_profile"
+    assert rows(match.unmatched_totals(match.build_action_table(actions, codes), profiles, roles))[-2:] == rows(match.unmatched_totals(match.build_action_table(actions, codes).repartition(3), profiles, roles))[-2:]
     best = match.predict_matches(profiles, model, roles, top_n=3)
     checked = best.collect()
     assert sum(kind[r.user_id] == kind[r.other_id] for r in checked) > 0.8 * len(checked) > 0
@@ -161,3 +161,12 @@ def test_split_cluster_users(people):
     weights = near.select("age", "k", "n").distinct().agg(F.sum("n")).first()[0]
     assert weights == people.where("height <= 200 and sex = 1").count()
     assert auc(near.select(F.lit(1).alias("y"), F.lit(0.5).alias("p")), "y", "p").first().auc is None
+
+
+def test_cluster_items_with_text_and_fractions(spark):
+    rng = random.Random(5)
+    data = [(i, rng.choice("ab"), rng.random() + 5 * (i % 2)) for i in range(60)]
+    found = segments.cluster_items(spark.createDataFrame(data, "id int, c string, x double"), "id", ["c", "x"], ["c"], k=2)
+    assert found.items.count() == 60 and found.profile.where("attr = 'c'").agg(F.sum("cnt")).first()[0] == 60
+    metric = segments.profile_metric(spark.createDataFrame([(0.2,), (2.7,)], "x double"), ["x"], [])
+    assert metric.ranges == {"x": 2.5}
