@@ -453,6 +453,33 @@ def _order_pairs(spark, sf):
     return match.build_action_table(I.order_actions(spark, sf), I.ORDER_CODES)
 
 
+@query(
+    with_(*_MATRIX)
+    + """select kind, count(*) as cnt from (
+           select 'initiator_without_profile' as kind, aid as user_id from resolved where aid not in (select userid from valid)
+           union
+           select 'target_without_profile', bid from resolved where bid not in (select userid from valid)
+           union
+           select 'profile_without_action', userid from valid
+           where userid not in (select aid from resolved) and userid not in (select bid from resolved)) group by kind
+         union all
+         select 'same_gender', count(*) from resolved join valid a on a.userid = aid join valid b on b.userid = bid where a.sex = b.sex"""
+)
+def unmatched_totals(spark, sf):
+    """Keys without a partner, and the pairs left out because both sides have one gender."""
+    return match.unmatched_totals(_order_pairs(spark, sf), I.profiles(spark, sf), I.ROLES)
+
+
+@query(
+    with_(I.ORDER_ACTIONS, I.PROFILES, I.VALID, _ORDER_LABELS, _RESOLVED, _JOINED)
+    + "select aid, bid, label, a_gender, m_salary, m_region, f_salary, f_region from joined"
+)
+def match_pairs_of_repeated_profiles(spark, sf):
+    """Every profile twice: pairs stay single."""
+    valid = clean.valid_profile(I.profiles(spark, sf))
+    return pairs.match_pairs(_order_pairs(spark, sf), valid.unionByName(valid), I.ROLES.male_fields, I.ROLES.female_fields)
+
+
 @query(with_(*_MATRIX) + "select aid, bid, label, a_gender, m_salary, m_region, f_salary, f_region from joined")
 def match_pairs(spark, sf):
     valid = clean.valid_profile(I.profiles(spark, sf))
@@ -615,7 +642,7 @@ def rule_top_matches(spark, sf):
 def rule_match_totals(spark, sf):
     """How many opposite-gender pairs there are and how many match, by two fixed trees."""
     index = _rule_index(spark, sf)
-    return matching.match_totals(index, matching.class_scores(index, 0.5))
+    return matching.match_totals(index, 0.5)
 
 
 # -- splits -----------------------------------------------------------------------------------------
@@ -964,7 +991,7 @@ def forest_match_totals(spark, sf):
     valid = clean.valid_profile(I.profiles(spark, sf))
     roles = I.WIDE_ROLES
     index = matching.index_users(valid, _match_model(spark, sf), roles.male_fields, roles.female_fields)
-    return matching.match_totals(index, matching.class_scores(index, 0.5))
+    return matching.match_totals(index, 0.5)
 
 
 @query()
@@ -1015,6 +1042,34 @@ def kmeans_assignments(spark, sf):
     return assigned.select("vec_id", "centre_id")
 
 
+@query(with_(I.VECTORS) + "select count(*) as vectors, 0 as nearer_elsewhere, 10 as centres from vectors")
+def kmeans_is_optimal(spark, sf):
+    """Every vector is with a centre than which no other is nearer."""
+    model, assigned = cluster.kmeans(I.vectors(spark, sf).drop("centre_id"), 10)
+    own = assigned.select("vec_id", "features", F.col("centre_id").alias("own"))
+    near = cluster.assign_nearest(own, cluster.cluster_centres(spark, model), Metric("sq_euclidean", ("features",)), "all")
+    best = near.groupBy("vec_id").agg(F.max((F.col("own") == F.col("centre_id")).cast("int")).alias("ok"))
+    return best.agg(
+        F.count("*").alias("vectors"), F.count_if(F.col("ok") == 0).cast("int").alias("nearer_elsewhere")
+    ).withColumn("centres", F.lit(len(model.clusterCenters())))
+
+
+@query(with_(I.PROFILES, I.PAYMENTS, I.AGED, I.VALID_PAYMENTS) + "select count(*) as scored, 0 as differing, 0 as outside from valid_payments where iszat = 0")
+def saved_model_scores(spark, sf):
+    """A saved and reloaded propensity model gives every non-payer the same score, between 0 and 1."""
+    spec, _, (model, _) = _payment_logistic(spark, sf)
+    path = scratch_path(spark, "model")
+    tables.save_model(model, path, I.PAYMENT_SPEC)
+    again, _ = tables.load_model(spark, path)
+    old, new = (payment.payment_predict(m, I.payments(spark, sf), spec, I.ASOF).select("memberid", "score") for m in (model, again))
+    both = old.join(new.withColumnRenamed("score", "again"), "memberid", "full_outer")
+    return both.agg(
+        F.count("*").alias("scored"),
+        F.count_if(~F.col("score").eqNullSafe(F.col("again"))).cast("int").alias("differing"),
+        F.count_if((F.col("score") < 0) | (F.col("score") > 1)).cast("int").alias("outside"),
+    )
+
+
 @query()
 def kmeans_centres(spark, sf):
     """The centres of the fitted model, one row per component."""
