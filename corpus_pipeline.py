@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairloom.llm import decontaminate, jaccard, mixing, quality, sharding
 from pairloom.llm.queries import DOMAIN, MIX_SEED, WEIGHTS, shard_dims
-from pairloom.session import store
+from pairloom.session import broadcast_if_small, store
 
 #: nine tenths of the tokens that are left, each document once
 MIX_SHARE = (9, 10)
@@ -26,12 +26,17 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near copies the document of smallest id; a document without id only if its component has none."""
-    found = jaccard.similar_components(docs)
+    found = store(jaccard.similar_components(docs))
     no_id = F.lit(-(1 << 63))
     drop = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", no_id).alias("_pl_k"), F.col("text_hash").alias("_pl_th"))
     keyed = docs.withColumn("_pl_k", F.coalesce("doc_id", no_id)).withColumn("_pl_th", F.xxhash64(F.coalesce("text", F.lit(""))))
-    one = keyed.join(drop, ["_pl_k", "_pl_th"], "left_anti")
-    return one.dropDuplicates(["_pl_k", "_pl_th"]).select(*docs.columns)  # repeated rows are copies, too
+    key = ["_pl_k", "_pl_th"]
+    one = keyed.join(broadcast_if_small(drop.distinct()), key, "left_anti")
+    # repeated rows are copies, too; only their texts are shuffled
+    repeated = found.groupBy(F.coalesce("doc_id", no_id).alias("_pl_k"), F.col("text_hash").alias("_pl_th")).agg(F.count("*").alias("n")).where("n > 1")
+    repeated = broadcast_if_small(repeated.select(*key))
+    single, several = one.join(repeated, key, "left_anti"), one.join(repeated, key, "left_semi")
+    return single.unionByName(several.dropDuplicates(key)).select(*docs.columns)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

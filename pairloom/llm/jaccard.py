@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairloom.llm.components import components
 from pairloom.llm.text import U64, Powers, mix, shingle_sets, slices, words_of
-from pairloom.session import store
+from pairloom.session import broadcast_if_small, store
 
 SKETCH_BITS, STRIPES = 22, 64
 LEAST_FRAGMENTS, FRAGMENT_SHINGLES = 64, 4_000_000
@@ -267,7 +267,8 @@ def _linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, share: tuple[int
     """The candidate pairs that are similar, by partial counts per fragment. Texts are read again for one
     document of each set in question."""
     wanted = pairs.select(F.col("a").alias("ent")).unionByName(pairs.select(F.col("b").alias("ent"))).distinct()
-    texts = docs.join(reps.join(wanted, "ent", "left_semi"), F.col("_th") == F.col("rep"), "left_semi").select("_text")
+    ids = broadcast_if_small(reps.join(wanted, "ent", "left_semi").select("rep"))  # by the bytes written; else text is shuffled
+    texts = docs.join(ids, F.col("_th") == F.col("rep"), "left_semi").select("_text")
     parts = store(texts.mapInArrow(_segments, "ent long, frag int, part binary").dropDuplicates(["ent", "frag"]))
     right = parts.select(F.col("ent").alias("b"), F.col("frag").alias("frag_b"), F.col("part").alias("part_b"))
     met = pairs.join(right, "b").join(parts.withColumnRenamed("ent", "a"), "a").where("frag = frag_b").select("a", "na", "b", "nb", "part", "part_b")
