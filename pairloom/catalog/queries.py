@@ -4,6 +4,7 @@ trained model have none."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -406,6 +407,34 @@ encoded as (
   from profiles, doms where attr = 'body')"""
 
 
+@query(
+    with_(I.PROFILES, _DIST, _MOMENTS, _VECTOR_PARTS)
+    + "select userid, pos::bigint as pos, round(value, 6) as value from encoded where value <> 0"
+)
+def profile_vectors_sparse(spark, sf):
+    """The same as sparse vectors, one row per filled component."""
+    from pyspark.ml.functions import vector_to_array
+
+    dist = materialize(_profile_dist(spark, sf))
+    encoded = features.feature_vectors(I.profiles(spark, sf), "userid", I.PROFILE_FIELDS, I.PROFILE_CATEGORICAL, dist)
+    cells = encoded.select("userid", F.posexplode(vector_to_array("features")).alias("pos", "value")).where("value <> 0")
+    return cells.select("userid", F.col("pos").cast("bigint").alias("pos"), r6("value").alias("value"))
+
+
+@query(with_(I.PROFILES) + "select count(*) as vectors, count(distinct userid) as places, count(distinct userid) as width, 1 as filled from profiles")
+def wide_domain_vectors(spark, sf):
+    """One-hot vectors over as many values as there are users: each user fills a place of their own."""
+    from pyspark.ml.functions import vector_to_array
+
+    users = I.profiles(spark, sf).select(F.col("userid").alias("row"), "userid")
+    vectors = features.feature_vectors(users, "row", ["userid"], ["userid"], distribution.attribute_distribution(users, ["userid"]))
+    hot = vector_to_array("features")
+    found = vectors.select(F.size(hot).alias("width"), F.array_position(hot, F.lit(1.0)).alias("place"), F.size(F.filter(hot, lambda v: v != 0)).alias("filled"))
+    return found.agg(
+        F.count("*").alias("vectors"), F.count_distinct("place").alias("places"), F.max("width").cast("bigint").alias("width"), F.max("filled").alias("filled")
+    )
+
+
 @query(
     with_(I.PROFILES, _DIST, _MOMENTS, _VECTOR_PARTS)
     + "select userid, pos::bigint as pos, round(value, 6) as value from encoded"
@@ -554,6 +583,58 @@ def gower_pairs(spark, sf):
     )
 
 
+#: named groups of profile fields, compared by themselves
+FIELD_GROUPS = {"figure": ("age", "height", "body"), "highlight": ("salary",)}
+
+
+@query(
+    with_(I.ORDER_ACTIONS, I.PROFILES, _USER_PAIRS)
+    + """, spans as (select (max(age) - min(age))::double as age, (max(height) - min(height))::double as height from profiles)
+         select 'figure' as field_group, aid, bid, round(((a_body = b_body)::int + (1 - abs(a_age - b_age) / age) + (1 - abs(a_height - b_height) / height)) / 3.0::double, 6) as similarity
+         from user_pairs, spans
+         union all select 'highlight', aid, bid, (a_salary = b_salary)::int::double from user_pairs"""
+)
+def gower_pairs_by_group(spark, sf):
+    """Gower similarity of acting pairs for each named group of fields."""
+    rows = _user_pairs(spark, sf)
+    sides = (lambda f: F.col(f"a_{f}"), lambda f: F.col(f"b_{f}"))
+    parts = []
+    for name, fields in FIELD_GROUPS.items():
+        categorical = [f for f in fields if f in I.PROFILE_CATEGORICAL]
+        metric = segments.profile_metric(I.profiles(spark, sf), fields, categorical)
+        value = gower_similarity(*sides, categorical, metric.numeric, lambda f, m=metric: F.lit(m.ranges[f]))
+        parts.append(rows.select(F.lit(name).alias("field_group"), "aid", "bid", r6(value).alias("similarity")))
+    return parts[0].unionByName(parts[1])
+
+
+@query(
+    with_(I.PROFILES, I.IN_RANGE)
+    + """select g.field_group, case sex when 0 then 'male' else 'female' end as side, count(*) as users
+         from in_range, (values ('figure'), ('highlight')) g(field_group) where sex in (0, 1) group by 1, 2"""
+)
+def split_cluster_groups(spark, sf):
+    """Split clustering per named group and gender: every user in range has a centre."""
+    found = segments.split_cluster_groups(I.profiles(spark, sf), FIELD_GROUPS, I.PROFILE_CATEGORICAL, I.PROFILE_RANGES, k=5)
+    out = []
+    for group, sides in found.items():
+        for side, (_, near) in sides.items():
+            one = near.dropDuplicates(list(FIELD_GROUPS[group]))  # tied centres repeat a profile
+            out.append(one.agg(F.sum("n").alias("users")).select(F.lit(group).alias("field_group"), F.lit(side).alias("side"), "users"))
+    return reduce(DataFrame.unionByName, out)
+
+
+@query(with_(I.POINTS) + "select count(*) as points, 0 as nearer_elsewhere, 10 as centres from points")
+def lloyd_gower(spark, sf):
+    """Clusters by Gower distance: when they stand still, no point has a nearer centre than its own."""
+    metric = _point_metric(spark, sf)
+    centres, assigned, _ = cluster.lloyd(I.points(spark, sf), metric, 10)
+    near = cluster.assign_nearest(assigned.withColumnRenamed("centre_id", "own").drop("distance"), centres, metric, "all")
+    best = near.groupBy("p_partkey").agg(F.max((F.col("own") == F.col("centre_id")).cast("int")).alias("ok"))
+    return best.agg(
+        F.count("*").alias("points"), F.count_if(F.col("ok") == 0).cast("int").alias("nearer_elsewhere")
+    ).withColumn("centres", F.lit(centres.count()))
+
+
 @query(
     with_(I.ORDER_ACTIONS, I.PROFILES, _USER_PAIRS)
     + """select aid, bid, (a_salary <> b_salary)::int + (a_body <> b_body)::int + (a_age <> b_age)::int

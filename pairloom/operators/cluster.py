@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from pairloom.functions.distance import Metric, sq_euclidean
 from pairloom.operators.blocks import compare_blocks
@@ -384,6 +384,32 @@ def kmeans(
     return model, model.transform(as_vector).drop("_vector")
 
 
+def lloyd(
+    points: DataFrame, metric: Metric, k: int = 10, max_iter: int = 100, seed: int = 42, weight: str | None = None
+) -> tuple[DataFrame, DataFrame, int]:
+    """Clusters by any named distance over scalar fields: random distinct points as seeds, then nearest centre
+    (ties: the lowest id) and new centre (most frequent category, mean number) in turn, until no centre
+    moves or ``max_iter`` rounds. Returns centres as ``(centre_id, fields...)``, the points with their
+    centre and distance, and the rounds. A centre without points keeps its place. Each round is written down."""
+    fields = list(metric.fields)
+    numeric = [f for f in fields if f not in metric.categorical]
+    seeds = seed_centres(points, fields, numeric, k, seed)
+    by_key = Window.orderBy(_centre_key(fields))  # over k rows
+    centres = store(seeds.withColumn("centre_id", F.row_number().over(by_key) - 1))
+    typed = points.withColumns({f: F.col(f).cast("double") for f in numeric})
+    for done in range(1, max_iter + 1):
+        assigned = store(assign_nearest(typed, centres, metric, "first", n_centres=k))
+        moved = centre_of(assigned, ["centre_id"], [f for f in fields if f in metric.categorical], numeric, weight).drop("members")
+        moved = moved.select("centre_id", *[(F.round(f, 9) if f in numeric else F.col(f)).alias(f) for f in fields])
+        kept = centres.join(moved.select("centre_id"), "centre_id", "left_anti").select("centre_id", *fields)
+        after = store(moved.unionByName(kept))
+        same = after.exceptAll(centres.select("centre_id", *fields)).isEmpty()
+        centres = after
+        if same:
+            break
+    return centres, assigned, done
+
+
 def kmeans_step(
     points: DataFrame, centres: DataFrame, vector: str = "features", centre_id: str = "centre_id"
 ) -> DataFrame:

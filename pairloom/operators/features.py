@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import FeatureHasher
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import FeatureHasher, OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pairloom.functions.scalars import log_scaled, max_scaled, mean_centred
 from pairloom.operators.clean import NULL_CODE
 from pairloom.operators.distribution import log_moments
-from pairloom.session import broadcast_if_small
+from pairloom.operators.ordering import running_totals
+from pairloom.session import broadcast_if_small, store
 
 # Below this a standard deviation is rounding noise of a constant column.
 MIN_SIGMA = 1e-12
@@ -167,3 +169,27 @@ def feature_matrix(
         _indicator(dist, f) if f in categorical else F.array(z_of(_code(f), F.col("_moments")[f])) for f in fields
     ]
     return wide.select(id, *keep, F.concat(*parts).alias(name))
+
+
+def value_positions(dist: DataFrame, attr: str) -> DataFrame:
+    """``(value, pos)``: the 0-based place of every value of an attribute in ascending order, ranked by ranges."""
+    return running_totals(dist.where(F.col("attr") == attr).select("value"), [], ["value"]).select("value", "pos")
+
+
+def feature_vectors(
+    df: DataFrame, id: str, fields: Sequence[str], categorical: Sequence[str], dist: DataFrame, keep: Sequence[str] = (), name: str = "features"
+) -> DataFrame:
+    """``feature_matrix`` as sparse vectors, for domains of any size: places come by a join on the value, and a
+    row holds one entry per categorical attribute however many values it has. Every value of ``df`` is in ``dist``."""
+    listed = [f for f in fields if f in categorical]
+    numeric = [f for f in fields if f not in categorical]
+    wide = df.withColumn("_moments", moments_of(log_moments(dist, numeric), numeric)) if numeric else df
+    for f in listed:
+        places = store(value_positions(dist, f)).select(F.col("value").alias("_value"), F.col("pos").cast("double").alias(f"_at_{f}"))
+        wide = wide.withColumn("_value", _as_value(dist, f)).join(places, "_value").drop("_value")
+    wide = wide.withColumns({f"_z_{f}": z_of(_code(f), F.col("_moments")[f]) for f in numeric})
+    stages: list = []
+    if listed:
+        stages.append(OneHotEncoder(inputCols=[f"_at_{f}" for f in listed], outputCols=[f"_hot_{f}" for f in listed], dropLast=False))
+    stages.append(VectorAssembler(inputCols=[f"_hot_{f}" if f in categorical else f"_z_{f}" for f in fields], outputCol=name))
+    return Pipeline(stages=stages).fit(wide).transform(wide).select(id, *keep, name)

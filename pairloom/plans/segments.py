@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
@@ -91,6 +91,16 @@ def profile_metric(profiles: DataFrame, fields: Sequence[str], categorical: Sequ
     return Metric("gower", tuple(fields), tuple(f for f in fields if f in categorical), ranges)
 
 
+def split_cluster_groups(
+    profiles: DataFrame, groups: Mapping[str, Sequence[str]], categorical: Sequence[str], ranges: Sequence[Range], **options
+) -> dict[str, dict[str, tuple[DataFrame, DataFrame]]]:
+    """``split_cluster_users`` for every named group of fields (``DatasetSpec.groups``) by itself."""
+    return {
+        name: split_cluster_users(profiles, fields, [f for f in fields if f in categorical], ranges, **options)
+        for name, fields in groups.items()
+    }
+
+
 def split_cluster_users(
     profiles: DataFrame,
     fields: Sequence[str],

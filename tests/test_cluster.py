@@ -215,3 +215,14 @@ def test_split_clustering_converges(spark):
     assert spread.agg(F.max("w")).first()[0] <= 0.02 + 1e-9
     again, _ = C.split_clustering(profiles.repartition(5), metric, k=2, delta=0.02, max_iter=20, seed=3)
     assert rows(again) == rows(centres)
+
+
+def test_lloyd_by_gower_stands_still(spark):
+    rng = random.Random(9)
+    data = [(i, "ab"[i % 2], rng.random() + 4 * (i % 2)) for i in range(60)]
+    df = spark.createDataFrame(data, "id int, c string, x double")
+    metric = Metric("gower", ("c", "x"), ("c",), {"x": 5.0})
+    centres, assigned, rounds = C.lloyd(df, metric, 2, seed=4)
+    assert rounds < 100 and assigned.count() == 60 and centres.count() == 2
+    again = C.assign_nearest(df, centres, metric, "first")
+    assert rows(again.select("id", "centre_id")) == rows(assigned.select("id", "centre_id"))

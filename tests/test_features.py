@@ -126,3 +126,10 @@ def test_lookup_keeps_rows(spark, people):
     for limit in (1 << 20, 0):
         assert rows(X.lookup(people, small, ["k"], max_bytes=limit).select("id", "name")) == [
             (1, "one"), (2, None), (3, None), (4, None)]
+
+
+def test_sparse_vectors_equal_the_dense_ones(people):
+    dist = D.attribute_distribution(people, ["x", "k", "c"])
+    args = (people, "id", ["k", "x", "c"], ["k", "c"], dist)
+    sparse = X.feature_vectors(*args).select("id", vector_to_array("features").alias("features"))
+    assert rows(sparse) == rows(X.feature_matrix(*args))
