@@ -10,7 +10,8 @@ only where a partner can exist:
 * A first pass sends the distinct anchor hashes of each chunk of texts, five bytes each. Those that occur in two
   documents set a bit in a table of fixed size (``SHARED_BITS``); collisions cost work, not results.
 * Inside a chunk, windows that a smaller document of the chunk holds are settled at once. So of a passage that
-  very many documents share, each chunk sends one bundle.
+  very many documents share, each chunk sends one bundle. Whole bundles of equal bytes are settled as one,
+  and only bundles that share an anchor but differ are looked at window by window.
 * Sampled splitters range-partition the rest by the leading bytes of the anchor. A bucket sorts its
   suffixes by multikey quicksort, eight bytes at a time, only ties going on to the next eight; of equal ones all but
   those of the smallest document are marked. Splitters fall between distinct leading bytes, so equal
@@ -25,25 +26,26 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from pairloom.llm.text import U64, Powers, kgram_hashes, slices, sliding_min, string_bytes
+from pairloom.llm.text import U64, Powers, kgram_hashes, mix, slices, sliding_min, string_bytes
 
 GRAM = 20
 SHARED_BITS, FRAGMENTS = 27, 64
-CHUNK_BYTES = 16_000_000
+CHUNK_BYTES = 8_000_000
 LEAST_BUCKETS, BUCKET_BYTES = 64, 24_000_000
 PIECE_WINDOWS = 400_000
 LOW = U64(0xFFFFFFFF)
 
 
-def bundles(data: np.ndarray, offs: np.ndarray, length: int, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(first window, last window, anchor place, anchor hash) of all bundles of a slice."""
+def bundles(data: np.ndarray, offs: np.ndarray, length: int, powers: Powers) -> tuple[np.ndarray, ...]:
+    """(first window, last window, anchor place, anchor hash, hash of its bytes) of all bundles of a slice."""
     h = kgram_hashes(data, GRAM, powers)
     n = len(data) - length + 1
     if n <= 0:
         e = np.zeros(0, np.int64)
-        return e, e, e, np.zeros(0, U64)
+        return e, e, e, np.zeros(0, U64), np.zeros(0, U64)
     best = sliding_min((h & ~LOW) | (LOW - np.arange(len(h), dtype=U64)), length - GRAM + 1)
     place = (LOW - (best & LOW)).astype(np.int64)
     edge = np.zeros(n + 1, np.int8)
@@ -56,7 +58,12 @@ def bundles(data: np.ndarray, offs: np.ndarray, length: int, powers: Powers) ->
     end = inside.copy()
     end[:-1] &= ~inside[1:] | (place[1:] != place[:-1])
     first, last = np.flatnonzero(new), np.flatnonzero(end)
-    return first, last, place[first], h[place[first]]
+    up, down = powers.upto(len(data))
+    total = np.empty(len(data) + 1, U64)
+    total[0] = 0
+    np.cumsum((data.astype(U64) + U64(1)) * up[: len(data)], out=total[1:])
+    content = mix((total[last + length] - total[first]) * down[first] + (last - first).astype(U64) * U64(0x9E3779B97F4A7C15))
+    return first, last, place[first], h[place[first]], content
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -82,8 +89,8 @@ def _all_bundles(data: np.ndarray, offs: np.ndarray, length: int, powers: Powers
     out, at = [], 0
     while at < len(offs) - 1:
         to = min(len(offs) - 1, max(at + 1, int(np.searchsorted(offs, offs[at] + most, side="right")) - 1))
-        a, b, p, h = bundles(data[offs[at] : offs[to]], offs[at : to + 1] - offs[at], length, powers)
-        out.append((a + offs[at], b + offs[at], p + offs[at], h))
+        a, b, p, *hashes = bundles(data[offs[at] : offs[to]], offs[at : to + 1] - offs[at], length, powers)
+        out.append((a + offs[at], b + offs[at], p + offs[at], *hashes))
         at = to
     return [np.concatenate(c) for c in zip(*out)]
 
@@ -92,7 +99,7 @@ def _anchor_rows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for _, _, data, offs in _chunks(batches):
-            first, _, _, h = _all_bundles(data, offs, length, powers)
+            first, _, _, h, _ = _all_bundles(data, offs, length, powers)
             doc = np.searchsorted(offs, first, side="right")
             order = np.argsort(h, kind="stable")
             h, doc = h[order] >> U64(18), doc[order]
@@ -137,7 +144,7 @@ def _lead_rows(length: int, every: int = 16):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for _, data, offs in slices(batches, "_text"):
-            _, _, place, _ = bundles(data, offs, length, powers)
+            _, _, place, _, _ = bundles(data, offs, length, powers)
             if len(place):
                 yield pa.RecordBatch.from_arrays([pa.array((_leads(data, place[::every]) >> U64(11)).astype(np.float64))], names=["lead"])
 
@@ -168,57 +175,79 @@ def _settle(table, splitters: np.ndarray, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, bits = Powers(), table.value
         for ids, ths, data, offs in _chunks(batches):
-            first, last, place, h = _all_bundles(data, offs, length, powers)
+            first, last, place, h, content = _all_bundles(data, offs, length, powers)
             at = (h >> U64(64 - SHARED_BITS)).astype(np.int64)
-            ok = (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
-            first, last, place = first[ok], last[ok], place[ok]
-            n = last - first + 1
-            win = np.repeat(first, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-            if not len(win):
+            ok = np.flatnonzero((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1)
+            if not len(ok):
                 continue
-            full = _window_hashes(data, offs, win, length, powers)
-            doc = np.searchsorted(offs, win, side="right") - 1
-            order = np.argsort(full, kind="stable")
-            f, d = full[order], doc[order]
-            head = np.flatnonzero(np.concatenate(([True], f[1:] != f[:-1])))
-            least = ids[d[head]]  # rows are in the order of ids
-            gone = np.zeros(len(win), bool)
-            gone[order] = ids[d] > np.repeat(least, np.diff(np.append(head, len(f))))
+            first, last, place, h, content = first[ok], last[ok], place[ok], h[ok], content[ok]
+            row = np.searchsorted(offs, first, side="right") - 1  # rows are in the order of ids
+            whole, differ = _equal_bundles(content, ids[row], h)
+            spans = [(row[whole], first[whole], last[whole] + length)]
+            lo, hi, back = first.copy(), last + length, np.ones(len(first), bool)
+            back[whole] = False
+            if len(differ):
+                n = (last - first + 1)[differ]
+                of = np.repeat(differ, n)
+                win = first[of] + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+                full = _window_hashes(data, offs, win, length, powers)
+                order = np.argsort(full, kind="stable")
+                f, d = full[order], ids[row[of[order]]]
+                head = np.flatnonzero(np.concatenate(([True], f[1:] != f[:-1])))
+                gone = np.zeros(len(win), bool)
+                gone[order] = d > np.repeat(d[head], np.diff(np.append(head, len(f))))
+                spans.append((row[of[gone]], win[gone], win[gone] + length))
+                back[differ] = False
+                left, of = win[~gone], of[~gone]
+                head = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1]))) if len(of) else np.zeros(0, np.int64)
+                lo[of[head]], hi[of[head]] = left[head], left[np.append(head[1:], len(left)) - 1] + length if len(of) else 0
+                back[of[head]] = True
             out_b, out_s, out_p = [], [], []
-            g = np.flatnonzero(gone)
-            sd, ss, se = _merge(doc[g], win[g], win[g] + length)
+            sd, ss, se = _merge(*(np.concatenate(c) for c in zip(*spans)))
             for j in range(0, len(sd), 20_000):
                 k = slice(j, j + 20_000)
                 out_b.append((j // 20_000 + int(offs[-1])) % buckets)
                 out_s.append(True)
                 out_p.append(np.stack((ids[sd[k]], ths[sd[k]], ss[k] - offs[sd[k]], se[k] - offs[sd[k]])).astype(np.int64).tobytes())
-            bundle = np.repeat(np.arange(len(first)), n)[~gone]
-            if len(bundle):
-                left = win[~gone]
-                head = np.flatnonzero(np.concatenate(([True], bundle[1:] != bundle[:-1])))
-                b = bundle[head]
-                lo, hi = left[head], left[np.append(head[1:], len(left)) - 1] + length
-                lead = _leads(data, place[b])
-                bucket = np.searchsorted(splitters, lead, side="right")
-                by = np.argsort(bucket, kind="stable")
-                cut = np.searchsorted(bucket[by], np.arange(buckets + 1))
-                row = np.searchsorted(offs, lo, side="right") - 1
-                for x in np.flatnonzero(np.diff(cut)):
-                    j = by[cut[x] : cut[x + 1]]
-                    size = hi[j] - lo[j]
-                    take = np.repeat(lo[j], size) + np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-                    out_b.append(int(x))
-                    out_s.append(False)
-                    out_p.append(b"".join((
-                        np.array([len(j)], np.int64).tobytes(), ids[row[j]].astype(np.int64).tobytes(), ths[row[j]].astype(np.int64).tobytes(),
-                        lead[j].tobytes(), (lo[j] - offs[row[j]]).astype(np.int64).tobytes(), size.astype(np.int64).tobytes(), data[take].tobytes(),
-                    )))
+            b = np.flatnonzero(back)
+            lo, hi, row = lo[b], hi[b], row[b]
+            lead = _leads(data, place[b])
+            bucket = np.searchsorted(splitters, lead, side="right")
+            by = np.argsort(bucket, kind="stable")
+            cut = np.searchsorted(bucket[by], np.arange(buckets + 1))
+            for x in np.flatnonzero(np.diff(cut)):
+                j = by[cut[x] : cut[x + 1]]
+                size = hi[j] - lo[j]
+                take = np.repeat(lo[j], size) + np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+                out_b.append(int(x))
+                out_s.append(False)
+                out_p.append(b"".join((
+                    np.array([len(j)], np.int64).tobytes(), ids[row[j]].astype(np.int64).tobytes(), ths[row[j]].astype(np.int64).tobytes(),
+                    lead[j].tobytes(), (lo[j] - offs[row[j]]).astype(np.int64).tobytes(), size.astype(np.int64).tobytes(), data[take].tobytes(),
+                )))
             if out_b:
                 yield pa.RecordBatch.from_arrays([pa.array(out_b, pa.int32()), pa.array(out_s), pa.array(out_p, pa.binary())], names=["bucket", "settled", "packed"])
 
     return run
 
 
+def _equal_bundles(content: np.ndarray, doc: np.ndarray, anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bundles whose bytes a document of smaller id holds as a bundle, and, of the others, those whose anchor
+    comes with different bytes, too: these must be compared window by window."""
+    order = np.lexsort((doc, content))
+    c, d = content[order], doc[order]
+    head = np.flatnonzero(np.concatenate(([True], c[1:] != c[:-1])))
+    covered = np.zeros(len(content), bool)
+    covered[order] = d > np.repeat(d[head], np.diff(np.append(head, len(c))))
+    rest = np.flatnonzero(~covered)
+    order = rest[np.lexsort((content[rest], anchor[rest]))]
+    a, c = anchor[order], content[order]
+    new = np.concatenate(([True], a[1:] != a[:-1]))
+    head = np.flatnonzero(new)
+    mixed = c[head] != c[np.append(head[1:], len(a)) - 1]
+    return np.flatnonzero(covered), np.sort(order[np.repeat(mixed, np.diff(np.append(head, len(a))))])
+
+
 def _window_hashes(data: np.ndarray, offs: np.ndarray, win: np.ndarray, length: int, powers: Powers, most: int = 2_000_000) -> np.ndarray:
     out = np.empty(len(win), U64)
     for a in range(0, len(data), most):
@@ -282,9 +311,14 @@ def _bucket(length: int):
         if cols[0]:
             doc, th, lead, start, size, raw = (np.concatenate(c) for c in cols)
             at = np.cumsum(size) - size
-            order = np.argsort(lead, kind="stable")  # equal windows have equal anchors, so pieces end between leads
+            view = memoryview(np.ascontiguousarray(raw))
+            content = np.array([xxhash.xxh3_64_intdigest(view[x : x + n]) for x, n in zip(at.tolist(), size.tolist())], U64)
+            whole, differ = _equal_bundles(content, doc, lead)
+            spans.append(np.stack((doc[whole], th[whole], start[whole], start[whole] + size[whole])))
+            # equal windows have equal anchors, so pieces end between leads
+            order = differ[np.argsort(lead[differ], kind="stable")]
             windows = np.cumsum((size - length + 1)[order])
-            border = np.flatnonzero(np.concatenate((lead[order][1:] != lead[order][:-1], [True]))) + 1
+            border = np.flatnonzero(np.concatenate((lead[order][1:] != lead[order][:-1], [True]))) + 1 if len(order) else order
             i = 0
             while i < len(order):
                 done = windows[i - 1] if i else 0
