@@ -23,7 +23,7 @@ HEADLINE = [
     "match_matrix_rules", "unmatched_actions", "dataset_descriptor", "gower_pairs", "top_matches", "payment_split",
     "roi_grouped_sum", "nearest_centre", "distance_bands", "distance_profile", "kmeans_step", "item_distance",
     "cluster_cohesion", "distance_histogram", "split_step", "confusion_matrix", "auc", "regression_report",
-    "rule_top_matches", "forest_match_scores", "logistic_propensity", "payment_forest_eval", "kmeans_assignments", "roi_model",
+    "rule_top_matches", "forest_match_scores", "forest_match_totals", "cluster_users", "logistic_propensity", "payment_forest_eval", "kmeans_assignments", "roi_model",
 ]
 
 
