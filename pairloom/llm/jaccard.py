@@ -57,15 +57,23 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((kind, id, th, n, ent, stripe, counts), kinds)], names=[c.split()[0] for c in PASS_A.split(", ")])
 
-    seen = False
+    seen, held, size = False, [], 0
+
+    def count() -> None:
+        where, n = np.unique(np.concatenate(held) >> U64(64 - SKETCH_BITS), return_counts=True)
+        sketch[where.astype(np.int64)] += n.astype(np.uint32)
+
     for batch, sets in _sets(batches, powers):
         m = len(sets)
-        if any(map(len, sets)):
-            where = (np.concatenate(sets) >> U64(64 - SKETCH_BITS)).astype(np.int64)
-            sketch += np.bincount(where, minlength=len(sketch)).astype(np.uint32)
-            seen = True
+        held += sets
+        size += sum(map(len, sets))
+        if size > 300_000:
+            count()
+            seen, held, size = True, [], 0
         yield rows([0] * m, batch["_id"].to_pylist(), batch["_th"].to_pylist(), [len(s) for s in sets], [_ent(s) for s in sets], [None] * m, [None] * m)
-    if seen:
+    if size:
+        count()
+    if seen or size:
         parts = [(i, zlib.compress(p.astype(np.uint8).tobytes() if p.max() < 256 else b"L" + p.tobytes(), 1)) for i, p in enumerate(np.split(sketch, STRIPES))]
         k = len(parts)
         yield rows([1] * k, [None] * k, [None] * k, [None] * k, [None] * k, [i for i, _ in parts], [c for _, c in parts])

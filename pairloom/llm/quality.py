@@ -19,7 +19,7 @@ from pairloom.llm.samples import held_out, labelled_sample, rows_of
 from pairloom.llm.text import Powers, slices, words_of
 
 PASSAGE_WORDS = 64
-SAMPLE = {0: 2000, 1: 3000}
+SAMPLE = {0: 1000, 1: 1500}
 EMBED, GATE = 16, 8
 
 
@@ -130,7 +130,7 @@ def bag_scores(p: dict, x: np.ndarray, bag: np.ndarray, n: int) -> np.ndarray:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality", per_class: dict[int, int] | None = None) -> dict | None:
-    """Weights fitted on at most ``per_class`` (2,000 and 3,000) labelled, not held-out documents of each class,
+    """Weights fitted on at most ``per_class`` (1,000 and 1,500) labelled, not held-out documents of each class,
     whole texts; None if a class is missing. The passages of the sample reach the driver as features."""
     sample, counts = labelled_sample(labels, label, per_class or SAMPLE, id)
     if len({y for _, y in sample}) < 2:

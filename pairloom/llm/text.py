@@ -1,6 +1,6 @@
 """Texts of Arrow batches as byte arrays, and the array passes the text operators share.
 
-All passes work on slices of a few megabytes, so a task's memory does not depend on its input; a text
+All passes work on slices of half a megabyte, so a task's memory does not depend on its input; a text
 longer than a slice is a slice of its own and is still taken whole.
 """
 
@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _SPACE = (0x20, *range(0x09, 0x0E))
