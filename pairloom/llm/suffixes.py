@@ -27,6 +27,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from pairloom.llm.text import U64, Powers, kgram_hashes, mix, slices, sliding_min, string_bytes
@@ -217,14 +218,16 @@ def _settle(table, splitters: np.ndarray, length: int):
             cut = np.searchsorted(bucket[by], np.arange(buckets + 1))
             for x in np.flatnonzero(np.diff(cut)):
                 j = by[cut[x] : cut[x + 1]]
+                j = j[np.argsort(lead[j], kind="stable")]  # equal beginnings side by side: they pack well
                 size = hi[j] - lo[j]
                 take = np.repeat(lo[j], size) + np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
                 out_b.append(int(x))
                 out_s.append(False)
                 out_p.append(b"".join((
                     np.array([len(j)], np.int64).tobytes(), ids[row[j]].astype(np.int64).tobytes(), ths[row[j]].astype(np.int64).tobytes(),
-                    lead[j].tobytes(), (lo[j] - offs[row[j]]).astype(np.int64).tobytes(), size.astype(np.int64).tobytes(), data[take].tobytes(),
+                    (lo[j] - offs[row[j]]).astype(np.int64).tobytes(), size.astype(np.int64).tobytes(), (place[b[j]] - lo[j]).astype(np.int8).tobytes(), data[take].tobytes(),
                 )))
+                out_p[-1] = zstandard.compress(out_p[-1], 1)
             if out_b:
                 yield pa.RecordBatch.from_arrays([pa.array(out_b, pa.int32()), pa.array(out_s), pa.array(out_p, pa.binary())], names=["bucket", "settled", "packed"])
 
@@ -303,14 +306,16 @@ def _bucket(length: int):
         cols: list[list[np.ndarray]] = [[] for _ in range(6)]
         shift = 0
         for p in frame.packed[~frame.settled]:
+            p = zstandard.decompress(p)
             k = int(np.frombuffer(p, np.int64, 1)[0])
-            for i, kind in enumerate((np.int64, np.int64, np.uint64, np.int64, np.int64)):
-                cols[i].append(np.frombuffer(p, kind, k, 8 + 8 * k * i))
-            raw = np.frombuffer(p, np.uint8, offset=8 + 40 * k)
-            cols[5].append(raw)
+            for i in range(4):
+                cols[i].append(np.frombuffer(p, np.int64, k, 8 + 8 * k * i))
+            cols[4].append(np.frombuffer(p, np.int8, k, 8 + 32 * k))
+            cols[5].append(np.frombuffer(p, np.uint8, offset=8 + 33 * k))
         if cols[0]:
-            doc, th, lead, start, size, raw = (np.concatenate(c) for c in cols)
+            doc, th, start, size, anchor, raw = (np.concatenate(c) for c in cols)
             at = np.cumsum(size) - size
+            lead = _leads(raw, at + anchor)
             view = memoryview(np.ascontiguousarray(raw))
             content = np.array([xxhash.xxh3_64_intdigest(view[x : x + n]) for x, n in zip(at.tolist(), size.tolist())], U64)
             whole, differ = _equal_bundles(content, doc, lead)
