@@ -12,12 +12,16 @@ hash range); a fragment meets in one task.
 * A list of many sets is not expanded into pairs. Each is first tied to the list's pivot, the one with the
   fewest rarer shingles; these pairs are counted, and what links becomes one component. Then only pairs of
   different components are candidates. No link between components is lost, and within a component none is needed.
+* A list longer than a block is cut into blocks that meet in tasks of their own. Of a pair that passes the bounds,
+  the smaller set stands so early in the order that it reaches past its own size; only such sets are compared, and
+  only with sizes they reach, so a list of sets that share a late shingle needs no comparison at all.
 * Candidates are counted exactly: both sets are cut at fragment borders, each fragment counts its common
   shingles by itself, and the partial counts are summed per pair.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -33,6 +37,7 @@ from pairloom.session import broadcast_if_small, store
 SKETCH_BITS, STRIPES = 22, 64
 LEAST_FRAGMENTS, FRAGMENT_SHINGLES = 64, 4_000_000
 COUNTING_FRAGMENTS = 4
+LIST_BLOCK = 1024
 PASS_A = "kind int, id long, th long, n long, ent long, stripe int, counts binary"
 
 
@@ -243,6 +248,54 @@ def _cross(share: tuple[int, int], block: int = 512):
     return run
 
 
+def _deal(rows: DataFrame) -> DataFrame:
+    """Rows of a list's cell in blocks of about ``LIST_BLOCK``: (own, part), ``own`` being the component where it fills
+    blocks by itself and 0 (no set's name) for the small components together."""
+    counts = store(rows.groupBy("key", "cell", "comp").agg(F.count("*").alias("c")))
+    own = F.when(F.col("c") > LIST_BLOCK, F.col("comp")).otherwise(F.lit(0))
+    total = counts.groupBy("key", "cell", own.alias("own")).agg(F.sum("c").alias("of"))
+    placed = counts.withColumn("own", own).join(total, ["key", "cell", "own"]).select("key", "cell", "comp", "own", F.ceil(F.col("of") / LIST_BLOCK).alias("parts"))
+    part = F.pmod(F.xxhash64(F.when(F.col("own") == 0, F.col("comp")).otherwise(F.col("ent"))), "parts")
+    return store(rows.join(broadcast_if_small(placed), ["key", "cell", "comp"]).withColumn("part", part).drop("parts"))
+
+
+BLOCK = ("key", "cell", "own", "part", "own_b", "part_b")
+
+
+def _meeting(members: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """Members of long lists by block pair (``BLOCK``): ``head`` those of the first block, which reach from their size up
+    to ``reach``, and the rest of the second, whose size is in the cell. Blocks of one component do not meet."""
+    reach = F.expr(f"({share[0] + share[1]} * (n - place) - {share[0]} * n) div {share[0]}")  # the largest partner, see can_link
+    cell = lambda n: F.floor(F.log(n.cast("double")) / math.log(share[1] / share[0])) if share[0] < share[1] else n
+    rows = members.withColumn("reach", reach)
+    ahead = rows.where("reach >= n").withColumn("cell", F.explode(F.sequence(cell(F.col("n")), cell(F.col("reach")))))
+    heads = _deal(ahead)
+    homes = _deal(rows.withColumn("cell", cell(F.col("n"))))
+    second = homes.select("key", "cell", F.col("own").alias("own_b"), F.col("part").alias("part_b")).distinct()
+    meets = heads.select("key", "cell", "own", "part").distinct().join(second, ["key", "cell"]).where("own = 0 or own <> own_b")
+    meets = broadcast_if_small(meets)
+    cols = [*BLOCK, "ent", "n", "place", "comp"]
+    first = heads.join(meets, ["key", "cell", "own", "part"]).select(*cols, F.lit(True).alias("head"))
+    other = homes.withColumnsRenamed({"own": "own_b", "part": "part_b"}).join(meets, ["key", "cell", "own_b", "part_b"])
+    return first.unionByName(other.select(*cols, F.lit(False).alias("head")))
+
+
+def _met(share: tuple[int, int], step: int = 512):
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        head = frame["head"].to_numpy(bool)
+        a, b = (frame[m][["ent", "n", "place", "comp"]].to_numpy(np.int64).T for m in (head, ~head))
+        out = []
+        for i in range(0, a.shape[1], step):
+            e, n, at, comp = (c[i : i + step, None] for c in a)
+            x, y = np.nonzero((n <= b[1]) & (comp != b[3]) & can_link(n, at, b[1], b[2], share))
+            out.append((e[x, 0], n[x, 0], b[0][y], b[1][y]))
+        if not out:
+            return pd.DataFrame({"a": [], "na": [], "b": [], "nb": []}, dtype="int64")
+        return _ordered(*(np.concatenate(c) for c in zip(*out)))
+
+    return run
+
+
 def _explode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for f in frames:
         parts = [(np.full(len(x := np.frombuffer(r[0], np.int64)), k), x, *_read_list(r)[1:]) for k, *r in zip(f.key, f.ents, f.sizes, f.places)]
@@ -325,10 +378,23 @@ def _links(spark: SparkSession, docs: DataFrame, plain: DataFrame, scanned: Data
     stars = store(lists.mapInPandas(_stars(share), PAIR).dropDuplicates(["a", "b"]))
     first = store(_linked(stars, docs, reps, share))
     roots = components(first)
-    members = lists.where(F.length("ents") > 16).mapInPandas(_explode, "key long, ent long, n long, place long")
-    members = members.join(roots.select(F.col("a").alias("ent"), F.col("b").alias("root")), "ent", "left").withColumn("comp", F.coalesce("root", "ent")).drop("root")
-    mixed = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    crossing = members.join(mixed, "key", "left_semi").groupBy("key").applyInPandas(_cross(share), PAIR).dropDuplicates(["a", "b"])
+    crossing = _crossing(lists, roots, share)
     late = store(crossing.join(stars.select("a", "b"), ["a", "b"], "left_anti"))
     second = store(_linked(late, docs, reps, share))
     return components(roots.unionByName(second))
+
+
+def _crossing(lists: DataFrame, roots: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """Pairs of different components of a list that pass the bounds."""
+
+    def mixed(some: DataFrame) -> DataFrame:
+        members = some.mapInPandas(_explode, "key long, ent long, n long, place long")
+        members = members.join(roots.select(F.col("a").alias("ent"), F.col("b").alias("root")), "ent", "left").withColumn("comp", F.coalesce("root", "ent")).drop("root")
+        keys = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
+        return members.join(keys, "key", "left_semi")
+
+    long = F.length("ents") > 8 * LIST_BLOCK
+    found = mixed(lists.where((F.length("ents") > 16) & ~long)).groupBy("key").applyInPandas(_cross(share), PAIR)
+    if not lists.where(long).isEmpty():
+        found = found.unionByName(_meeting(store(mixed(lists.where(long))), share).groupBy(*BLOCK).applyInPandas(_met(share), PAIR))
+    return found.dropDuplicates(["a", "b"])
