@@ -424,12 +424,10 @@ def profile_vectors_sparse(spark, sf):
 @query(with_(I.PROFILES) + "select count(*) as vectors, count(distinct userid) as places, count(distinct userid) as width, 1 as filled from profiles")
 def wide_domain_vectors(spark, sf):
     """One-hot vectors over as many values as there are users: each user fills a place of their own."""
-    from pyspark.ml.functions import vector_to_array
-
+    sparse = F.udf(lambda v: (int(v.size), int(v.indices[0]), len(v.indices)), "width int, place int, filled int")
     users = I.profiles(spark, sf).select(F.col("userid").alias("row"), "userid")
     vectors = features.feature_vectors(users, "row", ["userid"], ["userid"], distribution.attribute_distribution(users, ["userid"]))
-    hot = vector_to_array("features")
-    found = vectors.select(F.size(hot).alias("width"), F.array_position(hot, F.lit(1.0)).alias("place"), F.size(F.filter(hot, lambda v: v != 0)).alias("filled"))
+    found = vectors.select(sparse("features").alias("v")).select("v.*")
     return found.agg(
         F.count("*").alias("vectors"), F.count_distinct("place").alias("places"), F.max("width").cast("bigint").alias("width"), F.max("filled").alias("filled")
     )

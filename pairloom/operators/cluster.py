@@ -117,6 +117,22 @@ def item_distance(
     )
 
 
+def vector_distance(
+    assigned: DataFrame, model: KMeansModel, item: str, vector: str = "features", centre_id: str = "centre_id"
+) -> DataFrame:
+    """``item_distance`` of sparse vectors, by their filled places only. Every task holds the model's k centres."""
+    centres = [np.asarray(c, float) for c in model.clusterCenters()]
+    sent = assigned.sparkSession.sparkContext.broadcast((centres, [float(c @ c) for c in centres]))
+
+    @F.udf("double")
+    def distance(v, i):
+        centre, norm = sent.value[0][i], sent.value[1][i]
+        at, x = (v.indices, v.values) if hasattr(v, "indices") else (slice(None), v.toArray())
+        return max(0.0, norm + float(x @ x - 2 * (x @ centre[at])))
+
+    return assigned.select(F.col(centre_id), item, distance(F.col(vector), F.col(centre_id)).alias("distance"))
+
+
 # -- cluster profiles -------------------------------------------------------------------------------
 
 
@@ -376,7 +392,8 @@ def kmeans(
     measures = {"sq_euclidean": "euclidean", "cosine": "cosine"}
     if distance not in measures:
         raise ValueError(f"k-means runs on {sorted(measures)}, not {distance!r}")
-    as_vector = points.withColumn("_vector", array_to_vector(F.col(vector).cast("array<double>")))
+    listed = isinstance(points.schema[vector].dataType, T.ArrayType)  # else vectors, taken as they are
+    as_vector = points.withColumn("_vector", array_to_vector(F.col(vector).cast("array<double>")) if listed else F.col(vector))
     model = KMeans(
         k=k, maxIter=max_iter, tol=tol, seed=seed, initMode="random", distanceMeasure=measures[distance],
         featuresCol="_vector", predictionCol=centre_id,

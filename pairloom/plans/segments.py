@@ -15,9 +15,10 @@ from pairloom.operators.cluster import (
     item_distance,
     kmeans,
     split_clustering,
+    vector_distance,
 )
 from pairloom.operators.distribution import attribute_distribution, cluster_distribution
-from pairloom.operators.features import distinct_profiles, feature_matrix
+from pairloom.operators.features import MAX_DOMAIN, distinct_profiles, feature_matrix, feature_vectors
 from pairloom.session import materialize, store
 from pairloom.spec import Range
 
@@ -44,17 +45,23 @@ def cluster_items(
     distance: str = "sq_euclidean",
     seed: int = 42,
     dist: DataFrame | None = None,
+    max_domain: int = MAX_DOMAIN,
 ) -> Segments:
     """Distribution, encoding, k-means, distance of each item to its centre, value counts per cluster.
 
-    Numbers and texts may be mixed; the attributes travel with the vectors.
+    Numbers and texts may be mixed; the attributes travel with the vectors. Domains beyond ``max_domain`` values are
+    encoded as sparse vectors.
     """
     dist = materialize(attribute_distribution(df, fields)) if dist is None else dist
-    vectors = store(feature_matrix(df, id, fields, categorical, dist, keep=list(fields)))
+    listed = [f for f in fields if f in categorical]
+    sizes = dist.where(F.col("attr").isin(listed)).groupBy("attr").agg(F.count_distinct("value").alias("n"))
+    wide = not sizes.where(F.col("n") > max_domain).isEmpty()
+    encode = feature_vectors if wide else feature_matrix
+    vectors = store(encode(df, id, fields, categorical, dist, keep=list(fields)))
     model, assigned = kmeans(vectors, k, max_iter, tol, distance, seed)
     centres = cluster_centres(df.sparkSession, model)
     assigned = store(assigned)
-    items = item_distance(assigned, centres, id)
+    items = vector_distance(assigned, model, id) if wide else item_distance(assigned, centres, id)
     profile = cluster_distribution(assigned.select("centre_id", *fields), "centre_id", fields)
     return Segments(centres, items, profile)
 
