@@ -9,8 +9,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import decontaminate, jaccard, lines, mixing, pii, quality, sharding, suffixes, toxicity, winnow
+from pairloom.llm import decontaminate, frames, jaccard, lines, mixing, pii, quality, sharding, suffixes, toxicity, winnow
 from pairloom.llm.samples import held_out
+from pairloom.session import store
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str] = {}
@@ -252,3 +253,38 @@ def op10_pii_boosting(spark, sf_dir):
         F.sha2(joined("base"), 256).alias("base_sha256"),
         joined("spans").alias("spans"),
     )
+
+
+# -- 12: fill in the middle ----------------------------------------------------------------------------
+
+FIM_SQL = r"""
+with u as (
+  select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as us,
+    sha256('7:' || coalesce(doc_id::varchar, '')) as h from documents
+),
+k as (
+  select *, len(us) as n, ('0x' || h[1:8])::bigint % (len(us) + 1) as c1, ('0x' || h[9:16])::bigint % (len(us) + 1) as c2,
+    case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or ('0x' || h[17:24])::bigint % 100 >= 100 then 'plain'
+      when ('0x' || h[25:32])::bigint % 100 < 50 then 'spm' else 'psm' end as form from u
+),
+p as (
+  select doc_id, text, n, form, array_to_string(us[1:least(c1, c2)], '') as pre, array_to_string(us[least(c1, c2) + 1:greatest(c1, c2)], '') as mid,
+    array_to_string(us[greatest(c1, c2) + 1:], '') as suf from k
+),
+o as (
+  select *, case form when 'plain' then text when 'psm' then '<P>' || pre || '<S>' || suf || '<M>' || mid
+    else '<S>' || suf || '<P>' || pre || '<M>' || mid end as output from p
+)
+select doc_id, n::bigint as n, form, case when form <> 'plain' then length(pre) end as prefix_chars, case when form <> 'plain' then length(mid) end as middle_chars,
+  sha256(output) as output_sha256, sha256(case when form = 'plain' then output else
+    (case form when 'psm' then regexp_extract(output, '(?s)^<P>(.*)<S>', 1) else regexp_extract(output, '(?s)<P>(.*)<M>', 1) end)
+    || regexp_extract(output, '(?s)<M>(.*)$', 1)
+    || (case form when 'psm' then regexp_extract(output, '(?s)<S>(.*)<M>', 1) else regexp_extract(output, '(?s)^<S>(.*)<P>', 1) end) end) as restored_sha256
+from o"""
+
+
+@query(FIM_SQL.strip())
+def op12_fim_frames(spark, sf_dir):
+    """Texts are written once as frames; cutting and digests run over them."""
+    stored = store(frames.text_frames(documents(spark, sf_dir)))
+    return frames.output_digests(frames.fill_in_middle(stored))
