@@ -9,7 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import decontaminate, frames, jaccard, lines, mixing, pii, quality, sharding, suffixes, toxicity, winnow
+from pairloom.llm import decontaminate, frames, jaccard, lines, merkle, mixing, pii, quality, sharding, suffixes, toxicity, winnow
 from pairloom.llm.samples import held_out
 from pairloom.session import store
 
@@ -65,13 +65,14 @@ def shard_dims() -> list:
 
 
 #: CRC-32 of UTF-8 bytes as a fold over a table made from its polynomial
-CRC_SQL = """
+CRC_TABLE = """
 crc_table as materialized (
   select list(v order by i) as t from (
     select i, list_reduce(list_prepend(i::bigint, [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]),
       lambda c, z: case when (c & 1) = 1 then xor(3988292384, c >> 1) else c >> 1 end) as v
     from range(256) r(i))
-),
+)"""
+CRC_SQL = CRC_TABLE + """,
 rows_in as (
   select doc_id, coalesce(octet_length(encode(text)), 0) + 1 as size, lang, source,
     case when text is null or text = '' then 0 else xor(4294967295, list_reduce(
@@ -255,6 +256,66 @@ def op10_pii_boosting(spark, sf_dir):
     )
 
 
+# -- 11: manifest --------------------------------------------------------------------------------------
+
+
+def _field(x: str) -> str:
+    return f"case when {x} is null then '-' else octet_length(encode({x}::varchar))::varchar || ':' || {x}::varchar end"
+
+
+def _op11_sql() -> str:
+    leaf = "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", "text")) + ")"
+    shown = "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", "replace(text, chr(10), '')")) + ")"
+    crc = """xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(range(1, octet_length(encode(doc_id::varchar)) * 2, 2),
+      lambda i: ('0x' || substr(hex(encode(doc_id::varchar)), i, 2))::bigint)), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)))"""
+    around = """coalesce(lag(h, 2) over w, '') || coalesce(lag(h) over w, '') as before, coalesce(lead(h) over w, '') || coalesce(lead(h, 2) over w, '') as after"""
+    return f"""
+with recursive {CRC_TABLE.strip()},
+leaves as (
+  select doc_id, source, leaf, case when crc % 2 = 0 then shown else leaf end as shown, count(*) over (partition by source) as n,
+    row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as pos
+  from (select doc_id, source, {leaf} as leaf, {shown} as shown, {crc} as crc from documents, crc_table)
+),
+level as (
+  select source, 0 as l, pos as i, leaf as h, n from leaves
+  union all
+  select source, l + 1, i // 3, sha256(string_agg(h, '' order by i)), any_value((n + 2) // 3) from level where n > 1 group by source, l, i // 3
+),
+tops as (select source, h, row_number() over (order by source nulls first) - 1 as i, count(*) over () as n from level where n = 1),
+over_ as (
+  select 0 as l, i, h, n from tops
+  union all
+  select l + 1, i // 3, sha256(string_agg(h, '' order by i)), any_value((n + 2) // 3) from over_ where n > 1 group by l, i // 3
+),
+beside as (select source, l, i, {around} from level where n > 1 window w as (partition by source, l, i // 3 order by i)),
+beside_top as (select l, i, {around} from over_ where n > 1 window w as (partition by l, i // 3 order by i)),
+steps as (
+  select d.source, d.pos, l, before, after from leaves d join beside b on b.source is not distinct from d.source and b.i = d.pos // (3 ** b.l)::bigint
+  union all
+  select d.source, d.pos, 1000 + l, before, after from leaves d join tops t on t.source is not distinct from d.source join beside_top b on b.i = t.i // (3 ** b.l)::bigint
+),
+numbered as (select *, row_number() over (partition by source, pos order by l) as k from steps),
+proofs as (select source, pos, sha256(string_agg(before || after, '' order by k)) as proof from numbered group by source, pos),
+folds as (
+  select source, pos, 0 as k, shown as h from leaves
+  union all
+  select f.source, f.pos, f.k + 1, sha256(before || h || after) from folds f join numbered s on s.source is not distinct from f.source and s.pos = f.pos and s.k = f.k + 1
+),
+folded as (select source, pos, arg_max(h, k) as h from folds group by source, pos)
+select d.doc_id, d.leaf, t.h as subroot, r.h as root, coalesce(p.proof, sha256('')) as proof_sha256, f.h as folded_root, f.h = r.h as verified
+from leaves d join tops t on t.source is not distinct from d.source join folded f on f.source is not distinct from d.source and f.pos = d.pos
+left join proofs p on p.source is not distinct from d.source and p.pos = d.pos, (select h from over_ where n = 1) r"""
+
+
+@query(_op11_sql().strip())
+def op11_merkle_manifest(spark, sf_dir):
+    """Every document's proof, and whether it still holds where line ends are taken out of every other text."""
+    fields = lambda text: merkle.leaf_of([F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text])
+    touched = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    shown = F.when(touched, fields(F.replace("text", F.lit("\n"), F.lit(""))))
+    return merkle.manifest(documents(spark, sf_dir), "doc_id", "source", fields(F.col("text")), shown)
+
+
 # -- 12: fill in the middle ----------------------------------------------------------------------------
 
 FIM_SQL = r"""
