@@ -9,7 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import decontaminate, frames, jaccard, lines, merkle, mixing, pii, quality, sharding, suffixes, toxicity, winnow
+from pairloom.llm import decontaminate, frames, jaccard, lines, merkle, minhash, mixing, pii, quality, sharding, suffixes, toxicity, winnow
 from pairloom.llm.samples import held_out
 from pairloom.session import store
 
@@ -349,3 +349,18 @@ def op12_fim_frames(spark, sf_dir):
     """Texts are written once as frames; cutting and digests run over them."""
     stored = store(frames.text_frames(documents(spark, sf_dir)))
     return frames.output_digests(frames.fill_in_middle(stored))
+
+
+# -- 13: near copies by minima ---------------------------------------------------------------------------
+
+MINHASH_SQL = (
+    JACCARD_SQL.strip()
+    .replace("len(ws) < 5", "len(ws) < 2").replace("range(1, len(ws) - 3)", "range(1, len(ws))").replace("ws[i:i + 4]", "ws[i:i + 1]")
+    .replace("select n.doc_id, n.n::bigint as n_shingles", "select *, doc_id = component_id as kept from (select n.doc_id, n.n::bigint as n_shingles")
+    + ")"
+)
+
+
+@query(MINHASH_SQL)
+def op13_minhash_dedup(spark, sf_dir):
+    return minhash.near_copies(documents(spark, sf_dir))
