@@ -123,6 +123,16 @@ class Metric:
         elif self.name not in ARRAY_DISTANCES:
             raise ValueError(f"unknown distance {self.name!r}; choose gower or one of {sorted(ARRAY_DISTANCES)}")
 
+    def matrix(self, frame: pd.DataFrame) -> np.ndarray:
+        """The arrays of a batch as rows."""
+        if len(self.fields) == 1:
+            return np.array(frame[self.fields[0]].tolist(), dtype=float)
+        return frame[list(self.fields)].to_numpy(float)
+
+    def to_all(self, points: pd.DataFrame, centres: pd.DataFrame) -> np.ndarray:
+        """(points x centres) distances."""
+        return np.array(list(self.to_centres(points, centres))).reshape(len(centres), len(points)).T
+
     def to_centres(self, points: pd.DataFrame, centres: pd.DataFrame) -> Iterator[np.ndarray]:
         """For every centre in turn, its distance to each point of the batch."""
         if self.name == "gower":
@@ -143,14 +153,9 @@ class Metric:
                 yield np.round(1.0 / (1.0 + same / len(self.fields)), PLACES)
             return
 
-        def matrix(frame: pd.DataFrame) -> np.ndarray:
-            if len(self.fields) == 1:
-                return np.array(frame[self.fields[0]].tolist(), dtype=float)
-            return frame[list(self.fields)].to_numpy(float)
-
-        x = matrix(points)
+        x = self.matrix(points)
         lengths = np.sqrt((x * x).sum(axis=1)) if self.name == "cosine" else None
-        for c in matrix(centres):
+        for c in self.matrix(centres):
             if self.name == "sq_euclidean":
                 d = ((x - c) ** 2).sum(axis=1)
             elif self.name == "hamming":

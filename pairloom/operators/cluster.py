@@ -7,103 +7,23 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from pairloom.functions.distance import Metric, sq_euclidean
 from pairloom.operators.blocks import compare_blocks
+from pairloom.operators.nearest import assign_nearest, best_of
 from pairloom.operators.ordering import running_totals, sample_k
 from pairloom.session import broadcast_if_small, materialize, store
 
-CENTRES_PER_TASK = 4096
-POINTS_PER_TASK = 50_000
 # Fixed value: a band holds what lies within this of its smallest distance.
 BAND_DELTA = 0.01
 
 
-# -- nearest centre ---------------------------------------------------------------------------------
-
-
-def _closest(entries: Column, id_type: T.DataType) -> Column:
-    """Fold of ``(d, ids)`` entries into the smallest distance and every id that reaches it."""
-    start = F.struct(
-        F.lit(float("inf")).alias("d"), F.array().cast(T.ArrayType(id_type)).alias("ids")
-    )
-    return F.aggregate(
-        entries,
-        start,
-        lambda acc, e: F.when(e["d"] < acc["d"], F.struct(e["d"].alias("d"), e["ids"].alias("ids")))
-        .when(e["d"] == acc["d"], F.struct(acc["d"].alias("d"), F.concat(acc["ids"], e["ids"]).alias("ids")))
-        .otherwise(acc),
-    )
-
-
-def nearest_in(metric: Metric, points: pd.DataFrame, centres: pd.DataFrame) -> pd.DataFrame:
-    """``(d, ids)`` per point of a batch: the smallest distance and the ids of all centres at it."""
-    best = np.full(len(points), np.inf)
-    ids: list[list] = [[] for _ in range(len(points))]
-    for id, d in zip(centres["_id"].tolist(), metric.to_centres(points, centres)):
-        for i in np.flatnonzero(d < best):
-            ids[i] = [id]
-        for i in np.flatnonzero(d == best):
-            ids[i].append(id)
-        np.minimum(best, d, out=best)
-    return pd.DataFrame({"d": best, "ids": pd.Series(ids, dtype=object)})
-
-
-def assign_nearest(
-    points: DataFrame,
-    centres: DataFrame,
-    metric: Metric,
-    ties: str = "all",
-    centre_id: str = "centre_id",
-    per_task: int = CENTRES_PER_TASK,
-    n_centres: int | None = None,
-) -> DataFrame:
-    """Points with the ``centre_id`` of their nearest centre and the ``distance`` to it.
-
-    ``ties="all"`` gives one row per tied centre, ``"first"`` only the lowest id. Up to ``per_task``
-    centres are sent along with the tasks and the whole step is map-only. More of them are cut into blocks
-    of that size that meet blocks of points; each point keeps its best per block and then its best overall.
-    Points are told apart by a row number given here, so repeated and NULL values are rows like others and
-    both ways give the same rows. ``n_centres`` spares counting them.
-    """
-    metric.check()
-    n = centres.count() if n_centres is None else n_centres
-    if n == 0:
-        raise ValueError("no centres")
-    id_type = centres.schema[centre_id].dataType
-    pair = f"d double, ids array<{id_type.simpleString()}>"
-    columns, fields = points.columns, list(metric.fields)
-    table = centres.select(F.col(centre_id).alias("_id"), *fields)
-    if n <= per_task:
-        near = table.toPandas()
-
-        @F.pandas_udf(f"struct<{pair}>")
-        def best(batch: pd.DataFrame) -> pd.DataFrame:
-            return nearest_in(metric, batch, near)
-
-        found = points.select(*columns, best(F.struct(*fields)).alias("_best"))
-    else:
-        numbered = store(points.withColumn("_row", F.monotonically_increasing_id()))  # written down: the number must not change
-
-        def best_of_block(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-            if a.empty or b.empty:
-                return pd.DataFrame({"_row": pd.Series([], dtype="int64"), "d": pd.Series([], dtype="float64"), "ids": pd.Series([], dtype=object)})
-            return pd.concat([a[["_row"]].reset_index(drop=True), nearest_in(metric, a, b)], axis=1)
-
-        everything = F.lit(0).alias("_all")
-        lhs = numbered.select(everything, "_row", *fields)
-        rhs = table.select(everything, "*", F.xxhash64("_id").alias("_row"))
-        per_block = compare_blocks(
-            lhs, rhs, ["_all"], "_row", best_of_block, f"_row long, {pair}", per_task, left_block=POINTS_PER_TASK
-        )
-        winners = per_block.groupBy("_row").agg(_closest(F.collect_list(F.struct("d", "ids")), id_type).alias("_best"))
-        found = numbered.join(winners, "_row").select(*columns, "_best")
-    ids = F.col("_best.ids")
-    chosen = F.explode(ids) if ties == "all" else F.array_min(ids)
-    return found.select(*columns, chosen.alias(centre_id), F.col("_best.d").alias("distance"))
+# -- distances to known centres -----------------------------------------------------------------------
 
 
 def item_distance(
@@ -317,35 +237,161 @@ def distance_profile(
 
 # -- bands ------------------------------------------------------------------------------------------
 
-def band_starts(assigned: DataFrame, group: Sequence[str], distance: str = "distance", delta: float = BAND_DELTA) -> DataFrame:
-    """``(group..., band, band_start)``: the ascending band starts of every group.
+class Jumps:
+    """What a run of ascending distances does to the last band start before it.
 
-    A band starts at the smallest distance not yet covered and covers everything up to start + delta.
-    Only distinct distances matter; a task streams them in order and keeps nothing but the last start, so
-    groups of any width take the same way.
+    The band before a run starts less than ``delta`` below where it can reach, so the first start in the run is one of
+    the distances within ``delta`` of the run's first, or the first one beyond them. Each of these is followed to the last
+    start of the run; neighbours that end alike are kept once. ``apply`` is the resulting function.
     """
-    group = list(group)
-    values = assigned.select(*group, F.round(distance, 9).alias("_d")).where("_d is not null").distinct()
-    ordered = values.repartition(*[F.col(g) for g in group]).sortWithinPartitions(*group, "_d")
-    names = [*group, "band", "band_start"]
 
-    def stream(frames):
+    def __init__(self, delta: float):
+        self.delta, self.window = delta, None
+        self.entry, self.start, self.made = np.zeros(0), np.zeros(0), np.zeros(0, np.int64)
+        self.past = False  # whether the last chain is the one that enters beyond the window
+
+    def reach(self, start):
+        return np.round(start + self.delta, 9)
+
+    def feed(self, d: np.ndarray) -> None:
+        """The next ascending distances of the run."""
+        if self.window is None:
+            self.window = self.reach(d[0])
+        near = d[d <= self.window] if not self.past else d[:0]
+        fresh = d[: len(near) + 1] if not self.past and len(near) < len(d) else near
+        self.past |= len(fresh) > len(near)
+        self.entry = np.append(self.entry, fresh)
+        self.start = np.append(self.start, fresh)
+        self.made = np.append(self.made, np.ones(len(fresh), np.int64))
+        while True:
+            at = np.searchsorted(d, self.reach(self.start), side="right")
+            on = at < len(d)
+            if not on.any():
+                return
+            self.start[on] = d[at[on]]
+            self.made[on] += 1
+
+    def pack(self) -> tuple[list[float], list[float], list[int], bool]:
+        keep = np.append((self.start[1:] != self.start[:-1]) | (self.made[1:] != self.made[:-1]), True)
+        if self.past and len(keep) > 1:
+            keep[-2] = True  # the chain beyond the window has no upper end
+        return self.entry[keep].tolist(), self.start[keep].tolist(), self.made[keep].tolist(), self.past
+
+
+def jump(entry: np.ndarray, start: np.ndarray, made: np.ndarray, past: bool, last: float | None, delta: float) -> tuple[float | None, int]:
+    """(last start after the run, starts made in it) of packed ``Jumps``, coming from a last start (None: none yet)."""
+    reach = -math.inf if last is None else float(np.round(last + delta, 9))
+    k = int(np.searchsorted(entry[: len(entry) - past], reach, side="right"))
+    return (float(start[k]), int(made[k])) if k < len(entry) else (last, 0)
+
+
+def _runs(batch: pa.RecordBatch) -> list[tuple[int, int]]:
+    """(from, to) of the runs of one (part, key) in a sorted batch."""
+    if not len(batch):
+        return []
+    new = np.ones(len(batch), bool)
+    if len(batch) > 1:
+        new[1:] = np.logical_or(*[pc.not_equal(batch[c].slice(1), batch[c].slice(0, len(batch) - 1)).to_numpy(zero_copy_only=False) for c in ("_part", "_key")])
+    at = np.flatnonzero(new)
+    return list(zip(at.tolist(), [*at[1:].tolist(), len(batch)]))
+
+
+def _border_jumps(delta: float):
+    """Jump functions of the first and the last group of every part; the groups between lie in it whole."""
+
+    def run(batches):
+        key, jumps, first = None, None, True
+
+        def row(k, j):
+            entry, start, made, past = j.pack()
+            return {"_part": k[0], "_key": k[1], "entry": entry, "start": start, "made": made, "past": past}
+
+        def out(rows):
+            return pa.RecordBatch.from_pylist(rows, schema=pa.schema([("_part", pa.int32()), ("_key", pa.string()), ("entry", pa.list_(pa.float64())), ("start", pa.list_(pa.float64())), ("made", pa.list_(pa.int64())), ("past", pa.bool_())]))
+
+        for batch in batches:
+            rows = []
+            d = batch["_d"].to_numpy(zero_copy_only=False)
+            for i, j in _runs(batch):
+                now = (batch["_part"][i].as_py(), batch["_key"][i].as_py())
+                if now != key:
+                    if key is not None and (first or now[0] != key[0]):
+                        rows.append(row(key, jumps))
+                    first = key is None or now[0] != key[0]
+                    key, jumps = now, Jumps(delta)
+                jumps.feed(d[i:j])
+            if rows:
+                yield out(rows)
+        if key is not None:
+            yield out([row(key, jumps)])
+
+    return run
+
+
+def _carry(delta: float):
+    """Streams a group's parts in order: what each finds as the last start and the number of bands before it."""
+
+    def run(frames):
+        key, last, bands = None, None, 0
+        for f in frames:
+            found = []
+            for part, k, entry, start, made, past in zip(f["_part"], f["_key"], f["entry"], f["start"], f["made"], f["past"]):
+                if k != key:
+                    key, last, bands = k, None, 0
+                found.append((part, k, math.nan if last is None else last, bands))
+                last, new = jump(entry, start, made, past, last, delta)
+                bands += new
+            yield pd.DataFrame(found, columns=["_part", "_key", "_last", "_bands"])
+
+    return run
+
+
+def _replay(group: list[str], delta: float):
+    """Band starts of every part, going on from what was carried into it."""
+
+    def run(batches):
         key, band, reach = None, -1, -math.inf
-        for frame in frames:
-            keys = list(zip(*[frame[g].astype(object).where(frame[g].notna(), None) for g in group]))
-            d, out, i = frame["_d"].to_numpy(float), [], 0
-            while i < len(d):
-                if keys[i] != key:
-                    key, band, reach = keys[i], -1, -math.inf
-                if d[i] > reach:
-                    band, reach = band + 1, round(d[i] + delta, 9)
-                    out.append((*key, band, d[i]))
-                i += 1
-            if out:
-                yield pd.DataFrame(dict(zip(names, (pd.Series(c, dtype=object) for c in zip(*out)))))
+        for batch in batches:
+            d = batch["_d"].to_numpy(zero_copy_only=False)
+            at, bands = [], []
+            for i, j in _runs(batch):
+                now = (batch["_part"][i].as_py(), batch["_key"][i].as_py())
+                if now != key:
+                    last, before = batch["_last"][i].as_py(), batch["_bands"][i].as_py()
+                    key, band = now, (before or 0) - 1
+                    reach = -math.inf if last is None or math.isnan(last) else float(np.round(last + delta, 9))
+                k = i + int(np.searchsorted(d[i:j], reach, side="right"))
+                while k < j:
+                    band, reach = band + 1, float(np.round(d[k] + delta, 9))
+                    at.append(k)
+                    bands.append(band)
+                    k = i + int(np.searchsorted(d[i:j], reach, side="right"))
+            if at:
+                kept = pa.RecordBatch.from_arrays([batch[c] for c in [*group, "_d"]], names=[*group, "band_start"]).take(pa.array(at))
+                yield pa.RecordBatch.from_arrays([*[kept[g] for g in group], pa.array(bands, pa.int32()), kept["band_start"]], names=[*group, "band", "band_start"])
+
+    return run
 
+
+def band_starts(assigned: DataFrame, group: Sequence[str], distance: str = "distance", delta: float = BAND_DELTA) -> DataFrame:
+    """``(group..., band, band_start)``: the ascending band starts of every group.
+
+    A band starts at the smallest distance not yet covered and covers everything up to start + delta. Distinct
+    distances are placed by ranges of (group, distance), so a group of any size lies over many parts. Where a part's
+    first start falls depends on the last one before it: each part gives its first and last group's ``Jumps``, these are
+    applied one after the other per group, and the parts go on from there.
+    """
+    group = list(group)
+    own = F.to_json(F.struct(*group), {"ignoreNullFields": "false"})
+    values = assigned.select(*group, F.round(distance, 9).alias("_d")).where("_d is not null").distinct().withColumn("_key", own)
+    placed = store(values.repartitionByRange("_key", "_d").withColumn("_part", F.spark_partition_id()))
+    in_order = ["_part", "_key", "_d"]
+    narrow = placed.select(*in_order).repartition("_part").sortWithinPartitions(*in_order)
+    borders = narrow.mapInArrow(_border_jumps(delta), "_part int, _key string, entry array<double>, start array<double>, made array<bigint>, past boolean")
+    carried = borders.repartition("_key").sortWithinPartitions("_key", "_part").mapInPandas(_carry(delta), "_part int, _key string, _last double, _bands long")
+    known = placed.join(broadcast_if_small(carried), ["_part", "_key"], "left").select(*group, *in_order, "_last", "_bands")
     kinds = T.StructType([*[values.schema[g] for g in group], T.StructField("band", T.IntegerType()), T.StructField("band_start", T.DoubleType())])
-    return ordered.mapInPandas(stream, kinds)
+    return known.repartition("_part").sortWithinPartitions(*in_order).mapInArrow(_replay(group, delta), kinds)
 
 
 def distance_bands(assigned: DataFrame, group: Sequence[str], distance: str = "distance", delta: float = BAND_DELTA) -> DataFrame:
@@ -415,7 +461,7 @@ def lloyd(
     centres = store(seeds.withColumn("centre_id", F.row_number().over(by_key) - 1))
     typed = points.withColumns({f: F.col(f).cast("double") for f in numeric})
     for done in range(1, max_iter + 1):
-        assigned = store(assign_nearest(typed, centres, metric, "first", n_centres=k))
+        assigned = store(assign_nearest(typed, centres, metric, "first"))
         moved = centre_of(assigned, ["centre_id"], [f for f in fields if f in metric.categorical], numeric, weight).drop("members")
         moved = moved.select("centre_id", *[(F.round(f, 9) if f in numeric else F.col(f)).alias(f) for f in fields])
         kept = centres.join(moved.select("centre_id"), "centre_id", "left_anti").select("centre_id", *fields)
@@ -462,26 +508,25 @@ def _centre_key(fields: Sequence[str]) -> Column:
     return F.to_json(F.struct(*fields))
 
 
-def split_step(
-    profiles: DataFrame,
-    centres: DataFrame,
-    metric: Metric,
-    weight: str = "n",
-    delta: float = BAND_DELTA,
-    n_centres: int | None = None,
-) -> DataFrame:
-    """One round over weighted distinct profiles: the next centres as ``(fields..., converged)``. The
-    given centres are distinct.
+def _nearer(profiles: DataFrame, centres: DataFrame, metric: Metric) -> DataFrame:
+    """Profiles with their nearest centres as ``_d`` and ``_ids``; where they have some already, ``centres`` are further
+    ones. Centres are given as ``(fields...)`` and never move, so earlier distances hold."""
+    fields, own = list(metric.fields), [c for c in profiles.columns if c not in ("_d", "_ids")]
+    found = best_of(profiles, centres.select(*fields, _centre_key(fields).alias("centre_id")), metric)
+    d, ids = F.col("_best.d"), F.col("_best.ids")
+    if "_d" not in profiles.columns:
+        return found.select(*own, d.alias("_d"), ids.alias("_ids"))
+    kept = F.when(d < F.col("_d"), ids).when(d == F.col("_d"), F.concat("_ids", ids)).otherwise(F.col("_ids"))
+    return found.select(*own, F.least(d, "_d").alias("_d"), kept.alias("_ids"))
 
-    Every centre that holds points is kept. It has converged when all its points lie within ``delta`` of
-    its closest one; otherwise each distance band of the points beyond adds a centre made of their most
-    frequent categories and mean numbers.
-    """
+
+def _split_round(state: DataFrame, centres: DataFrame, metric: Metric, weight: str, delta: float) -> DataFrame:
+    """The next centres of profiles that know their nearest ones."""
     fields = list(metric.fields)
     categorical = [f for f in fields if f in metric.categorical]
     numeric = [f for f in fields if f not in metric.categorical]
     keyed = centres.select(*fields, _centre_key(fields).alias("centre_id"))
-    assigned = store(assign_nearest(profiles, keyed, metric, "all", n_centres=n_centres))
+    assigned = state.select(*[c for c in state.columns if c not in ("_d", "_ids")], F.explode("_ids").alias("centre_id"), F.col("_d").alias("distance"))
     limit = F.round(F.col("_min") + F.lit(delta), 9)
     spread = store(assigned.groupBy("centre_id").agg(F.min("distance").alias("_min"), F.max("distance").alias("_max")))
     far = assigned.join(spread, "centre_id").where(F.col("distance") > limit).drop("_min", "_max")
@@ -496,6 +541,17 @@ def split_step(
     return kept.unionByName(fresh).groupBy(*fields).agg(F.bool_or("converged").alias("converged"))
 
 
+def split_step(profiles: DataFrame, centres: DataFrame, metric: Metric, weight: str = "n", delta: float = BAND_DELTA) -> DataFrame:
+    """One round over weighted distinct profiles: the next centres as ``(fields..., converged)``. The
+    given centres are distinct.
+
+    Every centre that holds points is kept. It has converged when all its points lie within ``delta`` of
+    its closest one; otherwise each distance band of the points beyond adds a centre made of their most
+    frequent categories and mean numbers.
+    """
+    return _split_round(store(_nearer(profiles, centres, metric)), centres, metric, weight, delta)
+
+
 def seed_centres(profiles: DataFrame, fields: Sequence[str], numeric: Sequence[str], k: int, seed: int = 42) -> DataFrame:
     """``k`` random distinct profiles as starting centres; numeric fields become doubles."""
     keyed = profiles.select(*fields).distinct().withColumn("_key", _centre_key(fields))
@@ -514,18 +570,24 @@ def split_clustering(
 ) -> tuple[DataFrame, int]:
     """Splits centres until all have converged, the set of centres stops changing, or ``max_iter``.
 
-    Returns the centres as ``(fields..., converged)`` and the rounds taken. Each round is a checkpoint,
-    so lineage does not grow and a lost executor costs one round at most.
+    Returns the centres as ``(fields..., converged)`` and the rounds taken. A profile keeps its nearest centres from
+    round to round and is only compared with those added; a centre that lost all its profiles to nearer ones never wins
+    them back. Each round is written down, so lineage does not grow and a lost executor costs one round at most.
     """
     fields = list(metric.fields)
     numeric = [f for f in fields if f not in metric.categorical]
-    centres = materialize(seed_centres(profiles, fields, numeric, k, seed))
-    n = centres.count()
+    added = centres = materialize(seed_centres(profiles, fields, numeric, k, seed))
+    state, n = profiles, centres.count()
     for done in range(1, max_iter + 1):
-        after = materialize(split_step(profiles, centres, metric, weight, delta, n))
+        if added is not None:
+            state = store(_nearer(state, added, metric))
+        after = materialize(_split_round(state, centres, metric, weight, delta))
         n_after, open_left = after.agg(F.count("*"), F.count_if(~F.col("converged"))).first()
-        same = open_left > 0 and n_after == n and after.join(centres, fields, "left_anti").isEmpty()
+        added = after.join(centres, fields, "left_anti")
+        nothing_new = added.isEmpty()
+        same = open_left > 0 and n_after == n and nothing_new
         centres, n = after, n_after
         if open_left == 0 or same:
             break
+        added = None if nothing_new else added
     return centres, done

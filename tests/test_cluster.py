@@ -39,9 +39,9 @@ def nearest(points, centres, ties):
 
 
 @pytest.mark.parametrize("ties", ["all", "first"])
-@pytest.mark.parametrize("per_task", [4096, 3])
-def test_nearest(points, centres, ties, per_task):
-    got = C.assign_nearest(points, centres, MIXED, ties, per_task=per_task)
+@pytest.mark.parametrize("sent_bytes", [1 << 20, 0])
+def test_nearest(points, centres, ties, sent_bytes):
+    got = C.assign_nearest(points, centres, MIXED, ties, sent_bytes=sent_bytes, per_task=3)
     assert rows(got) == nearest(points, centres, ties)
 
 
@@ -57,10 +57,10 @@ def test_nearest_needs_centres(spark, points, centres):
 
 @pytest.mark.parametrize("per_task", [1, 3])
 def test_nearest_keeps_repeated_and_null_rows(spark, points, centres, per_task):
-    """More centres than fit one task give the same rows, whatever repeats or is NULL."""
+    """Centres in blocks give the same rows, whatever repeats or is NULL."""
     odd = points.unionByName(points).withColumn("id", F.when(F.col("id") % 2 == 0, F.col("id")))
     small = C.assign_nearest(odd, centres, MIXED)
-    assert rows(C.assign_nearest(odd, centres, MIXED, per_task=per_task)) == rows(small) != []
+    assert rows(C.assign_nearest(odd, centres, MIXED, sent_bytes=0, per_task=per_task)) == rows(small) != []
 
 
 def test_distances(spark):
