@@ -7,7 +7,8 @@ of six, two sets of similarity 0.8 share none once in two million pairs, and set
 
 * A band that many classes share is not expanded into pairs. Each class is first tied to the band's smallest class;
   these pairs are checked, and what links becomes one component. Then only pairs of different components that
-  share a band are candidates, by blocks of classes that meet in tasks of their own.
+  share a band are candidates, by blocks of classes that meet in tasks of their own. A pair is looked at in its first
+  common band, and counted there; only links that join components leave a task.
 * Signatures are checked before sets: of the minima, kept to eight bits each, so many must agree that a pair of
   similarity 0.8 fails with a probability of about 1e-9 (six standard deviations), and the sizes must allow the overlap.
 * What is left is counted on whole sets. The text of a band's smallest class is sent once to every ``FAN_OUT`` of its
@@ -27,11 +28,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from pairloom.llm.components import components
 from pairloom.llm.text import U64, Powers, mix, shingle_sets, slices, words_of
-from pairloom.operators.blocks import compare_blocks
 from pairloom.session import broadcast_if_small, store
 
 BANDS, ROWS, WORDS = 48, 6, 2
-FAN_OUT, BLOCK = 2_000, 2_048
+FAN_OUT, BLOCK = 2_000, 1_024
 SCAN = "id long, th long, n long, ent long, bands array<bigint>, sig binary"
 
 
@@ -165,13 +165,17 @@ def _count(share: tuple[int, int], words: int, most: int = 500_000):
     return run
 
 
+def _texts(wanted: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """(ent, text): the compressed text of one row of each class."""
+    chosen = broadcast_if_small(reps.join(wanted, "ent", "left_semi"))
+    return store(docs.join(chosen, F.xxhash64("_id", "_th") == F.col("rep")).select("ent", "_text").mapInArrow(_zip, "ent long, text binary").dropDuplicates(["ent"]))
+
+
 def _linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, share: tuple[int, int], words: int) -> DataFrame:
     """The (a, b) pairs that are similar by their whole sets. ``a`` is the hub: its text goes once to each group of
     about ``FAN_OUT`` of its partners."""
     pairs = store(pairs.dropDuplicates(["a", "b"]))
-    wanted = pairs.select(F.col("a").alias("ent")).unionByName(pairs.select(F.col("b").alias("ent"))).distinct()
-    chosen = broadcast_if_small(reps.join(wanted, "ent", "left_semi"))
-    texts = store(docs.join(chosen, F.xxhash64("_id", "_th") == F.col("rep")).select("ent", "_text").mapInArrow(_zip, "ent long, text binary").dropDuplicates(["ent"]))
+    texts = _texts(pairs.select(F.col("a").alias("ent")).unionByName(pairs.select(F.col("b").alias("ent"))).distinct(), docs, reps)
     salts = broadcast_if_small(pairs.groupBy("a").agg(F.ceil(F.count("*") / FAN_OUT).alias("of")))
     dealt = store(pairs.join(salts, "a").select(F.col("a").alias("hub"), F.pmod(F.xxhash64("b"), "of").alias("salt"), F.col("b").alias("ent")))
     partners = dealt.join(texts, "ent").select("hub", "salt", "ent", "text")
@@ -180,61 +184,119 @@ def _linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, share: tuple[int
     return ordered.mapInArrow(_count(share, words), "a long, b long")
 
 
-def _meet(share: tuple[int, int]):
-    """Pairs of a block of a band's classes that lie in different components and whose sizes and signatures allow it."""
-
-    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        out: list[pd.DataFrame] = []
-        if len(a) and len(b):
-            own = a["_lb"].iat[0] == a["_rb"].iat[0]
-            x, y = (np.frombuffer(b"".join(f["sig"]), np.uint8).reshape(len(f), -1) for f in (a, b))
-            (e, n, c), (e2, n2, c2) = (f[["ent", "n", "comp"]].to_numpy(np.int64).T for f in (a, b))
-            least = least_agreement(share, x.shape[1])
-            for i in range(len(a)):
-                ok = (c2 != c[i]) & _fits(n[i], n2, share)
-                if own:
-                    ok &= e2 > e[i]
-                j = np.flatnonzero(ok)
-                j = j[(y[j] == x[i]).sum(axis=1) >= least]
-                if len(j):
-                    out.append(pd.DataFrame({"a": np.minimum(e[i], e2[j]), "b": np.maximum(e[i], e2[j])}))
-        return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []}, dtype="int64")
-
-    return run
-
-
-def _few(share: tuple[int, int]):
-    """The same for bands of few classes, given as one row each."""
+def _groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Rows of equal keys from batches sorted by them."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        new = np.zeros(len(batch), bool)
+        for c in keys:
+            x = batch[c].to_numpy(zero_copy_only=False)
+            new[1:] |= x[1:] != x[:-1]
+        new[0] = bool(held) and any(held[-1][c][0].as_py() != batch[c][0].as_py() for c in keys)
+        cuts = [0, *[i for i in np.flatnonzero(new).tolist() if i], len(batch)]
+        if new[0]:
+            yield pa.Table.from_batches(held)
+            held = []
+        for i, j in zip(cuts[:-1], cuts[1:]):
+            if i:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(i, j - i))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+class _Sets:
+    """Whole sets of a group's texts, made when asked for and kept up to ``most`` bytes."""
+
+    def __init__(self, texts: pa.ChunkedArray, words: int, powers: Powers, most: int = 64 << 20):
+        self.texts, self.words, self.powers, self.most = texts, words, powers, most
+        self.kept: dict[int, np.ndarray] = {}
+        self.size = 0
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        if i not in self.kept:
+            raw = zstandard.ZstdDecompressor().decompress(self.texts[i].as_py())
+            _, _, doc, h = words_of(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), self.powers)
+            found = shingle_sets(h, doc, 1, self.words)[0]
+            if self.size > self.most:
+                self.kept, self.size = {}, 0
+            self.kept[i] = found
+            self.size += found.nbytes
+        return self.kept[i]
+
+
+GROUP = ("key", "lb", "rb")
+
+
+def _within(share: tuple[int, int], words: int, confirm: bool):
+    """Pairs of a group of blocks that lie in different components, whose sizes and signatures allow the similarity and that
+    meet in no earlier band. Gives the classes that have such a partner or, with ``confirm``, links counted on whole
+    sets; a pair whose components an earlier link of the group has joined needs no count."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            out = []
-            for members in f["members"]:
-                e, n, c = (np.array([m[k] for m in members], np.int64) for k in ("ent", "n", "comp"))
-                i, j = np.triu_indices(len(e), 1)
-                ok = (c[i] != c[j]) & _fits(n[i], n[j], share)
-                out.append(np.stack([np.minimum(e[i], e[j])[ok], np.maximum(e[i], e[j])[ok]]))
-            if out:
-                yield pd.DataFrame(np.concatenate(out, axis=1).T, columns=["a", "b"]).drop_duplicates()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = Powers()
+        for g in _groups(batches, GROUP):
+            key, lb, rb = (g[c][0].as_py() for c in GROUP)
+            ent, n, comp, part = (g[c].to_numpy() for c in ("ent", "n", "comp", "part"))
+            sig = np.frombuffer(b"".join(g["sig"].to_pylist()), np.uint8).reshape(len(g), -1)
+            bands = g["bands"].combine_chunks().flatten().to_numpy().reshape(len(g), -1)
+            least, joined = least_agreement(share, sig.shape[1]), {}
+            sets = _Sets(g["text"], words, powers) if confirm else None
+
+            def root(c: int) -> int:
+                while c in joined:
+                    c = joined[c]
+                return c
+
+            hits, links = np.zeros(len(g), bool), []
+            first, second = np.flatnonzero(part == lb), np.flatnonzero(part == rb)
+            for at, i in enumerate(first.tolist()):
+                j = first[at + 1 :] if lb == rb else second
+                j = j[(comp[j] != comp[i]) & _fits(n[i], n[j], share)]
+                j = j[(sig[j] == sig[i]).sum(axis=1) >= least] if len(j) else j
+                if not len(j):
+                    continue
+                j = j[bands[i][(bands[j] == bands[i]).argmax(axis=1)] == key]
+                if not confirm:
+                    hits[i] |= bool(len(j))
+                    hits[j] = True
+                    continue
+                for k in j.tolist():
+                    a, b = root(int(comp[i])), root(int(comp[k]))
+                    if a == b:
+                        continue
+                    x, y = sets[i], sets[k]
+                    common = len(np.intersect1d(x, y, assume_unique=True))
+                    if common * share[1] >= (len(x) + len(y) - common) * share[0]:
+                        joined[a] = b
+                        links.append((int(ent[i]), int(ent[k])))
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], names=["a", "b"])
+            elif hits.any():
+                yield g.select([*GROUP, "part", "ent"]).filter(pa.array(hits)).combine_chunks().to_batches()[0]
 
     return run
 
 
-def _crossing(shared: DataFrame, classes: DataFrame, roots: DataFrame, stars: DataFrame, share: tuple[int, int], few: int = 32) -> DataFrame:
-    """Pairs of different components that share a band and whose sizes and signatures allow the similarity; those that
-    the first round has counted are left out."""
-    members = shared.join(roots.select(F.col("a").alias("ent"), F.col("b").alias("comp")), "ent", "left").withColumn("comp", F.coalesce("comp", "ent"))
-    kept = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo < hi").select("key", "m")
-    mixed = store(members.join(kept, "key").join(classes.select("ent", "n"), "ent"))
-    small = mixed.where(F.col("m") <= few).groupBy("key").agg(F.collect_list(F.struct("ent", "n", "comp")).alias("members"))
-    pairs = small.select("members").mapInPandas(_few(share), "a long, b long").dropDuplicates(["a", "b"])
-    found = _signed(pairs.join(stars, ["a", "b"], "left_anti"), classes, share)
-    large = mixed.where(F.col("m") > few)
-    if not large.isEmpty():
-        signed = large.join(classes.select("ent", "sig"), "ent")
-        met = compare_blocks(signed, signed, ["key"], "ent", _meet(share), "a long, b long", BLOCK, symmetric=True)
-        found = found.unionByName(met.dropDuplicates(["a", "b"]).join(stars, ["a", "b"], "left_anti"))
-    return found
+def _crossing(shared: DataFrame, classes: DataFrame, roots: DataFrame, docs: DataFrame, reps: DataFrame, share: tuple[int, int], words: int) -> DataFrame:
+    """(a, b) links between components, found in the bands they share. A band of many classes is cut into blocks; each two
+    blocks meet in a task. Signatures are compared first; only classes that pass bring their texts. What comes out are
+    links that join components, so it does not grow with the pairs compared."""
+    comps = roots.select(F.col("a").alias("ent"), F.col("b").alias("comp"))
+    members = shared.join(comps, "ent", "left").withColumn("comp", F.coalesce("comp", "ent"))
+    mixed = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.ceil(F.count("*") / BLOCK).alias("parts")).where("lo < hi").select("key", "parts")
+    placed = members.join(mixed, "key").withColumn("part", F.pmod(F.xxhash64("ent"), "parts"))
+    copies = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+    copies = store(copies.select("key", F.least("part", "other").alias("lb"), F.greatest("part", "other").alias("rb"), "part", "ent", "comp"))
+    signed = copies.join(classes.select("ent", "n", "bands", "sig"), "ent")
+    by_group = lambda rows: rows.repartition(*GROUP).sortWithinPartitions(*GROUP, "ent")
+    near = store(by_group(signed).mapInArrow(_within(share, words, False), "key long, lb long, rb long, part long, ent long"))
+    texts = _texts(near.select("ent").distinct(), docs, reps)
+    whole = near.join(comps, "ent", "left").withColumn("comp", F.coalesce("comp", "ent")).join(classes.select("ent", "n", "bands", "sig"), "ent").join(texts, "ent")
+    return by_group(whole).mapInArrow(_within(share, words, True), "a long, b long")
 
 
 def near_copies(
@@ -258,8 +320,7 @@ def near_copies(
     stars = store(shared.where("ent <> hub").select(F.col("hub").alias("a"), F.col("ent").alias("b")).distinct())
     reps = store(sets.where("n > 0").groupBy("ent").agg(F.min(F.xxhash64("id", "th")).alias("rep")))  # a row for each class
     roots = components(store(_linked(_signed(stars, classes, share), docs, reps, share, words)))
-    late = _crossing(shared.drop("hub"), classes, roots, stars, share)
-    second = store(_linked(late, docs, reps, share, words))
+    second = store(_crossing(shared.drop("hub"), classes, roots, docs, reps, share, words))
     links = components(roots.unionByName(second))
     own = sets.where("n > 0").join(links.select(F.col("a").alias("ent"), F.col("b").alias("root")), "ent", "left").withColumn("root", F.coalesce("root", "ent"))
     least = broadcast_if_small(own.groupBy("root").agg(F.min("id").alias("component_id")))

@@ -199,7 +199,6 @@ def test_near_copies_in_bands_that_many_share(spark, monkeypatch, small):
     if small:
         monkeypatch.setattr(minhash, "FAN_OUT", 3)
         monkeypatch.setattr(minhash, "BLOCK", 10)
-        monkeypatch.setattr(minhash._crossing, "__defaults__", (4,))
     rng = np.random.default_rng(5)
     base = [f"b{i}" for i in range(100)]
     rows = []
