@@ -31,7 +31,7 @@ from pairloom.llm.text import U64, Powers, mix, shingle_sets, slices, words_of
 from pairloom.session import broadcast_if_small, store
 
 BANDS, ROWS, WORDS = 48, 6, 2
-FAN_OUT, BLOCK = 2_000, 1_024
+FAN_OUT, BLOCK = 2_000, 512
 SCAN = "id long, th long, n long, ent long, bands array<bigint>, sig binary"
 
 
@@ -283,13 +283,20 @@ def _within(share: tuple[int, int], words: int, confirm: bool):
 
 def _crossing(shared: DataFrame, classes: DataFrame, roots: DataFrame, docs: DataFrame, reps: DataFrame, share: tuple[int, int], words: int) -> DataFrame:
     """(a, b) links between components, found in the bands they share. A band of many classes is cut into blocks; each two
-    blocks meet in a task. Signatures are compared first; only classes that pass bring their texts. What comes out are
+    blocks that hold different components meet in a task. Signatures are compared first; only classes that pass bring their texts. What comes out are
     links that join components, so it does not grow with the pairs compared."""
     comps = roots.select(F.col("a").alias("ent"), F.col("b").alias("comp"))
     members = shared.join(comps, "ent", "left").withColumn("comp", F.coalesce("comp", "ent"))
-    mixed = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.ceil(F.count("*") / BLOCK).alias("parts")).where("lo < hi").select("key", "parts")
-    placed = members.join(mixed, "key").withColumn("part", F.pmod(F.xxhash64("ent"), "parts"))
-    copies = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+    counts = members.groupBy("key", "comp").agg(F.count("*").alias("c"))
+    of_key = counts.groupBy("key").agg(F.count("*").alias("comps"), F.sum("c").alias("m"), F.max(F.struct("c", "comp")).alias("t")).where("comps > 1")
+    whole = F.col("m") <= BLOCK
+    minors = F.when(whole, 1).otherwise(F.ceil((F.col("m") - F.col("t.c")) / BLOCK))
+    mixed = of_key.select("key", F.col("t.comp").alias("top"), minors.cast("bigint").alias("p"), F.when(whole, 0).otherwise(F.ceil(F.col("t.c") / BLOCK)).cast("bigint").alias("t"))
+    # the largest component of a large band has parts of its own, which meet the others' but not each other
+    of_top, hashed = (F.col("t") > 0) & (F.col("comp") == F.col("top")), F.xxhash64("ent")
+    part = F.when(of_top, F.col("p") + F.pmod(hashed, "t")).otherwise(F.pmod(hashed, "p"))
+    others = F.sequence(F.lit(0).cast("bigint"), F.when(of_top, F.col("p") - 1).otherwise(F.col("p") + F.col("t") - 1))
+    copies = members.join(mixed, "key").withColumn("part", part).withColumn("other", F.explode(others))
     copies = store(copies.select("key", F.least("part", "other").alias("lb"), F.greatest("part", "other").alias("rb"), "part", "ent", "comp"))
     signed = copies.join(classes.select("ent", "n", "bands", "sig"), "ent")
     by_group = lambda rows: rows.repartition(*GROUP).sortWithinPartitions(*GROUP, "ent")
