@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pairloom.catalog import inputs as I
 from pairloom.functions.distance import Metric, gower_distance, gower_similarity, hamming_fields
 from pairloom.functions.scalars import age_years, log_likelihood, per, response_label, share
-from pairloom.operators import clean, cluster, distribution, evaluate, features, ordering, pairs, splits
+from pairloom.operators import clean, cluster, distribution, evaluate, features, nearest, ordering, pairs, splits
 from pairloom.operators import matching, models
 from pairloom.plans import match, payment, roi, segments
 from pairloom.session import materialize, scratch_path, store
@@ -424,10 +424,10 @@ def profile_vectors_sparse(spark, sf):
 @query(with_(I.PROFILES) + "select count(*) as vectors, count(distinct userid) as places, count(distinct userid) as width, 1 as filled from profiles")
 def wide_domain_vectors(spark, sf):
     """One-hot vectors over as many values as there are users: each user fills a place of their own."""
-    sparse = F.udf(lambda v: (int(v.size), int(v.indices[0]), len(v.indices)), "width int, place int, filled int")
     users = I.profiles(spark, sf).select(F.col("userid").alias("row"), "userid")
     vectors = features.feature_vectors(users, "row", ["userid"], ["userid"], distribution.attribute_distribution(users, ["userid"]))
-    found = vectors.select(sparse("features").alias("v")).select("v.*")
+    filled = features.filled_slots()
+    found = vectors.select(F.unwrap_udt("features")["size"].alias("width"), filled[0]["slot"].alias("place"), F.size(filled).alias("filled"))
     return found.agg(
         F.count("*").alias("vectors"), F.count_distinct("place").alias("places"), F.max("width").cast("bigint").alias("width"), F.max("filled").alias("filled")
     )
@@ -448,14 +448,46 @@ def profile_vectors(spark, sf):
     )
 
 
-@query()
+# the 32-bit murmur3 of a UTF-8 string as a fold: whole words of four bytes, the rest, the final mixing
+_MURMUR = """
+bytes as (select *, list_transform(range(1, octet_length(encode(term)) * 2, 2), lambda i: ('0x' || substr(hex(encode(term)), i, 2))::bigint) as b from terms),
+words as (
+  select *, len(b) as n, list_transform(range(0, len(b) // 4), lambda i: b[4 * i + 1] + b[4 * i + 2] * 256 + b[4 * i + 3] * 65536 + b[4 * i + 4] * 16777216) as ws,
+    list_reduce(list_prepend(0::bigint, list_transform(range(0, len(b) % 4), lambda i: b[len(b) // 4 * 4 + i + 1] << (8 * i))), lambda a, x: a + x) as tail from bytes
+),
+body as (
+  select *, list_reduce(list_prepend(42::hugeint, list_transform(ws, lambda w: w::hugeint)), lambda h, w:
+    ((rotl13(xor(h, scramble(w)))) * 5 + 3864292196) & 4294967295) as h from words
+),
+ended as (select *, xor(xor(h, case when n % 4 > 0 then scramble(tail::hugeint) else 0 end), n::hugeint) as h0 from body),
+mixed1 as (select *, (xor(h0, h0 >> 16) * 2246822507) & 4294967295 as h1 from ended),
+mixed2 as (select *, (xor(h1, h1 >> 13) * 3266489909) & 4294967295 as h2 from mixed1),
+hashed as (select *, xor(h2, h2 >> 16) as h3 from mixed2)"""
+
+
+def _rotl(x: str, k: int) -> str:
+    return f"((({x} << {k}) & 4294967295) + ({x} >> {32 - k}))"
+
+
+def _murmur_sql() -> str:
+    """``_MURMUR`` with its two helpers written out."""
+    product = "(({w} * 3432918353) & 4294967295)"
+    scramble = lambda w: f"(({_rotl(product.format(w=w), 15)} * 461845907) & 4294967295)"
+    mixed = f"xor(h, {scramble('w')})"
+    return _MURMUR.replace("rotl13(xor(h, scramble(w)))", _rotl(mixed, 13)).replace("scramble(tail::hugeint)", scramble("tail::hugeint"))
+
+
+@query(
+    with_(I.PAYMENTS, "terms as (select memberid, 'salary=' || salary::varchar as term, 1::double as value from payments where salary is not null union all select memberid, 'logincount', logincount::double from payments)", _murmur_sql().strip())
+    + """select memberid, slot::int as slot, sum(value)::double as value from (
+           select memberid, value, (((case when h3 >= 2147483648 then h3 - 4294967296 else h3 end) % 1000) + 1000) % 1000 as slot from hashed)
+         group by 1, 2 having sum(value) <> 0"""
+)
 def hashed_features(spark, sf):
+    """Every filled slot of the hashed vectors."""
     rows = I.payments(spark, sf).select("memberid", F.col("salary").cast("string").alias("salary"), "logincount")
     hashed = features.hash_features(rows, ["salary"], ["logincount"], 1000)
-    from pyspark.ml.functions import vector_to_array
-
-    filled = F.transform(vector_to_array("features"), lambda v: (v != 0).cast("int"))
-    return hashed.select("memberid", F.aggregate(filled, F.lit(0), lambda a, v: a + v).alias("slots"))
+    return hashed.select("memberid", F.explode(features.filled_slots()).alias("s")).select("memberid", "s.slot", "s.value")
 
 
 # -- pairs and rules --------------------------------------------------------------------------------
@@ -1108,6 +1140,115 @@ def coefficient_table(spark, sf):
     return models.coefficient_table(model, split.where("split = 'train'"), spec)
 
 
+@query(with_(I.PAYMENTS, I.AGED, I.VALID_PAYMENTS, I.SPLIT_PAYMENTS) + "select count(*) as rows, 0 as violated from split_payments where split = 'train'")
+def logistic_is_optimal(spark, sf):
+    """The payment model, fitted to the end with a stronger penalty: no weight breaks the first-order condition of the L1 loss."""
+    spec = payment.logistic_spec(I.PAYMENT_SPEC)
+    split = store(payment.payment_split(I.payments(spark, sf), I.ASOF))
+    model, _ = payment.payment_logistic(split, spec, 300, 0.01, 1e-10)
+    return _violations(models.optimality(model, split.where("split = 'train'"), spec, 0.01), split.where("split = 'train'"))
+
+
+def _violations(conditions: DataFrame, rows: DataFrame) -> DataFrame:
+    n = rows.agg(F.count("*")).scalar()
+    return conditions.agg(F.count_if(F.col("excess") > 1e-5).cast("int").alias("violated")).select(n.alias("rows"), "violated")
+
+
+@query(
+    with_(I.ROI_ROWS)
+    + "select count(*) as rows, 0 as violated from (select distinct channel, year, month from roi_rows where o_orderkey % 10 not in (0, 2, 4))"
+)
+def roi_logistic_is_optimal(spark, sf):
+    """The same for the model of groups that bring in more than the average."""
+    group = ["channel", "year", "month"]
+    groups = store(roi.roi_groups(I.roi_rows(spark, sf), "o_orderkey", group, [*I.INCOMES, "total"]))
+    train = groups.where("split = 'train'")
+    cut = train.agg(F.avg("total")).first()[0]
+    report = roi.roi_model(groups, group, I.INCOMES, cut=cut, passes=500, lam=0.05, tol=1e-12)
+    spec = models.LogisticSpec("label", tuple(group), tuple(I.INCOMES))
+    labelled = train.withColumn("label", F.when(F.col("total") > cut, 1).otherwise(0))
+    return _violations(models.optimality(report.model, labelled, spec, 0.05), train)
+
+
+_STATUS_SPEC = models.LogisticSpec("o_orderstatus", ("o_orderpriority", "year"), ("month", "price"))
+
+
+@query("select o_orderstatus as class, count(*) as rows, 0 as violated, 0 as misnamed from orders group by 1")
+def class_logistic(spark, sf):
+    """A model of three classes: per class its rows, weights that break the first-order condition, and rows whose
+    probability does not follow from the named weights of the coefficient table."""
+    day = F.col("o_orderdate")
+    rows = I.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", F.year(day).cast("string").alias("year"), F.month(day).alias("month"), (F.col("o_totalprice") / 1000).alias("price"))
+    rows, spec = store(rows), _STATUS_SPEC
+    model = models.train_classes(rows, spec, 500, 0.01, 1e-10)
+    violated = models.optimality(model, rows, spec, 0.01).groupBy("class").agg(F.count_if(F.col("excess") > 1e-5).cast("int").alias("violated"))
+    named = models.coefficient_table(model, rows, spec).groupBy("class", "predictor").agg(F.first("weight").alias("weight"))
+    terms = [F.struct(F.concat(F.lit(f"{c}="), F.col(c)).alias("predictor"), F.lit(1.0).alias("x")) for c in spec.categorical]
+    terms += [F.struct(F.lit(c).alias("predictor"), F.col(c).cast("double").alias("x")) for c in spec.numeric]
+    terms.append(F.struct(F.lit("(intercept)").alias("predictor"), F.lit(1.0).alias("x")))
+    cells = rows.select("o_orderkey", F.explode(F.array(*terms)).alias("t")).select("o_orderkey", "t.*")
+    z = cells.join(named, "predictor").groupBy("o_orderkey", "class").agg(F.exp(F.sum(F.col("x") * F.col("weight"))).alias("e"))
+    total = z.groupBy("o_orderkey").agg(F.sum("e").alias("all"))
+    told = models.score_classes(model, rows, spec).select("o_orderkey", F.col("o_orderstatus"), F.explode("scores").alias("class", "p"))
+    both = told.join(z.join(total, "o_orderkey"), ["o_orderkey", "class"], "left")
+    off = F.coalesce(F.abs(F.col("e") / F.col("all") - F.col("p")) > 1e-9, F.lit(True))
+    found = both.groupBy("class").agg(F.count_if(F.col("o_orderstatus") == F.col("class")).alias("rows"), F.count_if(off).cast("int").alias("misnamed"))
+    return found.join(violated, "class").select("class", "rows", "violated", "misnamed")
+
+
+@query(with_(I.PAYMENTS, I.AGED, I.VALID_PAYMENTS, I.SPLIT_PAYMENTS) + "select count(*) as rows, 0 as differing from split_payments where split = 'train'")
+def forest_leaf_counts(spark, sf):
+    """One tree grown to full depth on all rows: sent down by its rules as column expressions, the rows in every leaf are
+    those the leaf votes with."""
+    fields = [c for c in I.PAYMENT_SPEC.model_columns() if c != "iszat"]
+    categorical, _ = I.PAYMENT_SPEC.split_roles(fields)
+    train = store(payment.payment_split(I.payments(spark, sf), I.ASOF).where("split = 'train'").na.fill(0, fields))
+    model = models.train_forest(train, "iszat", fields, categorical, trees=1, bootstrap=False)
+    audit = models.leaf_audit(model, train, "iszat")
+    return audit.agg(F.sum("rows").alias("rows"), F.sum("differing").cast("int").alias("differing"))
+
+
+_ORDER_POINTS = """order_points as (
+  select o_orderkey, c_mktsegment as segment, c_nationkey as nation, floor(c_acctbal)::bigint as balance, floor(o_totalprice / 50)::bigint as price
+  from orders join customer on c_custkey = o_custkey),
+buyers as (select c_custkey, c_mktsegment as segment, c_nationkey as nation, floor(c_acctbal)::bigint as balance, (c_custkey * 31) % 10000 as price from customer)"""
+_ORDER_FIELDS = ("segment", "nation", "balance", "price")
+
+
+def _order_points(spark, sf):
+    customer = I.table(spark, sf, "customer")
+    kept = [F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").alias("nation"), F.floor("c_acctbal").alias("balance")]
+    orders = I.table(spark, sf, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    points = orders.select("o_orderkey", *kept, F.floor(F.col("o_totalprice") / 50).alias("price"))
+    buyers = customer.select("c_custkey", *kept, ((F.col("c_custkey") * 31) % 10000).alias("price"))
+    return buyers, points
+
+
+@query(
+    with_(_ORDER_POINTS)
+    + f"""select c_custkey, o_orderkey, round(d, 6) as distance from (
+           select c_custkey, o_orderkey, d, min(d) over (partition by c_custkey) as best from (
+             select c_custkey, o_orderkey, {I.gower_sql('b', 'p', _ORDER_FIELDS, ('segment', 'nation'), 'order_points')} as d from buyers b, order_points p))
+         where d = best"""
+)
+def nearest_of_many(spark, sf):
+    """Every customer with the orders nearest to them by Gower distance: as many centres as orders, in blocks that are
+    met only where they could hold a nearer one."""
+    buyers, points = _order_points(spark, sf)
+    metric = segments.profile_metric(points, _ORDER_FIELDS, ("segment", "nation"))
+    found = cluster.assign_nearest(buyers, points, metric, "all", "o_orderkey", sent_bytes=0, per_task=1024)
+    return found.select("c_custkey", "o_orderkey", r6("distance").alias("distance"))
+
+
+@query(with_(_ORDER_POINTS) + "select (select count(*) from buyers) as points, (select count(*) from order_points) as centres, 1 as half_skipped")
+def nearest_pairs_skipped(spark, sf):
+    """More than half of the pairs of the query above are never compared."""
+    buyers, points = _order_points(spark, sf)
+    metric = segments.profile_metric(points, _ORDER_FIELDS, ("segment", "nation"))
+    counted = nearest.pairs_compared(buyers, points, metric, "o_orderkey", sent_bytes=0, per_task=1024)
+    return counted.select("points", "centres", (F.col("skipped_share") > 0.5).cast("int").alias("half_skipped"))
+
+
 @query()
 def payment_forest_eval(spark, sf):
     split = payment.payment_split(I.payments(spark, sf), I.ASOF)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from pairloom.functions.distance import Metric, sq_euclidean
 from pairloom.operators.blocks import compare_blocks
+from pairloom.operators.features import filled_slots
 from pairloom.operators.nearest import assign_nearest, best_of
 from pairloom.operators.ordering import running_totals, sample_k
 from pairloom.session import broadcast_if_small, materialize, store
@@ -40,17 +41,13 @@ def item_distance(
 def vector_distance(
     assigned: DataFrame, model: KMeansModel, item: str, vector: str = "features", centre_id: str = "centre_id"
 ) -> DataFrame:
-    """``item_distance`` of sparse vectors, by their filled places only. Every task holds the model's k centres."""
-    centres = [np.asarray(c, float) for c in model.clusterCenters()]
-    sent = assigned.sparkSession.sparkContext.broadcast((centres, [float(c @ c) for c in centres]))
-
-    @F.udf("double")
-    def distance(v, i):
-        centre, norm = sent.value[0][i], sent.value[1][i]
-        at, x = (v.indices, v.values) if hasattr(v, "indices") else (slice(None), v.toArray())
-        return max(0.0, norm + float(x @ x - 2 * (x @ centre[at])))
-
-    return assigned.select(F.col(centre_id), item, distance(F.col(vector), F.col(centre_id)).alias("distance"))
+    """``item_distance`` of sparse vectors, by their filled places only: the k centres are a looked-up table."""
+    centres = cluster_centres(assigned.sparkSession, model, centre_id, "_centre")
+    norm = F.aggregate("_centre", F.lit(0.0), lambda a, c: a + c * c)
+    known = broadcast_if_small(centres.withColumn("_norm", norm))
+    rest = lambda a, s: a + s["value"] * (s["value"] - 2 * F.get("_centre", s["slot"]))
+    distance = F.greatest(F.lit(0.0), F.aggregate(filled_slots(vector), F.col("_norm"), rest))
+    return assigned.join(known, centre_id).select(F.col(centre_id), item, distance.alias("distance"))
 
 
 # -- cluster profiles -------------------------------------------------------------------------------

@@ -146,6 +146,13 @@ def feature_hasher(categorical: Sequence[str], numeric: Sequence[str], n: int, n
     )
 
 
+def filled_slots(vector: str = "features") -> Column:
+    """The filled places of a vector column as ``(slot, value)`` structs, in the JVM."""
+    v = F.unwrap_udt(vector)
+    slots = F.coalesce(v["indices"], F.sequence(F.lit(0), F.size(v["values"]) - 1))
+    return F.filter(F.arrays_zip(slots.alias("slot"), v["values"].alias("value")), lambda c: c["value"] != 0)
+
+
 def feature_matrix(
     df: DataFrame,
     id: str,

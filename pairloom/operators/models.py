@@ -12,20 +12,23 @@ from pyspark.ml.classification import (
     RandomForestClassificationModel,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairloom.functions.scalars import log_likelihood
-from pairloom.operators.features import feature_hasher
+from pairloom.operators.features import feature_hasher, filled_slots
 
 # Defaults of the two model families.
 TREES = 10
 MIN_SPLIT = 2
+MIN_VARIANCE_SHARE = 0.001
 LAMBDA = 1e-4
 HASHED_FEATURES = 1000
 PASSES = 10
+#: as deep as Spark grows trees
+MAX_DEPTH = 30
 
 
 def _texts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -38,17 +41,22 @@ def train_forest(
     features: Sequence[str],
     categorical: Sequence[str],
     trees: int = TREES,
-    max_depth: int = 8,
+    max_depth: int = MAX_DEPTH,
     seed: int = 42,
     regression: bool = False,
+    min_variance_share: float = MIN_VARIANCE_SHARE,
+    bootstrap: bool = True,
 ) -> PipelineModel:
     """Random forest over mixed features, in the given feature order.
 
     Categoricals are indexed in value order; values unseen in training get their own index. The label
-    is 0/1, or a number with ``regression``. Spark grows every tree over all partitions.
+    is 0/1, or a number with ``regression``. Spark grows every tree over all partitions. A split must lower a node's
+    impurity by ``min_variance_share`` of the root's; a node below that share of the root's variance cannot.
     """
     listed = [f for f in features if f in categorical]
     base = _texts(train, listed).withColumn(label, F.col(label).cast("double"))
+    variance = base.agg(F.var_pop(label)).first()[0] or 0.0
+    root_impurity = variance if regression else 2 * variance  # Gini of a 0/1 label is twice its variance
     stages, widest = [], 2
     if listed:
         indexer = StringIndexer(
@@ -63,7 +71,7 @@ def train_forest(
     stages.append(
         learner(
             labelCol=label, featuresCol="features", numTrees=trees, maxDepth=max_depth, minInstancesPerNode=MIN_SPLIT,
-            maxBins=max(32, widest), seed=seed,
+            minInfoGain=min_variance_share * root_impurity, maxBins=max(32, widest), seed=seed, bootstrap=bootstrap,
         )
     )
     # fitted stages pass through Pipeline.fit unchanged
@@ -83,6 +91,45 @@ def score_forest(model: PipelineModel, df: DataFrame, score: str = "score") -> D
     return raw.select(*[F.col(c) for c in df.columns], value.alias(score), "prediction")
 
 
+def tree_nodes(model: PipelineModel, tree: int = 0) -> DataFrame:
+    """``(leaf, rule, prediction)`` of one tree: the conjunction of splits that leads to each leaf, as SQL over the
+    model's input columns (categoricals as ``<name>__ix``), from the model's own description."""
+    names = model.stages[-2].getInputCols()
+    forest = model.stages[-1]
+    path: list[tuple[int, str]] = []
+    rows: list[tuple[int, str, float]] = []
+    for line in forest.trees[tree].toDebugString.splitlines()[1:]:
+        depth, text = len(line) - len(line.lstrip()), line.strip()
+        while path and path[-1][0] >= depth:
+            path.pop()
+        if text.startswith("Predict:"):
+            rows.append((len(rows), " and ".join(c for _, c in path) or "true", float(text.split(":")[1])))
+            continue
+        split = text[text.index("(") + 1 : text.rindex(")")].split(" ", 2)  # feature, number, condition
+        condition = split[2].replace("{", "(").replace("}", ")")
+        path.append((depth, f"`{names[int(split[1])]}` {condition}"))
+    return SparkSession.active().createDataFrame(rows, "leaf int, rule string, prediction double")
+
+
+def leaf_audit(model: PipelineModel, train: DataFrame, label: str, tree: int = 0) -> DataFrame:
+    """``(leaf, rows, votes, differing)`` of one tree: training rows are sent down by the tree's rules as column
+    expressions; ``differing`` counts rows whose leaf's class counts are not those the tree itself votes with. 0 for a
+    tree that has seen every row once (``bootstrap=False``)."""
+    listed = categorical_inputs(model)
+    ready = PipelineModel(model.stages[:-1]).transform(_texts(train, listed).withColumn(label, F.col(label).cast("double")))
+    leaf = F.lit(None).cast("int")
+    for r in tree_nodes(model, tree).collect():  # the nodes of one tree
+        leaf = F.when(F.expr(r.rule), r.leaf).otherwise(leaf)
+    own = model.stages[-1].trees[tree]
+    routed = own.transform(ready).select(leaf.alias("leaf"), F.col(label).alias("_y"), vector_to_array("rawPrediction").alias("_votes"))
+    n_classes = own.numClasses
+    counts = routed.groupBy("leaf", "_votes").agg(*[F.count_if(F.col("_y") == k).alias(f"_c{k}") for k in range(n_classes)], F.count("*").alias("rows"))
+    per_leaf = counts.groupBy(F.col("leaf").alias("_leaf")).agg(F.array(*[F.sum(f"_c{k}").cast("double") for k in range(n_classes)]).alias("_seen"))
+    told = counts.join(per_leaf, F.col("leaf").eqNullSafe(F.col("_leaf")))
+    alike = F.col("leaf").isNotNull() & (F.col("_votes") == F.col("_seen"))
+    return told.select("leaf", "rows", F.col("_votes").alias("votes"), F.when(alike, F.lit(0).cast("bigint")).otherwise(F.col("rows")).alias("differing"))
+
+
 @dataclass(frozen=True)
 class LogisticSpec:
     """What a logistic model reads."""
@@ -128,16 +175,52 @@ def score_logistic(model: PipelineModel, df: DataFrame, spec: LogisticSpec, scor
     return raw.select("_row.*", vector_to_array("probability")[1].alias(score))
 
 
+def train_classes(
+    train: DataFrame, spec: LogisticSpec, passes: int = PASSES, lam: float = LAMBDA, tol: float = 1e-6
+) -> PipelineModel:
+    """The same for a label of any number of values: one weight row per class, and the list of classes (in text order)
+    kept in the model. Rows without a label are left out."""
+    base = _null_free(train, spec).withColumn(spec.label, F.col(spec.label).cast("string")).where(F.col(spec.label).isNotNull())
+    indexer = StringIndexer(inputCol=spec.label, outputCol="_class", stringOrderType="alphabetAsc").fit(base)
+    learner = LogisticRegression(
+        labelCol="_class", featuresCol="features", family="multinomial", elasticNetParam=1.0, regParam=lam, maxIter=passes, tol=tol, fitIntercept=True
+    )
+    return Pipeline(stages=[indexer, feature_hasher(spec.categorical, spec.numeric, spec.features), learner]).fit(base)
+
+
+def class_list(model: PipelineModel) -> list[str]:
+    """The classes of a logistic model that have a weight row: all of them, or label 1 alone of a binary one."""
+    first = model.stages[0]
+    return list(first.labels) if isinstance(first, StringIndexerModel) else ["1"]
+
+
+def score_classes(model: PipelineModel, df: DataFrame, spec: LogisticSpec) -> DataFrame:
+    """Adds ``scores`` (class -> probability) and ``predicted``, the likeliest class (ties: the first in text order)."""
+    own = [c for c in df.columns if c not in (*spec.categorical, *spec.numeric)]
+    rows = _null_free(df.select("*", F.struct(*df.columns).alias("_row")), spec).drop(*own)
+    raw = PipelineModel(model.stages[1:]).transform(rows)
+    classes = F.array(*[F.lit(c) for c in class_list(model)])
+    p = vector_to_array("probability")
+    return raw.select("_row.*", F.map_from_arrays(classes, p).alias("scores"), F.element_at(classes, F.array_position(p, F.array_max(p)).cast("int")).alias("predicted"))
+
+
+def _weight_rows(model: PipelineModel) -> tuple[list[list[float]], list[float]]:
+    """Weights and intercept per class of ``class_list``."""
+    logistic: LogisticRegressionModel = model.stages[-1]
+    return [list(map(float, r)) for r in logistic.coefficientMatrix.toArray()], list(map(float, logistic.interceptVector))
+
+
 def coefficient_table(model: PipelineModel, train: DataFrame, spec: LogisticSpec) -> DataFrame:
-    """``(predictor, slot, weight)``: the non-zero weight behind every number and every category value.
+    """``(class, predictor, slot, weight)``: the non-zero weight behind every number and every category value, for
+    each class of the model.
 
     Slots of category values are found by hashing the distinct values of the training rows, so the work
-    is one distinct over narrow columns; the weights are at most ``spec.features`` numbers.
+    is one distinct over narrow columns; the weights are at most ``spec.features`` numbers a class.
     """
-    logistic: LogisticRegressionModel = model.stages[-1]
     spark = train.sparkSession
-    weights = [(int(i), float(w)) for i, w in enumerate(logistic.coefficients) if w != 0.0]
-    table = spark.createDataFrame(weights, "slot int, weight double")
+    classes, (rows, intercepts) = class_list(model), _weight_rows(model)
+    weights = [(c, i, w) for c, row in zip(classes, rows) for i, w in enumerate(row) if w != 0.0]
+    table = spark.createDataFrame(weights, "class string, slot int, weight double")
 
     names = _null_free(train, spec).select(*spec.categorical)
     if spec.categorical:
@@ -153,12 +236,46 @@ def coefficient_table(model: PipelineModel, train: DataFrame, spec: LogisticSpec
         *[F.when(F.col("attr") == c, F.col("value")).alias(c) for c in spec.categorical],
         *[F.when(F.col("attr") == c, F.lit(1.0)).alias(c) for c in spec.numeric],
     )
-    hashed = model.stages[0].transform(probe)
-    slot = F.array_position(F.transform(vector_to_array("features"), lambda v: v != 0), F.lit(True)) - 1
+    hashed = model.stages[-2].transform(probe)
     predictor = F.concat_ws("=", "attr", "value")
-    found = hashed.select(predictor.alias("predictor"), slot.cast("int").alias("slot"))
-    bias = spark.createDataFrame([("(intercept)", -1, float(logistic.intercept))], "predictor string, slot int, weight double")
-    return found.join(table, "slot").select("predictor", "slot", "weight").unionByName(bias)
+    found = hashed.select(predictor.alias("predictor"), filled_slots()[0]["slot"].alias("slot"))
+    bias = spark.createDataFrame([(c, "(intercept)", -1, b) for c, b in zip(classes, intercepts)], "class string, predictor string, slot int, weight double")
+    return found.join(table, "slot").select("class", "predictor", "slot", "weight").unionByName(bias)
+
+
+def optimality(model: PipelineModel, train: DataFrame, spec: LogisticSpec, lam: float = LAMBDA) -> DataFrame:
+    """``(class, slot, weight, gradient, bound, excess)``: the first-order condition of the L1 fit for every filled slot
+    and (slot -1, bound 0) the intercept, recomputed from the hashed training rows.
+
+    The gradient is that of the mean log loss by the weight of the standardised slot, which costs ``lam`` for each unit. At an
+    optimum it is ``-lam * sign(weight)`` where a weight is set and within ``lam`` where it is 0; ``excess`` is how far it is
+    from that. Slots of one value carry no weight and no cost.
+    """
+    classes, (rows, _) = class_list(model), _weight_rows(model)
+    several = isinstance(model.stages[0], StringIndexerModel)
+    base = _null_free(train, spec).where(F.col(spec.label).isNotNull())
+    base = base.withColumn(spec.label, F.col(spec.label).cast("string" if several else "double"))
+    scored = model.transform(base)
+    p = vector_to_array("probability")
+    truth = F.col("_class") if several else F.col(spec.label)
+    error = [p[k] - (truth == k).cast("double") for k in (range(len(classes)) if several else [1])]
+    kept = scored.select(filled_slots().alias("_filled"), F.array(*error).alias("_error"))
+    slots = F.concat(F.array(F.struct(F.lit(-1).alias("slot"), F.lit(1.0).alias("value"))), F.col("_filled"))
+    cells = kept.select("_error", F.explode(slots).alias("_s")).select("_error", "_s.slot", F.col("_s.value").alias("value"))
+    sums = cells.groupBy("slot").agg(
+        F.sum("value").alias("_x"), F.sum(F.col("value") * F.col("value")).alias("_xx"),
+        *[F.sum(F.col("_error")[k] * F.col("value")).alias(f"_g{k}") for k in range(len(classes))],
+    )
+    n = scored.agg(F.count("*").cast("double")).scalar()
+    spread = F.sqrt(F.greatest(F.lit(0.0), F.col("_xx") - F.col("_x") * F.col("_x") / n) / (n - 1))
+    per_class = F.explode(F.array(*[F.struct(F.lit(c).alias("class"), F.col(f"_g{k}").alias("g")) for k, c in enumerate(classes)]))
+    weights = train.sparkSession.createDataFrame([(c, i, w) for c, row in zip(classes, rows) for i, w in enumerate(row) if w != 0.0], "class string, slot int, weight double")
+    scale = F.when(F.col("slot") < 0, 1.0).when(spread > 1e-9, spread)
+    found = sums.select("slot", scale.alias("_scale"), per_class.alias("c")).select("c.class", "slot", "_scale", (F.col("c.g") / n / F.col("_scale")).alias("gradient"))
+    joined = found.join(weights, ["class", "slot"], "left").withColumn("weight", F.coalesce("weight", F.lit(0.0)))
+    bound = F.when(F.col("slot") < 0, 0.0).otherwise(F.lit(float(lam)))
+    off = F.when((F.col("weight") != 0) | (F.col("slot") < 0), F.abs(F.col("gradient") + bound * F.signum("weight"))).otherwise(F.greatest(F.lit(0.0), F.abs("gradient") - bound))
+    return joined.select("class", "slot", "weight", "gradient", bound.alias("bound"), F.when(F.col("_scale").isNull(), 0.0).otherwise(off).alias("excess"))
 
 
 def score_propensity(

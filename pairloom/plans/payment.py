@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, functions as F
 from pairloom.operators.clean import unconverted_only, valid_payment
 from pairloom.operators.evaluate import accuracy, auc, confusion_matrix, confusion_of, entropy_matrix
 from pairloom.operators.models import (
+    LAMBDA,
+    MAX_DEPTH,
+    PASSES,
     TREES,
     LogisticSpec,
     score_forest,
@@ -43,10 +46,12 @@ def payment_split(payments: DataFrame, asof: str, key: str = "memberid", target:
     return modulo_split(valid_payment(payments, asof), key, target)
 
 
-def payment_logistic(split: DataFrame, spec: LogisticSpec) -> tuple[PipelineModel, DataFrame]:
+def payment_logistic(
+    split: DataFrame, spec: LogisticSpec, passes: int = PASSES, lam: float = LAMBDA, tol: float = 1e-6
+) -> tuple[PipelineModel, DataFrame]:
     """Model and scored test rows."""
     rows = store(split)
-    model = train_logistic(rows.where("split = 'train'"), spec)
+    model = train_logistic(rows.where("split = 'train'"), spec, passes, lam, tol)
     return model, score_logistic(model, rows.where("split = 'test'"), spec)
 
 
@@ -61,13 +66,13 @@ def evaluate_scores(scored: DataFrame, label: str, threshold: float = 0.5) -> Ev
 
 
 def payment_forest(
-    split: DataFrame, spec: DatasetSpec, trees: int = TREES, seed: int = 42
+    split: DataFrame, spec: DatasetSpec, trees: int = TREES, seed: int = 42, max_depth: int = MAX_DEPTH
 ) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """Model, confusion and accuracy on the test rows. NULL features count as 0."""
     features = [c for c in spec.model_columns() if c != spec.target]
     categorical, _ = spec.split_roles(features)
     rows = store(split.na.fill(0, features))
-    model = train_forest(rows.where("split = 'train'"), spec.target, features, categorical, trees, seed=seed)
+    model = train_forest(rows.where("split = 'train'"), spec.target, features, categorical, trees, max_depth, seed)
     confusion = materialize(confusion_of(score_forest(model, rows.where("split = 'test'")), spec.target, "prediction"))
     return model, confusion, accuracy(confusion, spec.target)
 

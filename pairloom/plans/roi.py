@@ -38,6 +38,8 @@ def roi_model(
     cut: float | None = None,
     passes: int = PASSES,
     features: int = 1000,
+    lam: float = LAMBDA,
+    tol: float = 1e-6,
 ) -> RoiReport:
     """With ``cut``: a logistic model of ``target > cut`` and its AUC and confusion. Without: an
     L1-regularised linear model of the target and its error report."""
@@ -46,7 +48,7 @@ def roi_model(
     if cut is not None:
         spec = LogisticSpec("label", tuple(group), tuple(predictors), features)
         labelled = F.when(F.col(target) > cut, 1).otherwise(0).alias("label")
-        model = train_logistic(train.select("*", labelled), spec, passes)
+        model = train_logistic(train.select("*", labelled), spec, passes, lam, tol)
         scored = store(score_logistic(model, test.select("*", labelled), spec))
         return RoiReport(
             model,
@@ -57,7 +59,7 @@ def roi_model(
     model = Pipeline(
         stages=[
             feature_hasher(group, predictors, features),
-            LinearRegression(labelCol=target, elasticNetParam=1.0, regParam=LAMBDA, maxIter=passes),
+            LinearRegression(labelCol=target, elasticNetParam=1.0, regParam=lam, maxIter=passes, tol=tol),
         ]
     ).fit(train.withColumns(texts))
     scored = store(model.transform(test.withColumns(texts)).drop("features").withColumnRenamed("prediction", "score"))
