@@ -14,7 +14,7 @@ from pairloom.functions.scalars import age_years, log_likelihood, per, response_
 from pairloom.operators import clean, cluster, distribution, evaluate, features, nearest, ordering, pairs, splits
 from pairloom.operators import matching, models
 from pairloom.plans import match, payment, roi, segments
-from pairloom.session import materialize, scratch_path, store
+from pairloom.session import broadcast_if_small, materialize, scratch_path, store
 from pairloom.sources import tables
 from pairloom.spec import DatasetSpec
 
@@ -639,17 +639,29 @@ def gower_pairs_by_group(spark, sf):
 
 @query(
     with_(I.PROFILES, I.IN_RANGE)
-    + """select g.field_group, case sex when 0 then 'male' else 'female' end as side, count(*) as users
+    + """select g.field_group, case sex when 0 then 'male' else 'female' end as side, count(*) as users, 0 as misplaced
          from in_range, (values ('figure'), ('highlight')) g(field_group) where sex in (0, 1) group by 1, 2"""
 )
 def split_cluster_groups(spark, sf):
-    """Split clustering per named group and gender: every user in range has a centre."""
+    """Split clustering per named group and gender: every user in range has a centre, and of all centres (compared by
+    the distance as a column expression) none is nearer than theirs, and no tied one is missing."""
     found = segments.split_cluster_groups(I.profiles(spark, sf), FIELD_GROUPS, I.PROFILE_CATEGORICAL, I.PROFILE_RANGES, k=5)
+    valid = clean.in_ranges(I.profiles(spark, sf), I.PROFILE_RANGES)
     out = []
     for group, sides in found.items():
-        for side, (_, near) in sides.items():
-            one = near.dropDuplicates(list(FIELD_GROUPS[group]))  # tied centres repeat a profile
-            out.append(one.agg(F.sum("n").alias("users")).select(F.lit(group).alias("field_group"), F.lit(side).alias("side"), "users"))
+        fields = list(FIELD_GROUPS[group])
+        metric = segments.profile_metric(valid, fields, [f for f in fields if f in I.PROFILE_CATEGORICAL])
+        for side, (centres, near) in sides.items():
+            near = store(near)
+            one = near.dropDuplicates(fields)  # tied centres repeat a profile
+            other = centres.select(F.to_json(F.struct(*fields)).alias("_id"), *[F.col(f).alias(f"_c_{f}") for f in fields])
+            d = metric(F.col, lambda f: F.col(f"_c_{f}"))
+            best = one.select(*fields).join(broadcast_if_small(other), F.lit(True)).groupBy(*fields).agg(F.min(F.struct(d.alias("d"))).alias("b"), F.collect_list(F.struct(d.alias("d"), "_id")).alias("all"))
+            want = best.select(*fields, F.explode(F.filter("all", lambda x: x["d"] == F.col("b.d"))).alias("w")).select(*fields, F.col("w._id").alias("centre_id"), F.col("w.d").alias("distance"))
+            got = near.select(*want.columns)
+            wrong = got.exceptAll(want).unionByName(want.exceptAll(got)).agg(F.count("*").cast("int").alias("misplaced"))
+            users = one.agg(F.sum("n").alias("users"))
+            out.append(users.join(wrong, F.lit(True)).select(F.lit(group).alias("field_group"), F.lit(side).alias("side"), "users", "misplaced"))
     return reduce(DataFrame.unionByName, out)
 
 
@@ -969,29 +981,54 @@ def distance_histogram(spark, sf):
     return found.withColumn("pairs", F.col("pairs").cast("double"))
 
 
+_WIDE_FIELDS = [c for c in I.PAYMENT_SPEC.fields if c not in ("memberid", "marriage")]
+
+
+@query(
+    with_(I.PAYMENTS)
+    + f"""select a.marriage, ({" + ".join(f"(a.{f} is distinct from b.{f})::int" for f in _WIDE_FIELDS)}) as distance, count(*)::double as pairs
+          from payments a join payments b on a.marriage is not distinct from b.marriage and a.memberid < b.memberid group by 1, 2"""
+)
+def distance_histogram_wide(spark, sf):
+    """Pairs by the number of fields in which they differ, over twelve fields and with a cluster that is NULL."""
+    found = cluster.distance_histogram(I.payments(spark, sf), "marriage", _WIDE_FIELDS)
+    return found.select("marriage", "distance", F.col("pairs").cast("double").alias("pairs"))
+
+
 _SPLIT_FIELDS, _SPLIT_CATEGORICAL = ("p_brand", "p_type", "p_size"), ("p_brand", "p_type")
-_SPLIT_SQL = f"""profs as (select p_brand, p_type, p_size, count(*) as n from points group by 1, 2, 3),
-cents as (select *, row_number() over (order by p_brand, p_type, p_size) as cid from (select distinct p_brand, p_type, p_size from point_centres)),
-near as (
+_PROFS = "profs as (select p_brand, p_type, p_size, count(*) as n from points group by 1, 2, 3)"
+
+
+def _split_round_sql(cents: str, r: str = "") -> str:
+    """One round from the centres ``cents``: its next ones as ``merged<r>``, not yet distinct."""
+    d = I.gower_sql("p", "c", _SPLIT_FIELDS, _SPLIT_CATEGORICAL)
+    return f"""cents{r} as (select *, row_number() over (order by p_brand, p_type, p_size) as cid from (select distinct p_brand, p_type, p_size from {cents})),
+near{r} as (
   select * from (
-    select p.*, c.cid, {I.gower_sql('p', 'c', _SPLIT_FIELDS, _SPLIT_CATEGORICAL)} as d,
-           min({I.gower_sql('p', 'c', _SPLIT_FIELDS, _SPLIT_CATEGORICAL)}) over (partition by p.p_brand, p.p_type, p.p_size) as best
-    from profs p, cents c) where d = best),
-spread as (select cid, min(d) as lo, max(d) as hi from near group by 1),
-far as (select near.* from near join spread using (cid) where d > round(lo + 0.01::double, 9)),
-steps as (
-  select cid, min(d) as start from far group by 1
+    select p.*, c.cid, {d} as d, min({d}) over (partition by p.p_brand, p.p_type, p.p_size) as best
+    from profs p, cents{r} c) where d = best),
+spread{r} as (select cid, min(d) as lo, max(d) as hi from near{r} group by 1),
+far{r} as (select n.* from near{r} n join spread{r} using (cid) where d > round(lo + 0.01::double, 9)),
+steps{r} as (
+  select cid, min(d) as start from far{r} group by 1
   union all
-  select f.cid, min(f.d) from steps s join far f on f.cid = s.cid and f.d > round(s.start + 0.01::double, 9) group by f.cid),
-banded as (select f.p_brand, f.p_type, f.p_size, f.n, f.cid, max(s.start) as band from far f join steps s on s.cid = f.cid and s.start <= f.d group by all),
-brands as (select cid, band, p_brand, row_number() over (partition by cid, band order by sum(n) desc, p_brand) as r from banded group by 1, 2, 3),
-kinds as (select cid, band, p_type, row_number() over (partition by cid, band order by sum(n) desc, p_type) as r from banded group by 1, 2, 3),
-sizes as (select cid, band, round(sum(p_size * n) / sum(n)::double, 9) as p_size from banded group by 1, 2),
-merged as (
-  select p_brand, p_type, p_size::double as p_size, hi <= round(lo + 0.01::double, 9) as converged from cents join spread using (cid)
+  select f.cid, min(f.d) from steps{r} s join far{r} f on f.cid = s.cid and f.d > round(s.start + 0.01::double, 9) group by f.cid),
+banded{r} as (select f.p_brand, f.p_type, f.p_size, f.n, f.cid, max(s.start) as band from far{r} f join steps{r} s on s.cid = f.cid and s.start <= f.d group by all),
+brands{r} as (select cid, band, p_brand, row_number() over (partition by cid, band order by sum(n) desc, p_brand) as r from banded{r} group by 1, 2, 3),
+kinds{r} as (select cid, band, p_type, row_number() over (partition by cid, band order by sum(n) desc, p_type) as r from banded{r} group by 1, 2, 3),
+sizes{r} as (select cid, band, round(sum(p_size * n) / sum(n)::double, 9) as p_size from banded{r} group by 1, 2),
+merged{r} as (
+  select p_brand, p_type, p_size::double as p_size, hi <= round(lo + 0.01::double, 9) as converged from cents{r} join spread{r} using (cid)
   union all
-  select b.p_brand, k.p_type, s.p_size, false from sizes s join brands b on b.cid = s.cid and b.band = s.band and b.r = 1
-  join kinds k on k.cid = s.cid and k.band = s.band and k.r = 1)"""
+  select b.p_brand, k.p_type, s.p_size, false from sizes{r} s join brands{r} b on b.cid = s.cid and b.band = s.band and b.r = 1
+  join kinds{r} k on k.cid = s.cid and k.band = s.band and k.r = 1)"""
+
+
+_SPLIT_SQL = f"{_PROFS}, {_split_round_sql('point_centres')}"
+_SEEDS = """seeds as (
+  select p_brand, p_type, p_size::double as p_size from (
+    select *, '{"p_brand":"' || p_brand || '","p_type":"' || p_type || '","p_size":' || p_size || '}' as key from profs)
+  order by md5(key || ':42'), key limit 10)"""
 
 
 def _split_inputs(spark, sf):
@@ -1014,6 +1051,17 @@ def split_step(spark, sf):
     return after.select("p_brand", "p_type", r6("p_size").alias("p_size"), F.col("converged").cast("int").alias("converged"))
 
 
+@query(
+    with_(I.POINTS, _PROFS, _SEEDS, _split_round_sql("seeds", "_a"), _split_round_sql("merged_a", "_b"), _split_round_sql("merged_b", "_c"))
+    + "select p_brand, p_type, round(p_size, 6) as p_size, bool_or(converged)::int as converged from merged_c group by 1, 2, merged_c.p_size"
+)
+def split_three_rounds(spark, sf):
+    """The loop of split clustering from its own seeds, stopped after three rounds."""
+    profiles, metric = _split_inputs(spark, sf)
+    after, _ = cluster.split_clustering(profiles, metric, k=10, max_iter=3)
+    return after.select("p_brand", "p_type", r6("p_size").alias("p_size"), F.col("converged").cast("int").alias("converged"))
+
+
 # -- reports ----------------------------------------------------------------------------------------
 
 
@@ -1140,6 +1188,45 @@ def coefficient_table(spark, sf):
     return models.coefficient_table(model, split.where("split = 'train'"), spec)
 
 
+@query(with_(I.PAYMENTS, I.AGED, I.VALID_PAYMENTS) + "select count(*) as users, 0 as misplaced from valid_payments where iszat = 0")
+def prediction_files(spark, sf):
+    """Predictions written as a directory of payers and one of the others, read back: all who have not paid, each in the
+    directory their score says."""
+    spec, _, (model, _) = _payment_logistic(spark, sf)
+    path = scratch_path(spark, "predictions")
+    payment.write_predictions(payment.payment_predict(model, I.payments(spark, sf), spec, I.ASOF), path)
+    read = spark.read.parquet(path)
+    wrong = (F.col("predicted") == "pay") != (F.col("score") >= 0.5)
+    return read.agg(F.count("*").alias("users"), F.count_if(wrong | F.col("predicted").isNull()).cast("int").alias("misplaced"))
+
+
+@query(
+    with_(I.PROFILES, I.VALID)
+    + """select sum(m * f)::bigint as pairs, 0 as differing from (
+           select userid % 3 as file, count(*) filter (sex = 0) as m, count(*) filter (sex = 1) as f from valid group by 1)"""
+)
+def matches_of_files(spark, sf):
+    """Best counterparts within each of three profile files: the same as from the forest's own scores of all pairs of
+    opposite gender of a file."""
+    fields = tuple(dict.fromkeys(["userid", "sex", "workcity", *I.WIDE_ROLES.male_fields]))
+    spec = DatasetSpec(fields=fields, types={c: "long" for c in fields})
+    path = scratch_path(spark, "user_files")
+    rows = I.profiles(spark, sf).select(*fields)
+    for part in range(3):
+        tables.write_text(rows.where(F.col("userid") % 3 == part), f"{path}/user_{part}")
+    model = _match_model(spark, sf)
+    found = store(match.predict_matches_of_files(spark, path, spec, model, I.WIDE_ROLES, 30))
+    valid = clean.valid_profile(tables.read_many(spark, path, spec))
+    male, female = (clean.project_role(valid.where(f"sex = {code}"), own, prefix, keep=["userid", "source_file"]) for code, own, prefix in ((0, I.WIDE_ROLES.male_fields, "m_"), (1, I.WIDE_ROLES.female_fields, "f_")))
+    pairs_ = male.withColumnRenamed("userid", "_m").join(female.withColumnRenamed("userid", "_f"), "source_file")
+    scored = store(models.score_forest(model, pairs_).select("_m", "_f", F.round("score", 9).alias("score")))
+    both = scored.where("score >= 0.5").select(F.explode(F.array(F.struct(F.col("_m").alias("user_id"), F.col("_f").alias("other_id")), F.struct(F.col("_f").alias("user_id"), F.col("_m").alias("other_id")))).alias("p"), "score")
+    want = ordering.top_matches(both.select("p.*", "score"), "user_id", "other_id", "score", 30).select("user_id", "other_id", "rank")
+    got = found.select("user_id", "other_id", "rank")
+    wrong = got.exceptAll(want).unionByName(want.exceptAll(got)).agg(F.count("*").cast("int").alias("differing"))
+    return scored.agg(F.count("*").alias("pairs")).join(wrong, F.lit(True))
+
+
 @query(with_(I.PAYMENTS, I.AGED, I.VALID_PAYMENTS, I.SPLIT_PAYMENTS) + "select count(*) as rows, 0 as violated from split_payments where split = 'train'")
 def logistic_is_optimal(spark, sf):
     """The payment model, fitted to the end with a stronger penalty: no weight breaks the first-order condition of the L1 loss."""

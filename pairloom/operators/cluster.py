@@ -192,13 +192,14 @@ def _block_histogram(vectors: DataFrame, cluster: str, fields: list[str], block:
         codes = np.unique(np.concatenate([x.ravel(), y.ravel()]).astype(str), return_inverse=True)[1]
         x, y = codes[: x.size].reshape(x.shape), codes[x.size :].reshape(y.shape)
         na, nb = a["_n"].to_numpy(np.int64), b["_n"].to_numpy(np.int64)
-        totals = np.zeros(len(fields) + 1, np.int64)
-        for i in range(len(x)):
-            rest = slice(i + 1, None) if own else slice(None)
-            diff = (y[rest] != x[i]).sum(axis=1)
-            np.add.at(totals, diff, na[i] * nb[rest])
+        differing = np.zeros((len(x), len(y)), np.uint8 if len(fields) < 256 else np.int32)
+        for f in range(len(fields)):
+            differing += x[:, f, None] != y[None, :, f]
+        # of a block with itself, each pair once: its own products are halved, without those of a vector with itself
+        totals = np.array([na @ ((differing == k) @ nb) for k in range(len(fields) + 1)], np.int64)
         if own:
-            totals[0] += (na * (na - 1) // 2).sum()
+            totals[0] -= na.sum()
+            totals //= 2
         kept = np.flatnonzero(totals)
         return pd.DataFrame({"_cluster": pd.Series([a["_cluster"].iat[0]] * len(kept), dtype=a["_cluster"].dtype), "distance": kept, "pairs": totals[kept]})
 

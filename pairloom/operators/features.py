@@ -16,24 +16,22 @@ from pairloom.session import broadcast_if_small, store
 
 # Below this a standard deviation is rounding noise of a constant column.
 MIN_SIGMA = 1e-12
-MAX_DOMAIN = 10_000
 
 
-def domains_of(dist: DataFrame, attrs: Sequence[str], max_domain: int = MAX_DOMAIN) -> Column:
-    """``attr -> sorted distinct values`` as a scalar subquery.
+def value_places(dist: DataFrame, attrs: Sequence[str]) -> tuple[DataFrame, dict[str, int]]:
+    """``(attr, value, pos)``: the 0-based place of every value in ascending order, ranked by ranges and written down;
+    and the number of values of each attribute the distribution holds."""
+    ranked = store(running_totals(dist.where(F.col("attr").isin(list(attrs))).select("attr", "value"), ["attr"], ["value"]))
+    return ranked, {r["attr"]: r["n"] for r in ranked.groupBy("attr").agg(F.count("*").alias("n")).collect()}  # a row per attribute
 
-    Its input first counts the domains and fails past ``max_domain``, so what it hands to every task
-    stays bounded. All attributes share one subquery, hence one pass over the distribution.
-    """
-    own = dist.where(F.col("attr").isin(list(attrs)))
-    widest = own.groupBy("attr").count().agg(F.max("count")).scalar()
-    checked = own.where(
-        F.when(F.coalesce(widest, F.lit(0)) <= max_domain, F.lit(True)).otherwise(
-            F.raise_error(F.lit(f"one of {sorted(attrs)} has more than {max_domain} values")).cast("boolean")
-        )
-    )
-    per_attr = checked.groupBy("attr").agg(F.array_sort(F.collect_list("value")).alias("domain"))
-    return per_attr.agg(F.map_from_entries(F.collect_list(F.struct("attr", "domain")))).scalar()
+
+def _with_places(df: DataFrame, places: DataFrame, dist: DataFrame, attrs: Sequence[str], how: str = "left") -> DataFrame:
+    """``df`` with ``_at_<attr>``, the place of its value; null (or, ``how="inner"``, no row) where the distribution does not
+    hold it."""
+    for f in attrs:
+        own = places.where(F.col("attr") == f).select(F.col("value").alias("_value"), F.col("pos").alias(f"_at_{f}"))
+        df = df.withColumn("_value", _as_value(dist, f)).join(own, "_value", how).drop("_value")
+    return df
 
 
 def moments_of(moments: DataFrame, attrs: Sequence[str]) -> Column:
@@ -55,21 +53,19 @@ def _code(attr: str) -> Column:
     return F.coalesce(F.col(attr), F.lit(NULL_CODE))
 
 
-def one_hot(df: DataFrame, attr: str, dist: DataFrame, name: str, max_domain: int = MAX_DOMAIN) -> DataFrame:
-    """0/1 per observed value of ``attr`` in ascending order, as an array."""
-    return (
-        df.withColumn("_domains", domains_of(dist, [attr], max_domain))
-        .withColumn(name, _indicator(dist, attr))
-        .drop("_domains")
-    )
+def one_hot(df: DataFrame, attr: str, dist: DataFrame, name: str) -> DataFrame:
+    """0/1 per observed value of ``attr`` in ascending order, as an array: a row is as wide as the domain. A value's place
+    comes by a join, so no task holds the domain; ``feature_vectors`` has the same as sparse vectors."""
+    places, sizes = value_places(dist, [attr])
+    return _with_places(df, places, dist, [attr]).withColumn(name, _indicator(attr, sizes)).drop(f"_at_{attr}")
 
 
-def _indicator(dist: DataFrame, attr: str) -> Column:
-    """The 0/1 array of one attribute over the ``_domains`` column; an attribute the distribution does
-    not hold passes through as its number."""
-    own = _as_value(dist, attr)
-    hot = F.transform(F.col("_domains")[attr], lambda v: (v == own).cast("double"))
-    return F.coalesce(hot, F.array(F.col(attr).try_cast("double")))
+def _indicator(attr: str, sizes: dict[str, int]) -> Column:
+    """The 0/1 array of one attribute from its place; an attribute the distribution does not hold passes through as its
+    number."""
+    if attr not in sizes:
+        return F.array(F.col(attr).try_cast("double"))
+    return F.transform(F.sequence(F.lit(0), F.lit(sizes[attr] - 1)), lambda i: F.coalesce(i == F.col(f"_at_{attr}"), F.lit(False)).cast("double"))
 
 
 def _as_value(dist: DataFrame, attr: str) -> Column:
@@ -161,42 +157,40 @@ def feature_matrix(
     dist: DataFrame,
     keep: Sequence[str] = (),
     name: str = "features",
-    max_domain: int = MAX_DOMAIN,
 ) -> DataFrame:
-    """``(id, keep..., features)``: one-hot categoricals and log z-scores in configured field order.
+    """``(id, keep..., features)``: one-hot categoricals and log z-scores in configured field order, as dense arrays.
 
-    The domains and moments come from ``dist`` as scalar subqueries, so encoding is one map-only pass.
+    Places of values come by joins with the distribution, the moments as a scalar subquery.
     """
     listed = [f for f in fields if f in categorical]
     numeric = [f for f in fields if f not in categorical]
-    wide = df.withColumn("_domains", domains_of(dist, listed, max_domain)) if listed else df
+    places, sizes = value_places(dist, listed) if listed else (None, {})
+    wide = _with_places(df, places, dist, listed)
     if numeric:
         wide = wide.withColumn("_moments", moments_of(log_moments(dist, numeric), numeric))
-    parts = [
-        _indicator(dist, f) if f in categorical else F.array(z_of(_code(f), F.col("_moments")[f])) for f in fields
-    ]
+    parts = [_indicator(f, sizes) if f in categorical else F.array(z_of(_code(f), F.col("_moments")[f])) for f in fields]
     return wide.select(id, *keep, F.concat(*parts).alias(name))
 
 
-def value_positions(dist: DataFrame, attr: str) -> DataFrame:
-    """``(value, pos)``: the 0-based place of every value of an attribute in ascending order, ranked by ranges."""
-    return running_totals(dist.where(F.col("attr") == attr).select("value"), [], ["value"]).select("value", "pos")
-
-
 def feature_vectors(
     df: DataFrame, id: str, fields: Sequence[str], categorical: Sequence[str], dist: DataFrame, keep: Sequence[str] = (), name: str = "features"
 ) -> DataFrame:
-    """``feature_matrix`` as sparse vectors, for domains of any size: places come by a join on the value, and a
-    row holds one entry per categorical attribute however many values it has. Every value of ``df`` is in ``dist``."""
+    """``feature_matrix`` as sparse vectors, for domains of any size: a row holds one entry per categorical attribute
+    however many values it has. Rows with a value that ``dist`` does not hold are left out."""
     listed = [f for f in fields if f in categorical]
+    places, sizes = value_places(dist, listed) if listed else (None, {})
+    hot = [f for f in listed if f in sizes]
     numeric = [f for f in fields if f not in categorical]
-    wide = df.withColumn("_moments", moments_of(log_moments(dist, numeric), numeric)) if numeric else df
-    for f in listed:
-        places = store(value_positions(dist, f)).select(F.col("value").alias("_value"), F.col("pos").cast("double").alias(f"_at_{f}"))
-        wide = wide.withColumn("_value", _as_value(dist, f)).join(places, "_value").drop("_value")
-    wide = wide.withColumns({f"_z_{f}": z_of(_code(f), F.col("_moments")[f]) for f in numeric})
+    wide = _with_places(df, places, dist, hot, "inner")
+    if numeric:
+        wide = wide.withColumn("_moments", moments_of(log_moments(dist, numeric), numeric))
+    plain = {f"_z_{f}": z_of(_code(f), F.col("_moments")[f]) for f in numeric}
+    plain |= {f"_z_{f}": F.coalesce(F.col(f).try_cast("double"), F.lit(0.0)) for f in listed if f not in sizes}
+    wide = wide.withColumns({**plain, **{f"_at_{f}": F.col(f"_at_{f}").cast("double") for f in hot}})
     stages: list = []
-    if listed:
-        stages.append(OneHotEncoder(inputCols=[f"_at_{f}" for f in listed], outputCols=[f"_hot_{f}" for f in listed], dropLast=False))
-    stages.append(VectorAssembler(inputCols=[f"_hot_{f}" if f in categorical else f"_z_{f}" for f in fields], outputCol=name))
+    if hot:
+        # the sizes are known, so the encoder is fitted on one row that shows them
+        shown = df.sparkSession.createDataFrame([tuple(float(sizes[f] - 1) for f in hot)], ", ".join(f"`_at_{f}` double" for f in hot))
+        stages.append(OneHotEncoder(inputCols=[f"_at_{f}" for f in hot], outputCols=[f"_hot_{f}" for f in hot], dropLast=False).fit(shown))
+    stages.append(VectorAssembler(inputCols=[f"_hot_{f}" if f in hot else f"_z_{f}" for f in fields], outputCol=name))
     return Pipeline(stages=stages).fit(wide).transform(wide).select(id, *keep, name)

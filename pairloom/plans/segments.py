@@ -12,13 +12,12 @@ from pairloom.operators.clean import NULL_CODE, in_ranges
 from pairloom.operators.cluster import (
     assign_nearest,
     cluster_centres,
-    item_distance,
     kmeans,
     split_clustering,
     vector_distance,
 )
 from pairloom.operators.distribution import attribute_distribution, cluster_distribution
-from pairloom.operators.features import MAX_DOMAIN, distinct_profiles, feature_matrix, feature_vectors
+from pairloom.operators.features import distinct_profiles, feature_vectors
 from pairloom.session import materialize, store
 from pairloom.spec import Range
 
@@ -45,25 +44,22 @@ def cluster_items(
     distance: str = "sq_euclidean",
     seed: int = 42,
     dist: DataFrame | None = None,
-    max_domain: int = MAX_DOMAIN,
 ) -> Segments:
     """Distribution, encoding, k-means, distance of each item to its centre, value counts per cluster.
 
-    Numbers and texts may be mixed; the attributes travel with the vectors. Domains beyond ``max_domain`` values are
-    encoded as sparse vectors.
+    Numbers and texts may be mixed; the attributes travel with the vectors, which are sparse, so domains have any size.
     """
     dist = materialize(attribute_distribution(df, fields)) if dist is None else dist
-    listed = [f for f in fields if f in categorical]
-    sizes = dist.where(F.col("attr").isin(listed)).groupBy("attr").agg(F.count_distinct("value").alias("n"))
-    wide = not sizes.where(F.col("n") > max_domain).isEmpty()
-    encode = feature_vectors if wide else feature_matrix
-    vectors = store(encode(df, id, fields, categorical, dist, keep=list(fields)))
+    vectors = store(feature_vectors(df, id, fields, categorical, dist, keep=list(fields)))
+    return _cluster_vectors(vectors, id, fields, k, max_iter, tol, distance, seed)
+
+
+def _cluster_vectors(vectors: DataFrame, id: str, fields: Sequence[str], k: int, max_iter: int, tol: float, distance: str, seed: int) -> Segments:
     model, assigned = kmeans(vectors, k, max_iter, tol, distance, seed)
-    centres = cluster_centres(df.sparkSession, model)
     assigned = store(assigned)
-    items = vector_distance(assigned, model, id) if wide else item_distance(assigned, centres, id)
+    items = vector_distance(assigned, model, id)
     profile = cluster_distribution(assigned.select("centre_id", *fields), "centre_id", fields)
-    return Segments(centres, items, profile)
+    return Segments(cluster_centres(vectors.sparkSession, model), items, profile)
 
 
 def cluster_users(
@@ -78,13 +74,13 @@ def cluster_users(
     gender: str = "sex",
     seed: int = 42,
 ) -> dict[str, Segments]:
-    """The same per gender over range-checked profiles, all encoded by one common distribution."""
+    """The same per gender over range-checked profiles, all encoded once by one common distribution."""
     valid = in_ranges(profiles, ranges)
     dist = materialize(attribute_distribution(valid, fields))
+    kept = list(dict.fromkeys([gender, *fields]))
+    vectors = store(feature_vectors(valid, id, fields, categorical, dist, keep=kept))
     return {
-        side: cluster_items(
-            valid.where(F.col(gender) == code), id, fields, categorical, k, max_iter, tol, seed=seed, dist=dist
-        )
+        side: _cluster_vectors(vectors.where(F.col(gender) == code), id, fields, k, max_iter, tol, "sq_euclidean", seed)
         for side, code in GENDERS.items()
     }
 
