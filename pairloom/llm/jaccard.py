@@ -38,6 +38,7 @@ SKETCH_BITS, STRIPES = 22, 64
 LEAST_FRAGMENTS, FRAGMENT_SHINGLES = 64, 4_000_000
 COUNTING_FRAGMENTS = 4
 LIST_BLOCK = 1024
+FAN_OUT = 2_000
 PASS_A = "kind int, id long, th long, n long, ent long, stripe int, counts binary"
 
 
@@ -318,23 +319,51 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.int64()), pa.array(c[1], pa.int32()), pa.array(c[2], pa.binary())], names=["ent", "frag", "part"])
 
 
-def _overlaps(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for f in frames:
-        n = [len(np.intersect1d(np.frombuffer(x, U64), np.frombuffer(y, U64), assume_unique=True)) for x, y in zip(f.part, f.part_b)]
-        yield pd.DataFrame({"a": f.a, "na": f.na, "b": f.b, "nb": f.nb, "common": np.array(n, np.int64)})
+COUNTED = "a long, na long, b long, nb long, frag int, common long"
+
+
+def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Common shingles of one fragment: streams a hub's part (``ent`` null), then those of its partners."""
+    key, own = None, np.zeros(0, U64)
+    for batch in batches:
+        cols = {c: batch[c].to_pylist() for c in ("hub", "na", "salt", "frag", "ent", "nb", "part")}
+        out = []
+        for hub, na, salt, frag, ent, nb, part in zip(*cols.values()):
+            shingles = np.frombuffer(part, U64)
+            if ent is None:
+                key, own = (hub, salt, frag), shingles
+            elif key == (hub, salt, frag):  # else the hub has nothing in this fragment
+                out.append((hub, na, ent, nb, frag, len(np.intersect1d(own, shingles, assume_unique=True))))
+        if out:
+            kinds = [pa.int64()] * 4 + [pa.int32(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=[c.split()[0] for c in COUNTED.split(", ")])
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, share: tuple[int, int]) -> DataFrame:
     """The candidate pairs that are similar, by partial counts per fragment. Texts are read again for one
-    document of each set in question."""
-    wanted = pairs.select(F.col("a").alias("ent")).unionByName(pairs.select(F.col("b").alias("ent"))).distinct()
-    ids = broadcast_if_small(reps.join(wanted, "ent", "left_semi").select("rep"))  # by the bytes written; else text is shuffled
-    texts = docs.join(ids, F.col("_th") == F.col("rep"), "left_semi").select("_text")
-    parts = store(texts.mapInArrow(_segments, "ent long, frag int, part binary").dropDuplicates(["ent", "frag"]))
-    right = parts.select(F.col("ent").alias("b"), F.col("frag").alias("frag_b"), F.col("part").alias("part_b"))
-    met = pairs.join(right, "b").join(parts.withColumnRenamed("ent", "a"), "a").where("frag = frag_b").select("a", "na", "b", "nb", "part", "part_b")
-    counts = met.mapInPandas(_overlaps, PAIR + ", common long").groupBy("a", "na", "b", "nb").agg(F.sum("common").alias("common"))
-    return counts.where(F.col("common") * share[1] >= (F.col("na") + F.col("nb") - F.col("common")) * share[0]).select("a", "b")
+    row of each set in question. A pair's hub is the set with more partners: its parts go once to
+    every ``FAN_OUT`` of them, which stream past."""
+    pairs = store(pairs.dropDuplicates(["a", "b"]))
+    partners_of = store(pairs.select(F.explode(F.array("a", "b")).alias("ent")).groupBy("ent").agg(F.count("*").alias("c")))
+    chosen = broadcast_if_small(reps.join(partners_of, "ent", "left_semi").select("rep"))  # by the bytes written; else text is shuffled
+    texts = docs.join(chosen, F.xxhash64("_id", "_th") == F.col("rep"), "left_semi").select("_text")
+    parts = store(texts.mapInArrow(_segments, "ent long, frag int, part binary"))
+    known = broadcast_if_small(partners_of)
+    sized = pairs.join(known.select(F.col("ent").alias("a"), F.col("c").alias("ca")), "a").join(known.select(F.col("ent").alias("b"), F.col("c").alias("cb")), "b")
+    a_first = F.col("ca") >= F.col("cb")
+    side = lambda x, y: F.when(a_first, F.col(x)).otherwise(F.col(y))
+    salt = F.pmod(F.xxhash64(side("b", "a")), F.ceil(F.greatest("ca", "cb") / FAN_OUT))
+    dealt = store(sized.select(side("a", "b").alias("hub"), side("na", "nb").alias("na"), salt.alias("salt"), side("b", "a").alias("ent"), side("nb", "na").alias("nb")))
+    partners = dealt.join(parts, "ent").select("hub", "na", "salt", "frag", "ent", "nb", "part")
+    none = F.lit(None).cast("bigint")
+    own = parts.withColumnRenamed("ent", "hub")
+    hubs = dealt.select("hub", "na", "salt").distinct().join(own, "hub").select("hub", "na", "salt", "frag", none.alias("ent"), none.alias("nb"), "part")
+    order = ["hub", "salt", "frag"]
+    ordered = hubs.unionByName(partners).repartition(*order).sortWithinPartitions(*order, F.col("ent").asc_nulls_first())
+    # equal rows of the table are read alike and give a part twice
+    each = ordered.mapInArrow(_overlaps, COUNTED).groupBy("a", "na", "b", "nb", "frag").agg(F.max("common").alias("common"))
+    counts = each.groupBy("a", "na", "b", "nb").agg(F.sum("common").alias("common"))
+    return counts.where(F.col("common") * share[1] >= (F.col("na") + F.col("nb") - F.col("common")) * share[0]).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def similar_components(df: DataFrame, id: str = "doc_id", text: str = "text", share: tuple[int, int] = (4, 5)) -> DataFrame:
@@ -359,7 +388,7 @@ def similar_components(df: DataFrame, id: str = "doc_id", text: str = "text", sh
         own = named.join(links.select(F.col("a").alias("ent"), F.col("b").alias("root")), "ent", "left").withColumn("root", F.coalesce("root", "ent"))
     else:
         own = named.withColumn("root", F.col("ent"))
-    least = own.groupBy("root").agg(F.min("id").alias("component_id"))
+    least = broadcast_if_small(own.groupBy("root").agg(F.min("id").alias("component_id")))
     found = own.join(least, "root").select("id", F.col("th").alias("text_hash"), F.col("n").alias("n_shingles"), "component_id")
     alone = sets.where("n = 0").select("id", F.col("th").alias("text_hash"), F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
     return found.unionByName(alone).withColumnRenamed("id", id)
@@ -374,7 +403,7 @@ def _links(spark: SparkSession, docs: DataFrame, plain: DataFrame, scanned: Data
     fragments = max(LEAST_FRAGMENTS, total // FRAGMENT_SHINGLES)
     packed = plain.mapInArrow(_prefix_rows(spark.sparkContext.broadcast(counts), heavy, fragments, share), "frag int, packed binary")
     lists = store(packed.groupBy("frag").applyInPandas(_lists, LISTS).groupBy("key").agg(F.min(F.struct("ord1", "ord2", "ents", "sizes", "places")).alias("l")).select("key", "l.ents", "l.sizes", "l.places"))
-    reps = store(sets.where("n > 0").groupBy("ent").agg(F.min("th").alias("rep")))  # a text for each set
+    reps = store(sets.where("n > 0").groupBy("ent").agg(F.min(F.xxhash64("id", "th")).alias("rep")))  # a row for each set
     stars = store(lists.mapInPandas(_stars(share), PAIR).dropDuplicates(["a", "b"]))
     first = store(_linked(stars, docs, reps, share))
     roots = components(first)
