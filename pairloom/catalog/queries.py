@@ -1343,6 +1343,55 @@ def payment_forest_eval(spark, sf):
     return confusion
 
 
+@query(with_(I.PAYMENTS, I.AGED, I.VALID_PAYMENTS, I.SPLIT_PAYMENTS) + "select iszat as label, count(*)::bigint as rows from split_payments where split = 'test' group by 1")
+def payment_forest_rows(spark, sf):
+    """The payment forest's confusion holds every test row under its own label."""
+    split = payment.payment_split(I.payments(spark, sf), I.ASOF)
+    _, confusion, _ = payment.payment_forest(split, I.PAYMENT_SPEC)
+    return confusion.groupBy(F.col("iszat").cast("int").alias("label")).agg(F.sum("cnt").alias("rows"))
+
+
+@query(
+    with_(I.ORDER_ACTIONS, I.PROFILES, I.VALID)
+    + """select case when resp = 'F' then 1 else 0 end as label, count(*)::bigint as rows from order_actions
+         join valid a on a.userid = aid join valid b on b.userid = bid where aid <> bid and a.sex <> b.sex group by 1"""
+)
+def match_evaluation_rows(spark, sf):
+    """The match forest's confusion on the log holds every pair of opposite gender under its own label."""
+    confusion, _ = match.evaluate_match_model(
+        _match_model(spark, sf), I.order_actions(spark, sf), I.profiles(spark, sf), I.ORDER_CODES.positives, I.WIDE_ROLES
+    )
+    return confusion.groupBy(F.col("label").cast("int").alias("label")).agg(F.sum("cnt").alias("rows"))
+
+
+@query(
+    with_(I.PROFILES, I.IN_RANGE)
+    + "select case sex when 0 then 'male' else 'female' end as side, count(*) as users, 0 as misplaced, 0 as differing from in_range where sex in (0, 1) group by 1"
+)
+def cluster_users_nearest(spark, sf):
+    """K-means per gender over sparse vectors: no user has a nearer centre than their own, and their distance is that of
+    the dense vectors."""
+    args = (I.PROFILE_FIELDS, I.PROFILE_CATEGORICAL)
+    valid = clean.in_ranges(I.profiles(spark, sf), I.PROFILE_RANGES)
+    dist = materialize(distribution.attribute_distribution(valid, I.PROFILE_FIELDS))
+    dense = store(features.feature_matrix(valid, "userid", *args, dist))
+    found = segments.cluster_users(I.profiles(spark, sf), *args, I.PROFILE_RANGES, k=5)
+    out = []
+    for side, one in found.items():
+        own = one.items.select("userid", F.col("centre_id").alias("own"), "distance")
+        rows = dense.join(own, "userid")
+        near = cluster.assign_nearest(rows.drop("distance"), one.centres, Metric("sq_euclidean", ("features",)), "all")
+        best = near.groupBy("userid").agg(F.max((F.col("own") == F.col("centre_id")).cast("int")).alias("ok"), F.min("distance").alias("d"))
+        both = own.join(best, "userid")
+        out.append(
+            both.agg(
+                F.count("*").alias("users"), F.count_if(F.col("ok") == 0).cast("int").alias("misplaced"),
+                F.count_if(F.abs(F.col("d") - F.col("distance")) > 1e-6).cast("int").alias("differing"),
+            ).select(F.lit(side).alias("side"), "users", "misplaced", "differing")
+        )
+    return out[0].unionByName(out[1])
+
+
 @query()
 def kmeans_assignments(spark, sf):
     _, assigned = cluster.kmeans(I.vectors(spark, sf).drop("centre_id"), 10)
