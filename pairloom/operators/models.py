@@ -44,18 +44,20 @@ def train_forest(
     max_depth: int = MAX_DEPTH,
     seed: int = 42,
     regression: bool = False,
-    min_variance_share: float = MIN_VARIANCE_SHARE,
+    min_variance_share: float | None = None,
     bootstrap: bool = True,
 ) -> PipelineModel:
     """Random forest over mixed features, in the given feature order.
 
     Categoricals are indexed in value order; values unseen in training get their own index. The label
     is 0/1, or a number with ``regression``. Spark grows every tree over all partitions. A split must lower a node's
-    impurity by ``min_variance_share`` of the root's; a node below that share of the root's variance cannot.
+    impurity by ``min_variance_share`` of the root's, so a node below that share of the root's variance stays whole. By
+    default that holds for numbers only (``MIN_VARIANCE_SHARE``); trees of classes grow as long as a split gains anything.
     """
     listed = [f for f in features if f in categorical]
     base = _texts(train, listed).withColumn(label, F.col(label).cast("double"))
-    variance = base.agg(F.var_pop(label)).first()[0] or 0.0
+    share = min_variance_share if min_variance_share is not None else MIN_VARIANCE_SHARE if regression else 0.0
+    variance = base.agg(F.var_pop(label)).first()[0] or 0.0 if share else 0.0
     root_impurity = variance if regression else 2 * variance  # Gini of a 0/1 label is twice its variance
     stages, widest = [], 2
     if listed:
@@ -71,7 +73,7 @@ def train_forest(
     stages.append(
         learner(
             labelCol=label, featuresCol="features", numTrees=trees, maxDepth=max_depth, minInstancesPerNode=MIN_SPLIT,
-            minInfoGain=min_variance_share * root_impurity, maxBins=max(32, widest), seed=seed, bootstrap=bootstrap,
+            minInfoGain=share * root_impurity, maxBins=max(32, widest), seed=seed, bootstrap=bootstrap,
         )
     )
     # fitted stages pass through Pipeline.fit unchanged

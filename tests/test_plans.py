@@ -93,6 +93,39 @@ def test_forest_regression(spark):
     assert err < 3
 
 
+def test_stop_rules(spark):
+    """A split must gain a share of the root's variance; depth is a limit of its own."""
+    noise = spark.createDataFrame([(float(i >= 32) * 100 + (i * 7) % 5, i) for i in range(64)], "y double, x int")
+    depth = lambda **o: models.train_forest(noise, "y", ["x"], [], trees=1, regression=True, bootstrap=False, **o).stages[-1].trees[0].depth
+    assert depth() == 1 and depth(min_variance_share=0.0) > 3 and depth(min_variance_share=0.0, max_depth=2) == 2
+    coin = spark.createDataFrame([(i % 2, (i * 37) % 101, (i * 53) % 97) for i in range(400)], "y int, x int, z int")
+    grown = models.train_forest(coin, "y", ["x", "z"], [], trees=1, bootstrap=False)
+    cut = models.train_forest(coin, "y", ["x", "z"], [], trees=1, bootstrap=False, min_variance_share=0.2)
+    assert grown.stages[-1].trees[0].depth > 5 > cut.stages[-1].trees[0].depth
+    audit = models.leaf_audit(grown, coin, "y").agg(F.sum("rows"), F.sum("differing"), F.countDistinct("leaf")).first()
+    assert tuple(audit)[:2] == (400, 0) and audit[2] == models.tree_nodes(grown).count() > 10
+    # a tree that has seen a sample votes differently from what stands in its leaves
+    sampled = models.train_forest(coin, "y", ["x", "z"], [], trees=1)
+    assert models.leaf_audit(sampled, coin, "y").agg(F.sum("differing")).first()[0] > 0
+
+
+def test_three_classes(spark):
+    data = [("red" if x < 3 else "blue" if x < 6 else "green", x, "k" if x % 2 else None) for x in range(9) for _ in range(20)]
+    df = spark.createDataFrame([*data, (None, 1, "k")], "colour string, x int, w string")
+    spec = models.LogisticSpec("colour", ("w",), ("x",), 64)
+    model = models.train_classes(df, spec, 300, 0.001, 1e-10)
+    assert models.class_list(model) == ["blue", "green", "red"]
+    known = df.where("colour is not null")
+    scored = models.score_classes(model, known, spec)
+    assert scored.where("predicted = colour").count() > 170
+    assert scored.select(F.max(F.abs(F.aggregate(F.map_values("scores"), F.lit(0.0), lambda a, v: a + v) - 1))).first()[0] < 1e-9
+    table = models.coefficient_table(model, known, spec)
+    assert {r["class"] for r in table.collect()} == {"blue", "green", "red"}
+    worst = models.optimality(model, df, spec, 0.001).agg(F.max("excess")).first()[0]
+    early = models.train_classes(df, spec, 1, 0.001)
+    assert worst < 1e-5 < models.optimality(early, df, spec, 0.001).agg(F.max("excess")).first()[0]
+
+
 def test_match_pipeline(spark, tmp_path):
     rng = random.Random(11)
     people = [(i, i % 2, 170, 30, 1 + i % 3, rng.randint(0, 3)) for i in range(300)]
