@@ -353,7 +353,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, share: tuple[int
     a_first = F.col("ca") >= F.col("cb")
     side = lambda x, y: F.when(a_first, F.col(x)).otherwise(F.col(y))
     salt = F.pmod(F.xxhash64(side("b", "a")), F.ceil(F.greatest("ca", "cb") / FAN_OUT))
-    dealt = store(sized.select(side("a", "b").alias("hub"), side("na", "nb").alias("na"), salt.alias("salt"), side("b", "a").alias("ent"), side("nb", "na").alias("nb")))
+    dealt = broadcast_if_small(sized.select(side("a", "b").alias("hub"), side("na", "nb").alias("na"), salt.alias("salt"), side("b", "a").alias("ent"), side("nb", "na").alias("nb")))
     partners = dealt.join(parts, "ent").select("hub", "na", "salt", "frag", "ent", "nb", "part")
     none = F.lit(None).cast("bigint")
     own = parts.withColumnRenamed("ent", "hub")
