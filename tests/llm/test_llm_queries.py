@@ -9,6 +9,8 @@ import zlib
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 import corpus_pipeline
@@ -73,15 +75,57 @@ def removed(texts: list[tuple[int, str]], length: int = 50) -> dict:
     return out
 
 
-@pytest.mark.parametrize("chunk", [16_000_000, 30_000])
-def test_suffix_dedup_matches_every_window(spark, docs, monkeypatch, chunk):
-    monkeypatch.setattr(suffixes, "CHUNK_BYTES", chunk)
-    monkeypatch.setattr(suffixes, "PIECE_WINDOWS", 1000)
+def split_finely(monkeypatch, chunk, bucket):
+    """Many chunks, fragments and buckets; leads of more than ``bucket`` bytes are dealt window by window."""
+    for name, value in {"CHUNK_BYTES": chunk, "FRAGMENT_BYTES": chunk, "BUCKET_BYTES": bucket, "PIECE_WINDOWS": 1000, "SAMPLE_DOCS": 1, "SAMPLE_EVERY": 1}.items():
+        monkeypatch.setattr(suffixes, name, value)
+
+
+@pytest.mark.parametrize("chunk, bucket", [(16_000_000, 16_000_000), (30_000, 2_000)])
+def test_suffix_dedup_matches_every_window(spark, docs, monkeypatch, chunk, bucket):
+    split_finely(monkeypatch, chunk, bucket)
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in LLM_QUERIES["op3_suffix_dedup"](spark, SF).collect()}
     assert got == removed(list(zip(docs.doc_id, docs.text)))
     assert sum(v[1] for v in got.values()) > 0
 
 
+def test_suffix_dedup_with_a_passage_in_a_third_of_the_documents(spark, monkeypatch):
+    split_finely(monkeypatch, 20_000, 3_000)
+    rng = np.random.default_rng(3)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), rng.integers(3, 9)))
+    passage = " ".join(word() for _ in range(30))
+    rows = []
+    for i in range(300):
+        text = " ".join(word() for _ in range(60))
+        at = int(rng.integers(0, len(text)))
+        rows.append((i * 7, text[:at] + passage + text[at:] if i % 3 == 0 else text))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    parts = suffixes.repeated_spans(df)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixes.remove_repeats(df).collect()}
+    assert got == removed(rows) and sum(v[1] >= len(passage) for v in got.values()) == 99
+    assert parts.count() > 0
+
+
+def test_hot_suffixes_are_dealt_by_their_bytes():
+    texts = ["x" * i + "common beginning of a passage that is long, " + f"then{i}" * 20 for i in range(40)]
+    raw = [t.encode() for t in texts]
+    table = pa.table({"chunk": pa.array([0] * 40, pa.int32()), "_id": list(range(40)), "_text": texts, "_th": list(range(40))})
+    bits, length = 40, 50
+    asked = suffixes._ask(length, bits, 6)(table)
+    answers = pa.concat_tables([suffixes._answer(asked.filter(pc.equal(asked["frag"], f))) for f in asked["frag"].unique()])
+    data, offs = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(r) for r in raw])
+    leads = np.unique(suffixes._leads(data, suffixes._all_bundles(data, offs, length, Powers())[2]))
+    none = np.zeros(0, np.uint64)
+    found = {}
+    for name, (hot, deal) in {"plain": (none, none.astype(np.int64)), "hot": (leads, np.full(len(leads), 3))}.items():
+        sent = suffixes._settle(length, bits, 6, none, hot, deal, 1000)(table, answers).to_pandas()
+        if name == "hot":
+            assert sent[~sent.settled].bucket.nunique() > 3
+        spans = pd.concat([suffixes._bucket(length, 1000)(f) for _, f in sent.groupby("bucket")])
+        found[name] = {d: suffixes.union_of(list(f.start), list(f.end)) for d, f in spans.groupby("doc")}
+    assert found["plain"] == found["hot"] and found["hot"]
+
+
 def test_multikey_groups_sorts_and_groups():
     rng = np.random.default_rng(0)
     words = rng.integers(0, 3, (500, 4)).astype(np.uint64)
