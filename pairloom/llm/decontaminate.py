@@ -7,8 +7,9 @@ an item copied into a document lies whole in some passage. An item is retrieved
 then blocks of items whose block maxima cannot, and only the rest is scored from the postings. A
 retrieved item counts when both its question and its answer overlap the passage.
 
-The index goes to the executors: it holds at most ``ITEMS`` items, and a larger benchmark is cut into
-several indexes that are asked one after the other.
+An index goes to the executors: it holds about ``ITEMS`` items, and a larger benchmark is cut into several
+indexes, each asked by tasks of its own, so that a task holds one. Document frequencies, the number of items, their mean
+length and the length of a passage are those of the whole benchmark, so results do not depend on the cut.
 """
 
 from __future__ import annotations
@@ -16,12 +17,15 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from pairloom.llm.text import Powers, U64, fold_latin, mix, slices, words_of
+from pairloom.session import materialize
 
 ITEMS, BLOCK = 4096, 16
 K1, B = 1.2, 0.75
@@ -65,14 +69,28 @@ class Index:
     posting: np.ndarray  # item numbers, by term
     impact: np.ndarray  # over the item's mark
     top: np.ndarray  # per term its largest impact
-    block_top: np.ndarray  # (terms, blocks)
+    block_first: np.ndarray  # where a term's blocks begin; one more at the end
+    block: np.ndarray  # blocks that hold a term, by term
+    block_top: np.ndarray  # its largest impact in each of them
     question: list
     answer: list
     span: int  # words of the longest item
 
 
-def build_index(items: list[tuple[int, str]], share: float = SHARE) -> Index | None:
-    """BM25 postings of (id, text) items; items without words are left out. None without items."""
+@dataclass
+class Statistics:
+    """Of a whole benchmark; ``terms`` and ``df`` may be those of a part of its items only."""
+
+    items: int
+    words: int
+    longest: int
+    terms: np.ndarray  # sorted word hashes
+    df: np.ndarray  # items that hold each
+
+
+def build_index(items: list[tuple[int, str]], share: float = SHARE, corpus: Statistics | None = None) -> Index | None:
+    """BM25 postings of (id, text) items; items without words are left out. None without items. Of items that are
+    part of a larger benchmark, ``corpus`` gives its statistics."""
     powers = Powers()
     rows = sorted((i, t) for i, t in items if t and len(_hashes(t, powers)))
     if not rows:
@@ -83,13 +101,15 @@ def build_index(items: list[tuple[int, str]], share: float = SHARE) -> Index | N
     of = np.repeat(np.arange(len(rows)), size.astype(int))
     pair, tf = np.unique(which * len(rows) + of, return_counts=True)
     term, item = pair // len(rows), pair % len(rows)
-    df = np.bincount(term, minlength=len(terms))
-    idf = np.log(1 + (len(rows) - df + 0.5) / (df + 0.5))
-    impact = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[item] / size.mean()))
+    if corpus is None:
+        corpus = Statistics(len(rows), int(size.sum()), int(size.max()), terms, np.bincount(term, minlength=len(terms)))
+    df = corpus.df[np.searchsorted(corpus.terms, terms)]
+    idf = np.log(1 + (corpus.items - df + 0.5) / (df + 0.5))
+    impact = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[item] / (corpus.words / corpus.items)))
     impact = (impact / (share * np.bincount(item, impact, len(rows)))[item]).astype(np.float32)
     first = np.searchsorted(term, np.arange(len(terms) + 1))
-    block_top = np.zeros((len(terms), -(-len(rows) // BLOCK)), np.float32)
-    np.maximum.at(block_top, (term, item // BLOCK), impact)
+    head = np.flatnonzero(np.concatenate(([True], (term[1:] != term[:-1]) | (item[1:] // BLOCK != item[:-1] // BLOCK))))
+    block_first = np.searchsorted(term[head], np.arange(len(terms) + 1))
     parts = [question_and_answer(t) for _, t in rows]
 
     def side(text: str, n: int) -> np.ndarray:
@@ -97,9 +117,10 @@ def build_index(items: list[tuple[int, str]], share: float = SHARE) -> Index | N
         return grams(h, min(n, max(1, len(h))))
 
     return Index(
-        np.array([i for i, _ in rows]), terms, first, item, impact, np.maximum.reduceat(impact, first[:-1]), block_top,
+        np.array([i for i, _ in rows]), terms, first, item, impact, np.maximum.reduceat(impact, first[:-1]),
+        block_first, item[head] // BLOCK, np.maximum.reduceat(impact, head),
         [(side(q, QUESTION_GRAM), min(QUESTION_GRAM, max(1, len(_hashes(q, powers))))) for q, _ in parts],
-        [(side(a, ANSWER_GRAM), min(ANSWER_GRAM, max(1, len(_hashes(a, powers))))) for _, a in parts], int(size.max()),
+        [(side(a, ANSWER_GRAM), min(ANSWER_GRAM, max(1, len(_hashes(a, powers))))) for _, a in parts], corpus.longest,
     )
 
 
@@ -108,6 +129,12 @@ def _share_of(want: tuple[np.ndarray, int], have: np.ndarray) -> float:
     return float(np.isin(want[0], grams(have, want[1])).mean()) if len(want[0]) else 1.0
 
 
+def _runs(first: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """Places of all entries of the terms ``t``."""
+    reach = first[t + 1] - first[t]
+    return np.repeat(first[t], reach) + np.arange(int(reach.sum())) - np.repeat(np.cumsum(reach) - reach, reach)
+
+
 def leaks(ix: Index, data: np.ndarray, offs: np.ndarray, powers: Powers, overlap: float = OVERLAP) -> Iterator[tuple[int, int, float, float, float]]:
     """(row, item number, score, question overlap, answer overlap) of verified items, each once a row."""
     n = len(offs) - 1
@@ -133,11 +160,11 @@ def leaks(ix: Index, data: np.ndarray, offs: np.ndarray, powers: Powers, overlap
         t = np.unique(term[begins[s] : begins[s + 1 + following[s]]])
         if ix.top[t].sum() < 1:
             continue
-        live = ix.block_top[t].sum(0) >= 1
+        p = _runs(ix.block_first, t)
+        live = np.bincount(ix.block[p], ix.block_top[p], -(-len(ix.items) // BLOCK)) >= 1 - 1e-6
         if not live.any():
             continue
-        reach = ix.first[t + 1] - ix.first[t]
-        p = np.repeat(ix.first[t], reach) + np.arange(int(reach.sum())) - np.repeat(np.cumsum(reach) - reach, reach)
+        p = _runs(ix.first, t)
         p = p[live[ix.posting[p] // BLOCK]]
         score = np.bincount(ix.posting[p], ix.impact[p], len(ix.items))
         row = int(owner[s])
@@ -152,46 +179,85 @@ def leaks(ix: Index, data: np.ndarray, offs: np.ndarray, powers: Powers, overlap
         yield row, i, *found
 
 
-def indexes(items: DataFrame, id: str = "item_id", text: str = "text") -> list[Index]:
-    """Indexes of at most about ``ITEMS`` items each; null texts and ids are left out."""
+def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per part and term, items that hold it; with term null, items with words, their words and the most of one."""
+    powers = Powers()
+    for batch in batches:
+        for part in pc.unique(batch["part"]).to_pylist():
+            words = [_hashes(t, powers) for t in batch.filter(pc.equal(batch["part"], part))["t"].to_pylist()]
+            words = [w for w in words if len(w)]
+            if words:
+                terms, n = np.unique(np.concatenate([np.unique(w) for w in words]), return_counts=True)
+                size = [len(w) for w in words]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part] * (len(terms) + 1), pa.int32()), pa.array([None, *terms.view(np.int64).tolist()], pa.int64()), pa.array([len(words), *n.tolist()], pa.int64()),
+                     pa.array([sum(size)] + [0] * len(terms), pa.int64()), pa.array([max(size)] + [0] * len(terms), pa.int64())],
+                    names=["part", "term", "items", "words", "longest"],
+                )
+
+
+def indexes(items: DataFrame, id: str = "item_id", text: str = "text") -> Iterator[Index]:
+    """Indexes of about ``ITEMS`` items each, one after the other; null texts and ids are left out."""
     rows = items.select(F.col(id).cast("bigint").alias("i"), F.col(text).cast("string").alias("t")).where("i is not null and t is not null")
     parts = -(-rows.count() // ITEMS)
-    built = [build_index([(r.i, r.t) for r in rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == p).collect()]) for p in range(parts)]
-    return [b for b in built if b is not None]
+    if not parts:
+        return
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("i", "t"), F.lit(parts)).cast("int"))
+    counted = materialize(rows.mapInArrow(_count_terms, "part int, term long, items long, words long, longest long"))
+    whole = counted.groupBy("term").agg(F.sum("items").alias("items"), F.sum("words").alias("words"), F.max("longest").alias("longest"))
+    total = whole.where("term is null").first()
+    if total is None:
+        return
+    frequency = materialize(counted.where("term is not null").select("part", "term").distinct().join(whole.select("term", "items"), "term"))
+    for part in range(parts):
+        of_part = frequency.where(F.col("part") == part).select("term", "items").toPandas()
+        terms, df = of_part.term.to_numpy(np.int64).view(U64), of_part["items"].to_numpy(np.int64)
+        order = np.argsort(terms)
+        built = build_index([(r.i, r.t) for r in rows.where(F.col("part") == part).collect()], corpus=Statistics(total["items"], total.words, total.longest, terms[order], df[order]))
+        if built is not None:
+            yield built
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", overlap: float = OVERLAP) -> DataFrame:
     """One row per document row and test item found in it: ``id``, ``item_id``, ``score`` (1 is the mark),
     ``question_overlap``, ``answer_overlap``. Null and empty texts, and an empty benchmark, find nothing.
     Every row is looked at by itself, so repeated rows repeat their finds."""
-    found = indexes(items)
+    spark = docs.sparkSession
     out = [f"{id} long", "item_id long", "score double", "question_overlap double", "answer_overlap double"]
     kinds = [pa.int64(), pa.int64(), *[pa.float64()] * 3]
+    texts = docs.select(F.col(id).cast("bigint").alias("_id"), F.col(text).cast("string").alias("_text"))
+
+    def ask(sent):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            powers, ix = Powers(), sent.value
+            for batch, data, offs in slices(batches, "_text"):
+                ids = batch["_id"].to_pylist()
+                rows = [(ids[r], int(ix.items[i]), *x) for r, i, *x in leaks(ix, data, offs, powers, overlap)]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[o.split()[0] for o in out])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
-        for batch, data, offs in slices(batches, "_text"):
-            ids = batch["_id"].to_pylist()
-            rows = [(ids[r], int(ix.items[i]), *x) for ix in found for r, i, *x in leaks(ix, data, offs, powers, overlap)]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[o.split()[0] for o in out])
+        return texts.mapInArrow(run, ", ".join(out))
 
-    return docs.select(F.col(id).cast("bigint").alias("_id"), F.col(text).cast("string").alias("_text")).mapInArrow(run, ", ".join(out))
+    found = [ask(spark.sparkContext.broadcast(ix)) for ix in indexes(items)]
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], ", ".join(out))
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, text: str = "text", overlap: float = OVERLAP) -> DataFrame:
-    """The rows of ``docs`` in which no test item is found, all columns as they are."""
-    found = indexes(items)
-    column = docs.columns.index(text)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
-        for batch, data, offs in slices(batches, batch_name):
-            clean = np.ones(len(batch), bool)
-            for ix in found:
+    """The rows of ``docs`` in which no test item is found, all columns as they are. Null and empty texts stay, repeated
+    rows stay or go together, and an empty benchmark leaves every row; an empty table stays empty."""
+
+    def keep(sent):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            powers, ix = Powers(), sent.value
+            for batch, data, offs in slices(batches, column):
+                clean = np.ones(len(batch), bool)
                 for r, *_ in leaks(ix, data, offs, powers, overlap):
                     clean[r] = False
-            yield batch if clean.all() else batch.filter(pa.array(clean))
+                yield batch if clean.all() else batch.filter(pa.array(clean))
+
+        return run
 
-    batch_name = docs.columns[column]
-    return docs.mapInArrow(run, docs.schema)
+    column, schema = docs.columns[docs.columns.index(text)], docs.schema
+    for ix in indexes(items):
+        docs = docs.mapInArrow(keep(docs.sparkSession.sparkContext.broadcast(ix)), schema)
+    return docs
