@@ -2,8 +2,9 @@
 
 Strict patterns with their checks (Luhn, parts of an address, numbers of digits) give the base spans. Looser
 patterns propose further, overlapping candidates: spelled-out or odd addresses, numbers with other
-separators, numbers without a plus sign. For each kind, boosted regression trees (numpy, logistic loss) learn
-from a bounded sample of all documents. Positives are strict matches rewritten into loose formats where they stand
+separators, numbers without a plus sign. For each kind, boosted regression trees (logistic loss) learn from all
+documents: equal rows of binned features are counted, every level of every tree is one sum of gradients by feature and
+bin over these counts, and only the sums reach the driver. Positives are strict matches rewritten into loose formats where they stand
 (plus or country dropped, @ spelled out, other separators), negatives are candidates that fail the check of their
 kind, cross a match of another kind or stand inside a word or number, as they are and rewritten alike. So the format
 does not tell the classes apart, and a loose candidate that could be a match has no label. The threshold of a kind is
@@ -19,13 +20,14 @@ from __future__ import annotations
 import bisect
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from pairloom.llm.text import slices, string_bytes
+from pairloom.operators.ordering import running_totals
 from pairloom.session import store
 
 KINDS = ("email", "ip", "card", "phone")
@@ -42,10 +44,11 @@ LOOSE = {
     "card": re.compile(r"[0-9](?:[ ]?[._/-]?[ ]?[0-9]){9,22}"),
     "phone": re.compile(r"[(+]{0,2}[0-9][\x20()./0-9-]{5,22}[0-9]"),
 }
-SAMPLE_CANDIDATES = 10_000  # of each kind
 NEAR = 1000  # characters of a line around an example that is rewritten
 PRECISION, LEAST_SCORE = 0.95, 0.5
 TREES, DEPTH, BINS, RATE = 40, 3, 16, 0.2
+N_FEATURES = 24
+UNIT = 1 << 24  # gradients are summed as whole numbers of this part, so sums do not depend on the order of rows
 _DIGITS = re.compile(r"[0-9]+")
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -232,23 +235,28 @@ def examples(text: str, base: list[tuple[int, str, int]], seed: int = 0) -> list
     return out
 
 
+def _best_split(hist_g: np.ndarray, hist_h: np.ndarray) -> tuple[int, int] | None:
+    """(feature, bin) of the greatest gain, from sums per feature and bin."""
+    total_g, total_h = hist_g[0].sum(), hist_h[0].sum()
+    left_g, left_h = np.cumsum(hist_g, axis=1)[:, :-1], np.cumsum(hist_h, axis=1)[:, :-1]
+    gain = left_g**2 / (left_h + 1) + (total_g - left_g) ** 2 / (total_h - left_h + 1) - total_g**2 / (total_h + 1)
+    f, i = divmod(int(gain.argmax()), BINS - 1)
+    return (f, i) if gain[f, i] > 1e-6 else None
+
+
+def _leaf(total_g: float, total_h: float) -> float:
+    return float(-RATE * total_g / (total_h + 1))
+
+
 def _grow(x: np.ndarray, g: np.ndarray, h: np.ndarray, rows: np.ndarray, depth: int) -> tuple:
     """A regression tree over binned features: (value,) or (feature, bin, left, right), left at bins up to ``bin``."""
-    total_g, total_h = g[rows].sum(), h[rows].sum()
-    leaf = (float(-RATE * total_g / (total_h + 1)),)
+    leaf = (_leaf(g[rows].sum(), h[rows].sum()),)
     if depth == 0 or len(rows) < 8:
         return leaf
-    best = (1e-6, 0, 0)
-    for f in range(x.shape[1]):
-        hist_g = np.cumsum(np.bincount(x[rows, f], g[rows], BINS))[:-1]
-        hist_h = np.cumsum(np.bincount(x[rows, f], h[rows], BINS))[:-1]
-        gain = hist_g**2 / (hist_h + 1) + (total_g - hist_g) ** 2 / (total_h - hist_h + 1) - total_g**2 / (total_h + 1)
-        i = int(gain.argmax())
-        if gain[i] > best[0]:
-            best = (float(gain[i]), f, i)
-    if best[0] <= 1e-6:
+    best = _best_split(*(np.stack([np.bincount(x[rows, f], v[rows], BINS) for f in range(x.shape[1])]) for v in (g, h)))
+    if best is None:
         return leaf
-    _, f, i = best
+    f, i = best
     left = x[rows, f] <= i
     return f, i, _grow(x, g, h, rows[left], depth - 1), _grow(x, g, h, rows[~left], depth - 1)
 
@@ -260,10 +268,15 @@ def _value(tree: tuple, x: np.ndarray) -> np.ndarray:
     return np.where(x[:, f] <= i, _value(left, x), _value(right, x))
 
 
+def _binned(cuts: list[np.ndarray], x: np.ndarray) -> np.ndarray:
+    return np.stack([np.searchsorted(c, v, side="left") for c, v in zip(cuts, x.T)], axis=1).astype(np.uint8)
+
+
 def boost(x: np.ndarray, y: np.ndarray, w: np.ndarray | None = None) -> dict:
+    """The plain version of ``boost_kinds``, over rows at hand."""
     w = np.ones(len(y)) if w is None else w
     cuts = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in x.T]
-    binned = np.stack([np.searchsorted(c, v, side="left") for c, v in zip(cuts, x.T)], axis=1)
+    binned = _binned(cuts, x)
     start = float(np.log(((w * y).sum() + 1) / ((w * (1 - y)).sum() + 1)))
     score, trees = np.full(len(y), start), []
     for _ in range(TREES):
@@ -274,13 +287,16 @@ def boost(x: np.ndarray, y: np.ndarray, w: np.ndarray | None = None) -> dict:
 
 
 def boosted_score(model: dict, x: np.ndarray) -> np.ndarray:
-    binned = np.stack([np.searchsorted(c, v, side="left") for c, v in zip(model["cuts"], x.T)], axis=1)
-    return 1 / (1 + np.exp(-(model["start"] + sum(_value(t, binned) for t in model["trees"]))))
+    return _score(model, _binned(model["cuts"], x))
+
+
+def _score(model: dict, binned: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-(model["start"] + sum((_value(t, binned) for t in model["trees"]), np.zeros(len(binned))))))
 
 
 def threshold_for(score: np.ndarray, y: np.ndarray, precision: float = PRECISION, w: np.ndarray | None = None) -> float:
     """The lowest score from which on the (weighted) share of matches is ``precision`` or more, midway to
-    the next one below; 2 (none) if there is none."""
+    the next one below; 2 (none) if there is none. The plain version of ``thresholds``."""
     w = np.ones(len(y)) if w is None else w
     order = np.argsort(-score, kind="stable")
     share = np.cumsum((w * y)[order]) / np.cumsum(w[order])
@@ -291,37 +307,150 @@ def threshold_for(score: np.ndarray, y: np.ndarray, precision: float = PRECISION
     return float((score[order][good[-1]] + np.append(score[order], 0.0)[good[-1] + 1]) / 2)
 
 
+def _example_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch, _, _ in slices(batches, "_text"):
+        found = [(i, *e) for i, t in zip(batch["_id"].to_pylist(), batch["_text"].to_pylist()) if t for e in examples(t, base_spans(t), i)]
+        if found:
+            x = np.array([f[4] for f in found], np.float32)
+            held = [zlib.crc32(str(f[0]).encode()) % 4 == 0 for f in found]
+            cols = [pa.array([f[1] for f in found]), pa.array([f[3] for f in found]), pa.array(held), *map(pa.array, np.ascontiguousarray(x.T))]
+            yield pa.RecordBatch.from_arrays(cols, names=["k", "y", "held", *[f"f{i}" for i in range(N_FEATURES)]])
+
+
+def _counted_bins(found: DataFrame, cuts: dict[str, list[np.ndarray]]) -> DataFrame:
+    """(k, held, bins, pos, neg): matches and failed candidates of each row of binned features."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kinds = np.array(batch["k"].to_pylist())
+            x = np.stack([batch[f"f{i}"].to_numpy() for i in range(N_FEATURES)], axis=1)
+            bins = np.zeros(x.shape, np.uint8)
+            for kind in np.unique(kinds):
+                bins[kinds == kind] = _binned(cuts[kind], x[kinds == kind])
+            yield pa.RecordBatch.from_arrays([batch["k"], batch["y"], batch["held"], pa.array([r.tobytes() for r in bins], pa.binary())], names=["k", "y", "held", "bins"])
+
+    rows = found.where(F.col("k").isin(list(cuts))).mapInArrow(run, "k string, y boolean, held boolean, bins binary")
+    return rows.groupBy("k", "held", "bins").agg(F.count_if("y").alias("pos"), F.count_if(~F.col("y")).alias("neg"))
+
+
+def _by_kind(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray]]:
+    """(kind, bins, matches, failed candidates) of a batch of counted rows."""
+    kinds = np.array(batch["k"].to_pylist())
+    x = string_bytes(batch["bins"])[0].reshape(-1, N_FEATURES)
+    pos, neg = (batch[c].to_numpy().astype(float) for c in ("pos", "neg"))
+    for kind in np.unique(kinds):
+        own = kinds == kind
+        yield str(kind), x[own], pos[own], neg[own]
+
+
+def _histograms(counted: DataFrame, models: dict[str, dict], shapes: dict[str, tuple]) -> dict[str, np.ndarray]:
+    """Per kind the sums of gradients, second derivatives and rows by node, feature and bin. The leaves of ``shapes`` are
+    numbers of the nodes to sum for, or -1."""
+    width = N_FEATURES * BINS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {kind: np.zeros((3, (1 << DEPTH) * width), np.int64) for kind in shapes}
+        for batch in batches:
+            for kind, x, pos, neg in _by_kind(batch):
+                if kind not in shapes:
+                    continue
+                node = _value(shapes[kind], x).astype(np.int64)
+                x, pos, neg, node = (v[node >= 0] for v in (x, pos, neg, node))
+                p, failed = _score(models[kind], x), neg * CHANCE.get(kind, 1.0)
+                g, h = np.rint((pos * (p - 1) + failed * p) * UNIT), np.rint((pos + failed) * p * (1 - p) * UNIT)
+                cell = (node[:, None] * width + np.arange(N_FEATURES) * BINS + x).ravel()
+                for i, v in enumerate((g, h, pos + neg)):
+                    sums[kind][i] += np.bincount(cell, np.repeat(v, N_FEATURES), sums[kind].shape[1]).astype(np.int64)
+        for kind, (g, h, n) in sums.items():
+            at = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array([kind] * len(at), pa.string()), *(pa.array(v) for v in (at, g[at], h[at], n[at]))], names=["k", "cell", "g", "h", "n"])
+
+    parts = counted.mapInArrow(run, "k string, cell long, g long, h long, n long")
+    out = {kind: np.zeros((3, (1 << DEPTH) * width)) for kind in shapes}
+    for r in parts.groupBy("k", "cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.sum("n").alias("n")).collect():
+        out[r.k][:, r.cell] = r.g / UNIT, r.h / UNIT, r.n
+    return {kind: v.reshape(3, -1, N_FEATURES, BINS) for kind, v in out.items()}
+
+
+def _tree(node: dict, leaf: Callable[[dict], float]) -> tuple:
+    if "split" not in node:
+        return (leaf(node),)
+    f, i, left, right = node["split"]
+    return f, i, _tree(left, leaf), _tree(right, leaf)
+
+
+def boost_kinds(counted: DataFrame, models: dict[str, dict]) -> None:
+    """Adds trees to the models of all kinds together, a Spark job per level. ``counted`` has one row per kind and row of
+    bins (k, bins, pos, neg) and may have any size; the driver gets one number per node, feature and bin."""
+    for _ in range(TREES):
+        roots: dict[str, dict] = {kind: {"value": 0.0} for kind in models}
+        open_nodes = {kind: [root] for kind, root in roots.items()}
+        for _ in range(DEPTH):
+            open_nodes = {kind: nodes for kind, nodes in open_nodes.items() if nodes}
+            if not open_nodes:
+                break
+            number = {id(node): i for nodes in open_nodes.values() for i, node in enumerate(nodes)}
+            shapes = {kind: _tree(roots[kind], lambda node: float(number.get(id(node), -1))) for kind in open_nodes}
+            sums = _histograms(counted, models, shapes)
+            for kind, nodes in open_nodes.items():
+                below = []
+                for (g, h, n), node in zip(np.moveaxis(sums[kind], 0, 1), nodes):
+                    node["value"] = _leaf(g[0].sum(), h[0].sum())
+                    best = _best_split(g, h) if n[0].sum() >= 8 else None
+                    if best is None:
+                        continue
+                    f, i = best
+                    sides = [{"value": _leaf(g[f, s].sum(), h[f, s].sum()), "n": n[f, s].sum()} for s in (slice(i + 1), slice(i + 1, None))]
+                    node["split"] = (f, i, *sides)
+                    below += [side for side in sides if side["n"] >= 8]
+                open_nodes[kind] = below
+        for kind, root in roots.items():
+            models[kind]["trees"].append(_tree(root, lambda node: node["value"]))
+
+
+def thresholds(counted: DataFrame, models: dict[str, dict]) -> dict[str, float]:
+    """``threshold_for`` of every kind over counted rows of any number: running totals by score over range partitions."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for kind, x, pos, neg in _by_kind(batch):
+                cols = [pa.array([kind] * len(x), pa.string()), *(pa.array(v) for v in (-_score(models[kind], x), pos.astype(np.int64), neg.astype(np.int64)))]
+                yield pa.RecordBatch.from_arrays(cols, names=["k", "below", "yes", "no"])
+
+    per_score = counted.mapInArrow(run, "k string, below double, yes long, no long").groupBy("k", "below").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
+    placed = store(running_totals(per_score, ["k"], ["below"], {"yes_before": "yes", "no_before": "no"}))
+    chance = F.lit(1.0)
+    for kind, share in CHANCE.items():
+        chance = F.when(F.col("k") == kind, F.lit(share)).otherwise(chance)
+    matches, failed = F.col("yes_before") + F.col("yes"), F.col("no_before") + F.col("no")
+    last = {r.k: r.at for r in placed.where(matches >= PRECISION * (matches + failed * chance)).groupBy("k").agg(F.max("below").alias("at")).collect()}
+    after = F.lit(False)
+    for kind, at in last.items():
+        after |= (F.col("k") == kind) & (F.col("below") > at)
+    following = {r.k: r.at for r in placed.where(after).groupBy("k").agg(F.min("below").alias("at")).collect()}
+    return {kind: -(last[kind] + following.get(kind, 0.0)) / 2 if kind in last else 2.0 for kind in models}
+
+
 def fit_spans(docs: DataFrame, id: str = "doc_id", text: str = "text") -> dict[str, dict]:
-    """Per kind trees and a threshold, from ``examples`` of all documents, of which about ``SAMPLE_CANDIDATES`` a kind
-    (by a hash) reach the driver; a quarter of the documents is used for the threshold only. Kinds without
-    matches have no model. Documents without an id are left out of the sample."""
-    rows = docs.select(F.col(id).cast("bigint").alias("_id"), F.col(text).cast("string").alias("_text")).where("_id is not null")
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            found = [(i, k, y, np.array(x, np.float32).tobytes(), a) for i, t in zip(f["_id"], f["_text"]) if t for k, a, y, x in examples(t, base_spans(t), i)]
-            yield pd.DataFrame(found, columns=["i", "k", "y", "x", "a"])
-
-    marked = rows.where(F.col("_text").rlike("[0-9@]|(?i)[(\\[]at")).select("_id", "_text")
-    found = store(marked.mapInPandas(run, "i long, k string, y boolean, x binary, a long").withColumn("o", F.xxhash64("i", "a", "k")))
-    counts = {r.k: r.n for r in found.groupBy("k").agg(F.count("*").alias("n")).collect()}
-    bounds = {k: min(1 << 40, ((SAMPLE_CANDIDATES << 40) // n)) for k, n in counts.items()}
-    drawn = F.lit(False)
-    for k, bound in bounds.items():
-        drawn |= (F.col("k") == k) & (F.pmod("o", F.lit(1 << 40)) < bound)
-    got = sorted(found.where(drawn).collect(), key=lambda r: (r.o, r.i, r.a, r.k, bytes(r.x)))
+    """Per kind trees and a threshold, from the ``examples`` of all documents; a quarter of the documents is used for the
+    threshold only. Kinds without matches have no model."""
+    rows = docs.select(F.col(id).cast("bigint").alias("_id"), F.col(text).cast("string").alias("_text"))
+    marked = rows.where(F.col("_text").rlike("[0-9@]|(?i)[(\\[]at"))
+    columns = [f"f{i}" for i in range(N_FEATURES)]
+    found = store(marked.mapInArrow(_example_rows, "k string, y boolean, held boolean, " + ", ".join(f"{c} float" for c in columns)))
+    steps = [i / BINS for i in range(1, BINS)]
+    values = [F.percentile(c, F.array(*map(F.lit, steps))).alias(c) for c in columns]
+    seen = found.where(~F.col("held")).groupBy("k").agg(F.count_if("y").alias("pos"), F.count_if(~F.col("y")).alias("neg"), *values).where("pos > 0").collect()
     models = {}
-    for kind in KINDS:
-        own = [r for r in got if r.k == kind]
-        y = np.array([r.y for r in own], float)
-        w = np.where(y == 1, 1.0, CHANCE.get(kind, 1.0))
-        check = np.array([zlib.crc32(str(r.i).encode()) % 4 == 0 for r in own], bool)
-        if not y[~check].sum():
-            continue
-        x = np.stack([np.frombuffer(bytes(r.x), np.float32) for r in own])
-        model = boost(x[~check], y[~check], w[~check])
-        models[kind] = model | {"threshold": max(LEAST_SCORE, threshold_for(boosted_score(model, x[check]), y[check], PRECISION, w[check]))}
-    return models
+    for r in sorted(seen, key=lambda r: KINDS.index(r.k)):
+        start = float(np.log((r.pos + 1) / (r.neg * CHANCE.get(r.k, 1.0) + 1)))
+        models[r.k] = {"cuts": [np.unique(r[c]) for c in columns], "start": start, "trees": []}
+    if not models:
+        return {}
+    counted = store(_counted_bins(found, {kind: m["cuts"] for kind, m in models.items()}))
+    boost_kinds(counted.where(~F.col("held")), models)
+    least = thresholds(counted.where("held"), models)
+    return {kind: m | {"threshold": max(LEAST_SCORE, least[kind])} for kind, m in models.items()}
 
 
 def spans_of(text: str, models: dict[str, dict]) -> tuple[list[tuple[int, str, int]], list[tuple[int, str, int]]]:
