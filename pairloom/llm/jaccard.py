@@ -396,7 +396,8 @@ def similar_components(df: DataFrame, id: str = "doc_id", text: str = "text", sh
 
 def _links(spark: SparkSession, docs: DataFrame, plain: DataFrame, scanned: DataFrame, sets: DataFrame, total: int, share: tuple[int, int]) -> DataFrame:
     stripes = scanned.where("kind = 1").select("stripe", "counts").repartition(STRIPES, "stripe").mapInPandas(_add_stripes, "stripe int, counts binary").collect()
-    counts = np.concatenate([np.frombuffer(bytes(r.counts), np.uint32) for r in sorted(stripes, key=lambda r: r.stripe)])  # 2**SKETCH_BITS counters
+    counts = np.concatenate([np.frombuffer(r.counts, np.uint32) for r in sorted(stripes, key=lambda r: r.stripe)])  # 2**SKETCH_BITS counters
+    del stripes
     kinds, of = np.unique(counts, return_counts=True)
     mass = np.cumsum(kinds.astype(float) * of)
     heavy = int(kinds[np.searchsorted(mass, 0.25 * mass[-1])])  # a quarter of all shingles lies in buckets up to this count
@@ -410,7 +411,7 @@ def _links(spark: SparkSession, docs: DataFrame, plain: DataFrame, scanned: Data
     crossing = _crossing(lists, roots, share)
     late = store(crossing.join(stars.select("a", "b"), ["a", "b"], "left_anti"))
     second = store(_linked(late, docs, reps, share))
-    return components(roots.unionByName(second))
+    return roots if second.isEmpty() else components(roots.unionByName(second))
 
 
 def _crossing(lists: DataFrame, roots: DataFrame, share: tuple[int, int]) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from pairloom.llm.samples import held_out, labelled_sample, rows_of
-from pairloom.llm.text import Powers, slices, words_of
+from pairloom.llm.text import Powers, slices, string_bytes, words_of
 
 PASSAGE_WORDS = 64
 SAMPLE = {0: 1000, 1: 1500}
@@ -92,7 +92,9 @@ def train(x: np.ndarray, bag: np.ndarray, y: np.ndarray, shift: float, seed: int
     moves the logit from the sample's class shares to those of all labelled rows."""
     rng = np.random.default_rng(seed)
     mean, scale = x.mean(0), x.std(0) + 1e-3
-    z = np.clip((x - mean) / scale, -8, 8).astype(np.float32)
+    z = x - mean
+    z /= scale
+    np.clip(z, -8, 8, out=z)
     first = np.searchsorted(bag, np.arange(len(y)))
     p = {
         "w": rng.normal(0, 1 / np.sqrt(x.shape[1]), (x.shape[1], EMBED)), "b": np.zeros(EMBED), "v": rng.normal(0, 0.3, (EMBED, GATE)),
@@ -146,11 +148,14 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: st
             )
 
     rows = rows_of(docs.select(F.col(id).cast("bigint").alias("_id"), F.col(text).cast("string").alias("_text")), sample, "_id")
-    got = sorted(rows.select("_id", "_y", "_text").mapInArrow(run, "_id long, _y int, x binary").collect(), key=lambda r: (r._id, bytes(r.x)))
-    if len({r._y for r in got}) < 2:
+    got = rows.select("_id", "_y", "_text").mapInArrow(run, "_id long, _y int, x binary").toArrow()
+    if len(got["_y"].unique()) < 2:
         return None
-    bags = [np.frombuffer(bytes(r.x), np.float32).reshape(-1, N_FEATURES) for r in got]
-    y = np.array([r._y for r in got], np.float32)
+    x, offs = string_bytes(got["x"])
+    ids = got["_id"].to_pylist()
+    order = sorted(range(len(ids)), key=lambda i: (ids[i], x[offs[i] : offs[i + 1]].tobytes()))
+    bags = [x[offs[i] : offs[i + 1]].view(np.float32).reshape(-1, N_FEATURES) for i in order]
+    y = got["_y"].to_numpy().astype(np.float32)[order]
     shift = np.log(counts[1] / counts[0]) - np.log(y.sum() / (len(y) - y.sum()))
     return train(np.concatenate(bags), np.repeat(np.arange(len(bags)), [len(b) for b in bags]), y, shift)
 
