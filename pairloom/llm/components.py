@@ -30,7 +30,7 @@ def components(edges: DataFrame) -> DataFrame:
     """(a, b) links of long ids to (a, b): every node that is not the smallest of its component, with the
     smallest. Links of a node to itself are ignored; no links give an empty table. Both halves of a round are written to
     the shared folder, so nothing is recomputed when an executor is lost, and no plan has more than one join: the
-    driver keeps a thread with buffers for every shuffle and broadcast of the last minute."""
+    driver keeps a thread for every shuffle and broadcast of the last minute."""
     now = store(edges.select("a", "b").where("a <> b").distinct())
     state = _state(now)
     while state[0]:

@@ -1,6 +1,6 @@
 """Line dedup over the whole table, returned as keep bitmaps.
 
-Every document gives one row per distinct key of its lines. The rows are range-partitioned by
+Every document gives one row per distinct key of its lines. The rows are written down once, range-partitioned by
 (key hash, document descending, positions) and sorted; a task streams its keys, so a key is seen from its
 largest document down: that one keeps its lines, the later ones drop theirs once the key turns out to be
 in ``min_docs`` documents. A key of any frequency is cut over as many range partitions as its rows need:
@@ -136,7 +136,7 @@ def line_keep_bitmaps(df: DataFrame, id: str = "doc_id", text: str = "text", min
 
 def _dropped(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
     """Per (doc, th) the positions of its dropped lines, as the pieces they came in."""
-    keys = docs.mapInArrow(_key_rows(min_chars), ROW)
+    keys = store(docs.mapInArrow(_key_rows(min_chars), ROW))  # read twice: for the borders and for the rows
     # range borders are set on (key, document), so all rows of one document and key stay together
     ranged = keys.repartitionByRange("k1", "k2", F.desc("doc")).sortWithinPartitions("k1", "k2", F.desc("doc"), "th")
     streamed = store(ranged.mapInPandas(_stream(min_docs), "open boolean, k1 long, k2 long, doc long, th long, lines binary, extra long"))
