@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairloom.functions.scalars import log_likelihood
 from pairloom.operators.features import feature_hasher, filled_slots
+from pairloom.session import store
 
 # Defaults of the two model families.
 TREES = 10
@@ -93,39 +95,119 @@ def score_forest(model: PipelineModel, df: DataFrame, score: str = "score") -> D
     return raw.select(*[F.col(c) for c in df.columns], value.alias(score), "prediction")
 
 
+@dataclass
+class Branch:
+    """An inner node of a tree: rows whose ``feature`` is at most ``threshold`` (or one of ``categories``) go to ``left``.
+    Children are numbers: leaves count from 0 in the order of the description, inner nodes from -1 downwards."""
+
+    level: int
+    feature: int
+    condition: str
+    threshold: float | None
+    categories: list[float] | None
+    left: int | None = None
+    right: int | None = None
+
+
+def tree_branches(model: PipelineModel, tree: int = 0) -> tuple[list[Branch], list[float]]:
+    """The inner nodes (-1, -2, ...; the root is -1 unless it is a leaf) and the predictions of the leaves (0, 1, ...) of one
+    tree, from the model's own description."""
+    branches: list[Branch] = []
+    leaves: list[float] = []
+    path: list[tuple[int, Branch, bool]] = []  # indent, inner node, whether its right side comes next
+
+    def attach(child: int) -> None:
+        if path:
+            _, parent, right = path[-1]
+            if right:
+                parent.right = child
+            else:
+                parent.left = child
+
+    for line in model.stages[-1].trees[tree].toDebugString.splitlines()[1:]:
+        depth, text = len(line) - len(line.lstrip()), line.strip()
+        if text.startswith("Else"):
+            while path[-1][0] > depth:
+                path.pop()
+            path[-1] = (depth, path[-1][1], True)
+            continue
+        while path and path[-1][0] >= depth:
+            path.pop()
+        if text.startswith("Predict:"):
+            attach(len(leaves))
+            leaves.append(float(text.split(":")[1]))
+            continue
+        _, number, condition = text[text.index("(") + 1 : text.rindex(")")].split(" ", 2)  # feature, number, condition
+        listed = [float(v) for v in condition[condition.index("{") + 1 : -1].split(",")] if condition.startswith("in") else None
+        found = Branch(len(path), int(number), condition, None if listed else float(condition.split(" ")[1]), listed)
+        branches.append(found)
+        attach(-len(branches))
+        path.append((depth, found, False))
+    return branches, leaves
+
+
 def tree_nodes(model: PipelineModel, tree: int = 0) -> DataFrame:
     """``(leaf, rule, prediction)`` of one tree: the conjunction of splits that leads to each leaf, as SQL over the
     model's input columns (categoricals as ``<name>__ix``), from the model's own description."""
     names = model.stages[-2].getInputCols()
-    forest = model.stages[-1]
-    path: list[tuple[int, str]] = []
+    branches, leaves = tree_branches(model, tree)
     rows: list[tuple[int, str, float]] = []
-    for line in forest.trees[tree].toDebugString.splitlines()[1:]:
-        depth, text = len(line) - len(line.lstrip()), line.strip()
-        while path and path[-1][0] >= depth:
-            path.pop()
-        if text.startswith("Predict:"):
-            rows.append((len(rows), " and ".join(c for _, c in path) or "true", float(text.split(":")[1])))
+    todo = [(-1 if branches else 0, "")]
+    while todo:
+        node, rule = todo.pop()
+        if node >= 0:
+            rows.append((node, rule or "true", leaves[node]))
             continue
-        split = text[text.index("(") + 1 : text.rindex(")")].split(" ", 2)  # feature, number, condition
-        condition = split[2].replace("{", "(").replace("}", ")")
-        path.append((depth, f"`{names[int(split[1])]}` {condition}"))
+        b = branches[-node - 1]
+        name, held = f"`{names[b.feature]}`", b.condition.replace("{", "(").replace("}", ")")
+        other = f"not {held}" if b.categories else held.replace("<=", ">")
+        todo += [(child, f"{rule} and {name} {c}" if rule else f"{name} {c}") for child, c in ((b.right, other), (b.left, held))]
     return SparkSession.active().createDataFrame(rows, "leaf int, rule string, prediction double")
 
 
+#: levels a plan sends rows down before they are written down: it grows by a join a level
+LEVELS_PER_PASS = 10
+#: inner nodes of a level that are sent along with the tasks
+SENT_NODES = 200_000
+
+
+def tree_leaves(model: PipelineModel, rows: DataFrame, inputs: Sequence[str], tree: int = 0) -> DataFrame:
+    """Rows with ``leaf``, the leaf of one tree that its splits send them to: the nodes are a table, and a row meets the one
+    it is at in every level. ``inputs`` are the columns the splits number."""
+    branches, _ = tree_branches(model, tree)
+    at = rows.withColumn("_x", F.array(*[F.col(f"`{c}`").cast("double") for c in inputs])).withColumn("leaf", F.lit(-1 if branches else 0))
+    if not branches:
+        return at.drop("_x")
+    table = [(-i, b.level, b.feature, b.threshold, b.categories, b.left, b.right) for i, b in enumerate(branches, 1)]
+    schema = "_node int, _level int, _feature int, _threshold double, _categories array<double>, _left int, _right int"
+    nodes = store(rows.sparkSession.createDataFrame(table, schema))
+    widths = Counter(b.level for b in branches)
+    x = F.get("_x", F.col("_feature"))
+    goes_left = F.when(F.col("_categories").isNull(), x <= F.col("_threshold")).otherwise(F.array_contains("_categories", x))
+    step = F.when(F.col("_node").isNull(), F.col("leaf")).when(goes_left, F.col("_left")).otherwise(F.col("_right"))
+    for level in range(len(widths)):
+        if level and level % LEVELS_PER_PASS == 0:
+            at = store(at)
+        met = nodes.where(F.col("_level") == level).drop("_level")
+        if widths[level] <= SENT_NODES:
+            met = F.broadcast(met)
+        at = at.join(met, F.col("leaf") == F.col("_node"), "left").select(*rows.columns, "_x", step.alias("leaf"))
+    return at.drop("_x")
+
+
 def leaf_audit(model: PipelineModel, train: DataFrame, label: str, tree: int = 0) -> DataFrame:
     """``(leaf, rows, votes, differing)`` of one tree: training rows are sent down by the tree's rules as column
     expressions; ``differing`` counts rows whose leaf's class counts are not those the tree itself votes with. 0 for a
     tree that has seen every row once (``bootstrap=False``)."""
     listed = categorical_inputs(model)
     ready = PipelineModel(model.stages[:-1]).transform(_texts(train, listed).withColumn(label, F.col(label).cast("double")))
-    leaf = F.lit(None).cast("int")
-    for r in tree_nodes(model, tree).collect():  # the nodes of one tree
-        leaf = F.when(F.expr(r.rule), r.leaf).otherwise(leaf)
+    names = list(model.stages[-2].getInputCols())
     own = model.stages[-1].trees[tree]
-    routed = own.transform(ready).select(leaf.alias("leaf"), F.col(label).alias("_y"), vector_to_array("rawPrediction").alias("_votes"))
+    voted = own.transform(ready).select(*dict.fromkeys(names), F.col(label).alias("_y"), vector_to_array("rawPrediction").alias("_votes"))
+    routed = tree_leaves(model, voted, names, tree).select("leaf", "_y", "_votes")
     n_classes = own.numClasses
     counts = routed.groupBy("leaf", "_votes").agg(*[F.count_if(F.col("_y") == k).alias(f"_c{k}") for k in range(n_classes)], F.count("*").alias("rows"))
+    counts = store(counts)
     per_leaf = counts.groupBy(F.col("leaf").alias("_leaf")).agg(F.array(*[F.sum(f"_c{k}").cast("double") for k in range(n_classes)]).alias("_seen"))
     told = counts.join(per_leaf, F.col("leaf").eqNullSafe(F.col("_leaf")))
     alike = F.col("leaf").isNotNull() & (F.col("_votes") == F.col("_seen"))
