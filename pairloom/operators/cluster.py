@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import math
+from collections import Counter
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -140,26 +143,38 @@ def mean_cohesion(cohesion: DataFrame) -> DataFrame:
 
 
 MAX_CUBE_FIELDS = 10
+#: beyond, the sets of fields are more than the pairs that a block compares
+MAX_SUBSET_FIELDS = 14
+#: distinct rows of a group whose sets of fields one task goes through
+SUBSET_ROWS = 100_000
 
 
 def distance_histogram(df: DataFrame, cluster: str, fields: Sequence[str], block: int = 1024) -> DataFrame:
     """``(cluster, distance, pairs)``: pairs of a cluster by the number of fields in which they differ.
 
     No pair is formed for up to ten fields: the pairs that agree on a set of fields follow from the sizes
-    of the groups by that set, and inclusion-exclusion turns those sums into exact agreement counts. Wider
-    vectors are compared as distinct vectors, block by block.
+    of the groups by that set, and inclusion-exclusion turns those sums into exact agreement counts. Up to fourteen fields
+    the groups are taken apart field by field, as most soon hold one vector. Wider vectors are compared as distinct
+    vectors, block by block.
     """
     fields = list(fields)
     vectors = df.groupBy(cluster, *fields).agg(F.count("*").alias("_n"))
-    if len(fields) > MAX_CUBE_FIELDS:
+    if len(fields) > MAX_SUBSET_FIELDS:
         return _block_histogram(vectors, cluster, fields, block)
+    if len(fields) > MAX_CUBE_FIELDS:
+        return _exact_agreement(_subset_agreement(vectors, cluster, fields), cluster, len(fields))
     d = len(fields)
     subsets = [[f for i, f in enumerate(fields) if mask >> i & 1] for mask in range(2**d)]
     grouped = vectors.groupingSets([[cluster, *s] for s in subsets], cluster, *fields).agg(
         F.sum("_n").alias("_s"),
         (F.lit(d) - sum([F.grouping(f).cast("int") for f in fields], F.lit(0))).alias("_kept"),
     )
-    agreeing = grouped.groupBy(cluster, "_kept").agg(F.sum(_pairs_of(F.col("_s"))).alias("_agree"))
+    return _exact_agreement(grouped.groupBy(cluster, "_kept").agg(F.sum(_pairs_of(F.col("_s"))).alias("_agree")), cluster, d)
+
+
+def _exact_agreement(agreeing: DataFrame, cluster: str, d: int) -> DataFrame:
+    """``(cluster, distance, pairs)`` from ``(cluster, _kept, _agree)``, the pairs that agree on a set of ``_kept`` of the ``d``
+    fields, summed over all such sets."""
     # pairs agreeing on exactly m fields = sum over j >= m of (-1)^(j-m) C(j, m) * agree(j)
     weights = F.array(
         *[
@@ -175,6 +190,154 @@ def distance_histogram(df: DataFrame, cluster: str, fields: Sequence[str], block
     )
 
 
+def _field_codes(vectors: DataFrame, fields: list[str]) -> DataFrame:
+    """Vectors with ``_rest``, their fields as whole numbers that are equal where the fields are, NULL being a value; the
+    field with most values first, which splits groups soonest."""
+    ends = vectors.agg(
+        *[F.approx_count_distinct(f).alias(f"n{i}") for i, f in enumerate(fields)],
+        *[F.min(F.col(f).cast("bigint")).alias(f"m{i}") for i, f in enumerate(fields) if isinstance(vectors.schema[f].dataType, T.IntegralType)],
+    ).first().asDict()
+    codes, at = [], vectors
+    for i in sorted(range(len(fields)), key=lambda i: -ends[f"n{i}"]):
+        f, least = fields[i], ends.get(f"m{i}")
+        if least is not None and least > -(1 << 63):
+            codes.append(F.coalesce(F.col(f).cast("bigint"), F.lit(least - 1)))  # below all values stands for NULL
+            continue
+        domain = vectors.select(F.col(f).alias("_value")).distinct().withColumn(f"_code{i}", F.monotonically_increasing_id())
+        at = at.join(broadcast_if_small(domain), F.col(f).eqNullSafe(F.col("_value"))).drop("_value")
+        codes.append(F.col(f"_code{i}"))
+    return at.withColumn("_rest", F.array(*codes))
+
+
+def _subset_agreement(vectors: DataFrame, cluster: str, fields: list[str]) -> DataFrame:
+    """``(cluster, _kept, _agree)`` without a grouping set for each set of fields.
+
+    A group are the rows of a cluster that agree on ``_kept`` fields, with the fields after the last of them. Groups of up
+    to ``SUBSET_ROWS`` rows are gone through in a task. Of larger ones the pairs are counted, and their rows copied once for
+    every later field into the groups that agree on it, too, where rows alike in what is left are one.
+    """
+    key = F.to_json(F.struct(F.col(cluster).alias("c")), {"ignoreNullFields": "false"})
+    state = _field_codes(store(vectors), fields).select(F.col(cluster).alias("_cluster"), key.alias("_g"), F.lit(0).alias("_kept"), "_rest", "_n")
+    whole = ["_cluster", "_g", "_kept"]
+    kind = vectors.schema[cluster].dataType
+    parts = []
+    for _ in range(len(fields) + 1):
+        state = store(state)
+        large = store(state.groupBy(*whole).agg(F.count("*").alias("_rows"), F.sum("_n").alias("_s")).where(F.col("_rows") > SUBSET_ROWS))
+        names = F.broadcast(large.select("_g"))  # one in SUBSET_ROWS rows at most
+        small = state.join(names, "_g", "left_anti").repartition("_g").sortWithinPartitions("_g")
+        out = T.StructType([T.StructField("_cluster", kind), T.StructField("_kept", T.IntegerType()), T.StructField("_agree", T.StringType())])
+        found = small.select(*whole, "_rest", "_n").mapInArrow(_count_subsets, out).withColumn("_agree", F.col("_agree").cast("decimal(38,0)"))
+        parts.append(found.unionByName(large.select("_cluster", "_kept", _pairs_of(F.col("_s")).alias("_agree"))))
+        if large.isEmpty():
+            break
+        each = state.join(names, "_g", "left_semi").select("*", F.posexplode("_rest").alias("_j", "_v"))
+        left = F.size("_rest") - F.col("_j") - 1
+        state = (
+            each.select("_cluster", F.concat_ws(",", "_g", F.size("_rest") - F.col("_j"), "_v").alias("_g"), F.col("_kept") + 1, F.slice("_rest", F.col("_j") + 2, left), "_n")
+            .toDF(*whole, "_rest", "_n").groupBy(*whole, "_rest").agg(F.sum("_n").alias("_n"))
+        )
+    return reduce(DataFrame.unionByName, parts).groupBy(F.col("_cluster").alias(cluster), "_kept").agg(F.sum("_agree").alias("_agree"))
+
+
+def _count_subsets(batches):
+    """``(_cluster, _kept, _agree)`` of whole groups, which come one after the other; as many at a time as fit."""
+
+    def out(table: pa.Table):
+        place, sums = _agreement_of(table)
+        at = [(c, k, str(n)) for (c, k), n in sums.items() if n]
+        clusters = table["_cluster"].take(pa.array([place[c] for c, _, _ in at], pa.int64())).combine_chunks()
+        return pa.RecordBatch.from_arrays([clusters, pa.array([k for _, k, _ in at], pa.int32()), pa.array([n for _, _, n in at], pa.string())], names=["_cluster", "_kept", "_agree"])
+
+    waiting: list[pa.RecordBatch] = []
+    held = 0
+    for batch in batches:
+        waiting.append(batch)
+        held += len(batch)
+        if held < 2 * SUBSET_ROWS:
+            continue
+        table = pa.Table.from_batches(waiting)
+        last = pc.equal(table["_g"], table["_g"][-1]).to_numpy()
+        cut = int(last.argmax())  # the last group may go on
+        if cut:
+            yield out(table.slice(0, cut))
+        waiting, held = table.slice(cut).to_batches(), len(table) - cut
+    if held:
+        yield out(pa.Table.from_batches(waiting))
+
+
+def _agreement_of(table: pa.Table) -> tuple[list[int], dict[tuple[int, int], int]]:
+    """A row of each cluster, and pairs by (cluster, fields agreed on) over all sets of the fields left to the groups."""
+    groups = pd.factorize(table["_g"].to_pandas())[0]
+    start = np.unique(groups, return_index=True)[1]
+    names = [json.dumps(v, default=str) for v in table["_cluster"].take(pa.array(start)).to_pylist()]
+    of_group, unique = pd.factorize(np.array(names, dtype=object))
+    place = [int(start[np.flatnonzero(of_group == c)[0]]) for c in range(len(unique))]
+    cluster_of = of_group[groups]
+    kept, n = table["_kept"].to_numpy(), table["_n"].to_numpy().astype(np.int64)
+    width = pc.list_value_length(table["_rest"]).to_numpy()
+    sums: dict[tuple[int, int], int] = Counter()
+    for k, fields in {(int(a), int(b)) for a, b in np.unique(np.column_stack([kept, width]), axis=0)}:
+        own = np.flatnonzero((kept == k) & (width == fields))
+        flat = pc.list_flatten(table["_rest"].take(pa.array(own))).to_numpy()
+        codes = [pd.factorize(c)[0] for c in flat.reshape(len(own), fields).T]
+        _walk_subsets(pd.factorize(groups[own])[0], cluster_of[own], n[own], codes, k, len(unique), sums)
+    return place, sums
+
+
+def _walk_subsets(group: np.ndarray, cluster_of: np.ndarray, n: np.ndarray, codes: list[np.ndarray], kept: int, clusters: int, sums: dict[tuple[int, int], int]) -> None:
+    """Adds the pairs of the groups, and of what they fall into by every set of the fields ``codes``, to ``sums``."""
+    fields = len(codes)
+    width = [int(c.max()) + 1 for c in codes]
+    tail = [np.zeros(len(group), np.int64)]  # rows with one number are alike in all fields from there on
+    for c in reversed(codes):
+        tail.append(pd.factorize(c * (int(tail[-1].max()) + 1) + tail[-1])[0])
+    tail = tail[::-1]
+    # sums of pairs stay whole numbers of 64 bits unless there are very many rows
+    kind = np.int64 if float(n.sum()) ** 2 * 2**fields < 2**62 else object
+    counted, alone = np.zeros((fields + 1, clusters), kind), np.zeros((fields + 1, fields + 1, clusters), kind)
+
+    def pairs(total: np.ndarray) -> np.ndarray:
+        total = np.rint(total).astype(np.int64).astype(kind)
+        return total * (total - 1) // 2
+
+    def visit(group: np.ndarray, rows: np.ndarray, n: np.ndarray, first: int, depth: int) -> None:
+        m = int(group.max()) + 1
+        cluster = np.empty(m, np.int64)
+        cluster[group] = cluster_of[rows]
+        size = np.bincount(group, minlength=m)
+        total = pairs(np.bincount(group, n, m))
+        np.add.at(counted[depth], cluster, total)
+        if first == fields:
+            return
+        # what is one vector stays one group whatever else it has to agree on
+        one = size == 1
+        np.add.at(alone[depth, fields - first], cluster[one], total[one])
+        more = ~one[group]
+        if not more.any():
+            return
+        group, rows, n = group[more], rows[more], n[more]
+        for f in range(first, fields):
+            into = pd.factorize(group * width[f] + codes[f][rows])[0]
+            alike = pd.factorize(into * (int(tail[f + 1].max()) + 1) + tail[f + 1][rows])[0]
+            at = np.empty(int(alike.max()) + 1, np.int64)
+            at[alike[::-1]] = np.arange(len(alike) - 1, -1, -1)
+            visit(into[at], rows[at], np.bincount(alike, n), f + 1, depth + 1)
+
+    # rows alike in all the fields are one from the start
+    alike = pd.factorize(group * (int(tail[0].max()) + 1) + tail[0])[0]
+    at = np.empty(int(alike.max()) + 1, np.int64)
+    at[alike[::-1]] = np.arange(len(alike) - 1, -1, -1)
+    visit(group[at], at, np.bincount(alike, n), 0, 0)
+    for depth in range(fields + 1):
+        for c in range(clusters):
+            sums[c, kept + depth] += int(counted[depth, c])
+            for left in range(1, fields + 1):
+                if alone[depth, left, c]:
+                    for j in range(1, left + 1):
+                        sums[c, kept + depth + j] += int(alone[depth, left, c]) * math.comb(left, j)
+
+
 def _block_histogram(vectors: DataFrame, cluster: str, fields: list[str], block: int) -> DataFrame:
     packed = vectors.select(
         F.col(cluster).alias("_cluster"), F.array(*[F.to_json(F.struct(f), {"ignoreNullFields": "false"}) for f in fields]).alias("_v"), "_n"
